@@ -195,8 +195,8 @@ PAGES = """
              WHEN 3 THEN 'https://jobs.smartrecruiters.com/Some-Co/' || CAST(page_id AS STRING) || '-dev'
              ELSE url END AS url,
            CASE page_id % 5
-             WHEN 0 THEN replace(html, '</head>', '<script type="application/ld+json">[{"@type":"WebSite"},'
-                  || '{"@type":"JobPosting","title":"Engineer ' || CAST(page_id AS STRING)
+             WHEN 0 THEN replace(html, '</head>', '<script type="application/ld+json">[{"' || chr(64) || 'type":"WebSite"},'
+                  || '{"' || chr(64) || 'type":"JobPosting","title":"Engineer ' || CAST(page_id AS STRING)
                   || '","description":"<p>Build</p><p>APIs</p>","datePosted":"2026-08-30",'
                   || '"hiringOrganization":{"name":"Acme"},"jobLocation":[{"address":{"addressLocality":'
                   || '"Austin","addressRegion":"TX","addressCountry":"US"}},{"address":"Remote"}]}]</script></head>')

@@ -174,9 +174,10 @@ def filter_funnel(v):
 
 @query("scraped_on_day", """
     SELECT CAST(CAST(scraped_at AS DATE) AS VARCHAR) AS day, count(*) AS jobs FROM @v_jobs
-    WHERE CAST(scraped_at AS DATE) = DATE '1998-10-04' GROUP BY 1""")
+    WHERE CAST(scraped_at AS DATE) = (SELECT max(CAST(scraped_at AS DATE)) FROM @v_jobs) GROUP BY 1""")
 def scraped_on_day(v):
-    rows = scraped_on(v("v_jobs"), F.lit("1998-10-04").cast("date"))
+    latest = v("v_jobs").agg(F.max(F.to_date("scraped_at"))).scalar()
+    rows = scraped_on(v("v_jobs"), latest)
     return rows.groupBy(F.to_date("scraped_at").cast("string").alias("day")).agg(
         F.count("*").alias("jobs"))
 

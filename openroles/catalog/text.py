@@ -10,7 +10,7 @@ from openroles.catalog.registry import query
 from openroles.catalog.views import ASOF, quoted
 from openroles.functions import dates, scores, text
 from openroles.functions.html import html_to_text
-from openroles.operators.employers import url_key
+from openroles.operators.employers import with_url_key
 from openroles.operators.vectors import embedder
 from openroles.sources.resumes import backfill_profile_names, clean_resumes
 
@@ -50,8 +50,9 @@ def url_hash(v):
 
 @query("url_job_key", "SELECT job_id, platform, board, ext_id FROM @v_postings")
 def url_job_key(v):
-    return v("v_postings").select("job_id", url_key(F.col("raw_url")).alias("k")).select(
-        "job_id", "k.platform", "k.board", F.col("k.id").alias("ext_id"))
+    return with_url_key(v("v_postings").select("job_id", "raw_url"), "raw_url").select(
+        "job_id", F.col("url_platform").alias("platform"), F.col("url_board").alias("board"),
+        F.col("url_id").alias("ext_id"))
 
 
 @query("brand_key", f"""
@@ -153,7 +154,7 @@ def parse_vector_text(v):
              regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', chr(1), 'g'),
                '(?is)<(script|style)[^>]*>.*?</(script|style)>', chr(1), 'g'),
                '(?s)<[^>]*>', chr(1), 'g'), chr(1)),
-             lambda p: regexp_replace(replace(replace(replace(replace(replace(p, '&nbsp;', chr(160)),
+             lambda p: regexp_replace(replace(replace(replace(replace(replace(replace(p, '&copy;', chr(169)), '&middot;', chr(183)),
                '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'),
                '^[\\s\\pZ]+|[\\s\\pZ]+$', '', 'g')),
              lambda p: p <> ''), ' ') AS page_text

@@ -66,9 +66,9 @@ def quoted(text: str) -> str:
 
 
 def pick(index: str, values: tuple[str, ...]) -> str:
-    """CASE choosing one of the texts by an integer expression."""
-    branches = " ".join(f"WHEN {i} THEN {quoted(v)}" for i, v in enumerate(values))
-    return f"CASE ({index}) % {len(values)} {branches} END"
+    """One of the texts, chosen by an integer expression."""
+    joined = quoted("~".join(values))
+    return f"split_part({joined}, '~', CAST(({index}) % {len(values)} + 1 AS INTEGER))"
 
 
 PLATFORM_OF = (

@@ -317,6 +317,6 @@ SCORE_PROMPT_TEMPLATE = (
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 # Free-text date formats accepted besides ISO 8601.
 DATE_FORMATS = (
-    "EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss z",
+    "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z",
     "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "M/d/yyyy", "yyyy/M/d",
 )

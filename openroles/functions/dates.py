@@ -6,9 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from openroles import fixed_values as fixed
-from openroles.functions.text import strip
+from openroles.functions.text import let, strip
 
 EPOCH_MILLIS_FROM = 10_000_000_000
+WEEKDAY = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
 
 
 def from_epoch(c: Column) -> Column:
@@ -22,15 +23,23 @@ def parse_posted(c: Column) -> Column:
 
     Text without a zone is UTC, which is the session zone.
     """
-    text = strip(c)
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
-    others = [F.try_to_timestamp(text, F.lit(f)) for f in fixed.DATE_FORMATS]
-    return F.coalesce(iso, F.when(text.rlike(r"\d{4}"), F.coalesce(*others)))
+
+    def parsed(text: Column) -> Column:
+        iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+        plain = F.regexp_replace(text, WEEKDAY, "")
+        others = [F.try_to_timestamp(plain, F.lit(f)) for f in fixed.DATE_FORMATS]
+        return F.coalesce(iso, F.when(text.rlike(r"\d{4}"), F.coalesce(*others)))
+
+    return let(strip(c), parsed)
 
 
 def relative_date(c: Column, asof: Column) -> Column:
     """Timestamp of "posted 3 days ago" style text, seen from ``asof``."""
-    text = F.lower(strip(F.coalesce(c, F.lit(""))))
+    texts = F.struct(F.lower(strip(F.coalesce(c, F.lit("")))).alias("low"), c.alias("raw"))
+    return let(texts, lambda t: _relative_date(t["low"], t["raw"], asof))
+
+
+def _relative_date(text: Column, raw: Column, asof: Column) -> Column:
     days = F.regexp_extract(text, r"(?U)posted\s+(\d+)\s+days?\s+ago", 1).try_cast("int")
 
     def back(n: Column) -> Column:
@@ -41,7 +50,7 @@ def relative_date(c: Column, asof: Column) -> Column:
         .when(text.isin("posted yesterday", "yesterday"), back(F.lit(1)))
         .when(days.isNotNull(), back(days))
         .when(F.contains(text, F.lit("30+ days")), back(F.lit(31)))
-        .otherwise(parse_posted(c))
+        .otherwise(parse_posted(raw))
     )
 
 

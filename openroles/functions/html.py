@@ -72,7 +72,6 @@ def visible_text(markup: str | None, separator: str = " ") -> str:
     return separator.join(collector.pieces)
 
 
-@F.pandas_udf("string")
 def _visible_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield batch.map(visible_text).astype("object")
@@ -80,10 +79,9 @@ def _visible_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def html_to_text(c: Column) -> Column:
     """Visible text of an HTML fragment, its pieces joined by one blank."""
-    return _visible_text(F.coalesce(c, F.lit("")))
+    return F.pandas_udf(_visible_text, "string")(F.coalesce(c, F.lit("")))
 
 
-@F.pandas_udf("string")
 def _visible_blocks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield batch.map(lambda blocks: " ".join(
@@ -92,4 +90,4 @@ def _visible_blocks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def html_blocks_to_text(c: Column) -> Column:
     """Texts of an array of HTML fragments, joined by one blank."""
-    return _visible_blocks(c)
+    return F.pandas_udf(_visible_blocks, "string")(c)

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from openroles import fixed_values as fixed
-from openroles.functions.text import strip, text_or_empty
+from openroles.functions.text import let, strip, text_or_empty
 
 # i: ignore case, u: in all of Unicode, U: \b \s \w are Unicode, d: only \n ends a line.
 FLAGS = "(?iuUd)"
@@ -35,12 +35,15 @@ def title_level(title: Column, level: str = "all") -> Column:
     """Early or mid-career engineering title, at the asked level."""
     if level not in ("newgrad", "midlevel", "all"):
         raise ValueError(f"unknown level: {level}")
-    title = text_or_empty(title)
-    relevant = title.rlike(any_of(fixed.ENGINEERING_TITLE)) & ~title.rlike(
-        any_of(fixed.UPPER_LEVEL_TITLE))
-    if level == "newgrad":
-        return relevant & title.rlike(any_of(fixed.EARLY_CAREER_TITLE))
-    return relevant & ~title.rlike(any_of(fixed.INTERN_TITLE))
+
+    def fits(t: Column) -> Column:
+        relevant = t.rlike(any_of(fixed.ENGINEERING_TITLE)) & ~t.rlike(
+            any_of(fixed.UPPER_LEVEL_TITLE))
+        if level == "newgrad":
+            return relevant & t.rlike(any_of(fixed.EARLY_CAREER_TITLE))
+        return relevant & ~t.rlike(any_of(fixed.INTERN_TITLE))
+
+    return let(text_or_empty(title), fits)
 
 
 def is_recent(posted: Column, asof: Column, lookback_days: int = 7) -> Column:
@@ -50,9 +53,12 @@ def is_recent(posted: Column, asof: Column, lookback_days: int = 7) -> Column:
 
 def location_verdict(location: Column, description: Column) -> Column:
     """``struct(eligible, reason)``: may the role be worked from the US."""
-    loc = strip(text_or_empty(location))
-    desc = strip(text_or_empty(description))
+    texts = F.struct(strip(text_or_empty(location)).alias("loc"),
+                     strip(text_or_empty(description)).alias("desc"))
+    return let(texts, lambda t: _location_verdict(t["loc"], t["desc"]))
 
+
+def _location_verdict(loc: Column, desc: Column) -> Column:
     def verdict(eligible: bool, reason: str) -> Column:
         return F.struct(F.lit(eligible).alias("eligible"), F.lit(reason).alias("reason"))
 
@@ -105,8 +111,12 @@ def auth_class(description: Column, title: Column) -> Column:
     """
     title = text_or_empty(title)
     text = F.concat(title, F.lit("\n"), text_or_empty(description))
-    low = _folded(text)
+    both = let(F.struct(title.alias("title"), text.alias("text")), lambda t: F.struct(
+        t["title"].alias("title"), t["text"].alias("text"), _folded(t["text"]).alias("low")))
+    return let(both, lambda t: _auth_class(t["title"], t["text"], t["low"]))
+
 
+def _auth_class(title: Column, text: Column, low: Column) -> Column:
     def has(*literals: str) -> Column:
         hit = F.contains(low, F.lit(literals[0]))
         for literal in literals[1:]:

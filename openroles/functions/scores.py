@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from openroles import fixed_values as fixed
-from openroles.functions.text import one_decimal, strip, text_or_empty
+from openroles.functions.text import let, one_decimal, strip, text_or_empty
 
 INTEGER_TEXT = r"^[+\-]?\d+(?:_\d+)*$"
 
@@ -33,8 +33,17 @@ def parse_score_json(response: Column, provider_error: Column | None = None) ->
 
     A response that does not parse is a failure with a null score, never a zero.
     """
-    found = F.regexp_extract(response, "(?s)" + fixed.SCORE_OBJECT, 0)
-    doc = F.try_parse_json(F.when(found != "", found).otherwise(strip(response)))
+    error = provider_error if provider_error is not None else F.lit(None).cast("string")
+
+    def parsed(found: Column) -> Column:
+        return F.try_parse_json(F.when(found != "", found).otherwise(strip(response)))
+
+    doc = let(F.regexp_extract(response, "(?s)" + fixed.SCORE_OBJECT, 0), parsed)
+    return let(F.struct(doc.alias("doc"), error.alias("error")),
+               lambda t: _score_fields(t["doc"], t["error"]))
+
+
+def _score_fields(doc: Column, error: Column) -> Column:
     is_object = F.schema_of_variant(doc).startswith("OBJECT")
     raw = F.when(is_object, F.try_variant_get(doc, "$.score", "variant"))
     kind = F.schema_of_variant(raw)
@@ -47,7 +56,6 @@ def parse_score_json(response: Column, provider_error: Column | None = None) ->
         .when(kind == "BOOLEAN", F.when(as_text == "true", 1).otherwise(0).cast("long"))
         .when(kind == "STRING", _integer(as_text))
     )
-    error = provider_error if provider_error is not None else F.lit(None).cast("string")
     success = F.coalesce(error.isNull() & is_object & score.isNotNull(), F.lit(False))
     return F.struct(
         success.alias("success"),

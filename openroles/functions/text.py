@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from openroles import fixed_values as fixed
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    An expression used several times inside ``when`` chains is otherwise copied
+    into each use, by the optimizer too, and copies inside conditions are not
+    shared. A lambda argument is bound once and stays one expression.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim every Unicode white-space character (``trim`` alone takes only spaces)."""
     return F.btrim(c, F.lit(fixed.WHITESPACE))
@@ -40,30 +52,45 @@ def join_non_empty(parts: Column, separator: str) -> Column:
     return F.array_join(F.filter(parts, lambda p: p.isNotNull() & (p != "")), separator)
 
 
-def split_url(url: Column) -> dict[str, Column]:
-    """Scheme, lower-case host and path of a URL; params, query and fragment are cut."""
-    raw = F.translate(strip(text_or_empty(url)), "\t\r\n", "")
-    scheme = F.regexp_extract(raw, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    rest = F.regexp_replace(raw, r"^[A-Za-z][A-Za-z0-9+.\-]*:", "")
-    authority = F.regexp_extract(rest, r"^//([^/?#]*)", 1)
-    path = F.regexp_extract(rest, r"^(?://[^/?#]*)?([^?#]*)", 1)
-    return {
-        "scheme": F.lower(scheme),
-        "authority": authority,
-        "host": F.lower(authority),
-        "path": F.regexp_replace(path, r";[^/]*$", ""),
-        "query": F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1),
-    }
+# A URL's scheme and authority, as RFC 3986 delimits them.
+URL_SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.\-]*:)?"
+URL_AUTHORITY = r"(?://[^/?#]*)?"
+
+
+def _bare_url(url: Column) -> Column:
+    return F.translate(strip(text_or_empty(url)), "\t\r\n", "")
+
+
+def url_host(url: Column) -> Column:
+    return F.lower(F.regexp_extract(_bare_url(url), rf"^{URL_SCHEME}//([^/?#]*)", 1))
+
+
+def url_origin(url: Column) -> Column:
+    """Scheme and authority as written, ``https://host``."""
+    return F.regexp_extract(_bare_url(url), rf"^({URL_SCHEME}{URL_AUTHORITY})", 1)
+
+
+def url_path(url: Column) -> Column:
+    """Path without the parameters of its last segment."""
+    return F.regexp_extract(
+        _bare_url(url), rf"^{URL_SCHEME}{URL_AUTHORITY}([^?#]*?)(?:;[^/?#]*)?(?:[?#].*)?$", 1)
+
+
+def url_query(url: Column) -> Column:
+    return F.regexp_extract(_bare_url(url), r"^[^?#]*\?([^#]*)", 1)
 
 
 def canonical_url(url: Column) -> Column:
-    """Job URL without tracking parameters, fragment or an application suffix."""
-    part = split_url(url)
-    path = F.regexp_replace(part["path"], r"(?i)/(?:apply|application)/?$", "")
-    path = F.rtrim(path, F.lit("/"))
-    prefix = F.when(part["scheme"] != "", F.concat(part["scheme"], F.lit(":"))).otherwise("")
-    host = F.when(part["host"] != "", F.concat(F.lit("//"), part["host"])).otherwise("")
-    return F.concat(prefix, host, path)
+    """Job URL without tracking parameters, fragment or an application suffix.
+
+    The origin in lower case, then the path cut before, from its end backwards:
+    fragment, query, parameters, one "apply" segment, slashes.
+    """
+    origin = rf"^({URL_SCHEME}{URL_AUTHORITY})"
+    path = (rf"^{URL_SCHEME}{URL_AUTHORITY}([^?#]*?)(?:/*/(?i:apply|application)/?|/*)"
+            r"(?:;[^/?#]*)?(?:[?#].*)?$")
+    return let(_bare_url(url), lambda u: F.concat(
+        F.lower(F.regexp_extract(u, origin, 1)), F.regexp_extract(u, path, 1)))
 
 
 def url_hash(canonical: Column) -> Column:

@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from openroles.functions.text import norm_employer, path_parts, split_url, strip, text_or_empty
+from openroles.functions.text import (
+    norm_employer, path_parts, strip, text_or_empty, url_host, url_path, url_query,
+)
 from openroles.operators.dedup import first_n
 
 
@@ -135,32 +137,35 @@ def sponsored_only(postings: DataFrame, companies: DataFrame) -> DataFrame:
     return postings.join(known, "company")
 
 
-def url_key(url: Column) -> Column:
-    """``struct(platform, board, id)`` of a job URL by its platform's rule.
+def with_url_key(rows: DataFrame, url: str = "job_url") -> DataFrame:
+    """Columns ``url_host``, ``url_platform``, ``url_board``, ``url_id`` of a job URL.
 
-    ``platform`` is null for hosts without a rule.
+    The posting id by its platform's rule. ``url_platform`` is null for hosts
+    without a rule. Built in steps, each of which uses the one before by name.
     """
-    part = split_url(url)
-    host, parts = part["host"], path_parts(F.regexp_replace(
-        part["path"], r"(?i)/(?:apply|application)/?$", ""))
-    first, last = F.get(parts, F.lit(0)), F.get(parts, F.size(parts) - 1)
-    query_id = F.regexp_extract(part["query"], r"(?:^|&)gh_jid=([^&]+)", 1)
-    platform = (
+    parts = path_parts(F.regexp_replace(url_path(F.col(url)), r"(?i)/(?:apply|application)/?$", ""))
+    rows = rows.withColumns({
+        "url_host": url_host(F.col(url)), "_parts": parts,
+        "_query_id": F.regexp_extract(url_query(F.col(url)), r"(?:^|&)gh_jid=([^&]+)", 1)})
+    host = F.col("url_host")
+    rows = rows.withColumn("url_platform", (
         F.when(F.contains(host, F.lit("greenhouse.io")), "greenhouse")
         .when(F.contains(host, F.lit("lever.co")), "lever")
         .when(F.contains(host, F.lit("ashbyhq.com")), "ashby")
         .when(F.contains(host, F.lit("smartrecruiters.com")), "smartrecruiters")
-        .when(F.contains(host, F.lit("myworkdayjobs.com")), "workday")
-    )
-    board = F.when(platform == "workday", F.substring_index(host, ".", 1)).otherwise(first)
+        .when(F.contains(host, F.lit("myworkdayjobs.com")), "workday")))
+    platform, last = F.col("url_platform"), F.get("_parts", F.size("_parts") - 1)
     job_id = (
         F.when(platform == "smartrecruiters", F.substring_index(last, "-", 1))
         .when(platform == "workday", F.substring_index(last, "_", -1))
-        .when((platform == "greenhouse") & (query_id != ""), query_id)
+        .when((platform == "greenhouse") & (F.col("_query_id") != ""), F.col("_query_id"))
         .otherwise(last)
     )
-    return F.struct(platform.alias("platform"), F.lower(board).alias("board"),
-                    F.when(F.size(parts) > 0, job_id).alias("id"))
+    board = F.when(platform == "workday", F.substring_index(host, ".", 1)) \
+        .otherwise(F.get("_parts", F.lit(0)))
+    return rows.withColumns({
+        "url_board": F.lower(board), "url_id": F.when(F.size("_parts") > 0, job_id),
+    }).drop("_parts", "_query_id")
 
 
 def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataFrame:
@@ -172,30 +177,26 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
     """
     fresh = first_n(incoming, ["url_hash"], order)
     fresh = fresh.join(stored.select("url_hash").distinct(), "url_hash", "left_anti")
-    fresh = fresh.withColumns({
-        "_key": url_key(F.col("job_url")), "_id": text_or_empty(F.col("source_job_id")),
-        "_host": split_url(F.col("job_url"))["host"]})
-
-    stored_keys = stored.select(url_key(F.col("job_url")).alias("k"),
-                                split_url(F.col("job_url"))["host"].alias("_host"), "job_url")
-    ruled = stored_keys.filter(F.col("k.platform").isNotNull() & F.col("k.id").isNotNull()) \
-        .select(F.col("k.platform").alias("_platform"), F.col("k.id").alias("_stored_id")).distinct()
-    fresh = fresh.withColumn("_platform", F.col("_key.platform"))
+    fresh = with_url_key(fresh).withColumn("_id", text_or_empty(F.col("source_job_id")))
+    stored_keys = with_url_key(stored.select("job_url"))
+
+    ruled = stored_keys.filter(F.col("url_platform").isNotNull() & F.col("url_id").isNotNull()) \
+        .select(F.col("url_platform").alias("_platform"), F.col("url_id").alias("_stored_id")).distinct()
     by_rule = fresh.join(
-        ruled, (fresh["_platform"] == ruled["_platform"]) & (fresh["_id"] == ruled["_stored_id"])
+        ruled, (fresh["url_platform"] == ruled["_platform"]) & (fresh["_id"] == ruled["_stored_id"])
         & (fresh["_id"] != ""), "left_anti")
 
     # Hosts without a rule: all pieces of their stored URLs that are as long as
     # an incoming id of such a host.
-    asked = fresh.filter(F.col("_platform").isNull() & (F.col("_id") != "")).select("_id")
-    unruled = stored_keys.filter(F.col("k.platform").isNull()).withColumn(
+    asked = fresh.filter(F.col("url_platform").isNull() & (F.col("_id") != "")).select("_id")
+    unruled = stored_keys.filter(F.col("url_platform").isNull()).withColumn(
         "_lens", _asked_lengths(asked, "_id"))
     pieces = _substrings(unruled, "job_url", "_lens", "_piece").select(
-        F.col("_host").alias("_stored_host"), "_piece").distinct()
+        F.col("url_host").alias("_stored_host"), "_piece").distinct()
     kept = by_rule.join(
-        pieces, by_rule["_platform"].isNull() & (by_rule["_host"] == pieces["_stored_host"])
+        pieces, by_rule["url_platform"].isNull() & (by_rule["url_host"] == pieces["_stored_host"])
         & (by_rule["_id"] == pieces["_piece"]), "left_anti")
-    return kept.drop("_key", "_id", "_host", "_platform")
+    return kept.drop("url_host", "url_platform", "url_board", "url_id", "_id")
 
 
 def job_rows(postings: DataFrame, resolved: DataFrame) -> DataFrame:

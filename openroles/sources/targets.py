@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openroles import fixed_values as fixed
-from openroles.functions.text import brand_key, first_non_empty, path_parts, split_url, text_or_empty
+from openroles.functions.text import (
+    brand_key, first_non_empty, path_parts, text_or_empty, url_host, url_origin, url_path,
+)
 
 TARGET_SCHEMA = "platform string, identifier string, company string, base_url string, site string"
 
@@ -33,10 +35,9 @@ def _last_per_key(targets: DataFrame, order: str) -> DataFrame:
 
 def url_targets(known_jobs: DataFrame) -> DataFrame:
     """Board coordinates of each stored job URL; one row in, at most one row out."""
-    part = split_url(F.col("job_url"))
-    rows = known_jobs.select(
-        "*", part["scheme"].alias("_scheme"), part["authority"].alias("_authority"),
-        part["host"].alias("_host"), path_parts(part["path"]).alias("_parts"))
+    url = F.col("job_url")
+    rows = known_jobs.select("*", url_origin(url).alias("_origin"), url_host(url).alias("_host"),
+                             path_parts(url_path(url)).alias("_parts"))
     host, parts = F.col("_host"), F.col("_parts")
     first = F.get(parts, F.lit(0))
     platform = (
@@ -54,7 +55,7 @@ def url_targets(known_jobs: DataFrame) -> DataFrame:
     rows = rows.filter(~is_workday | ~F.col("site").isin("", "job"))
     identifier = F.when(is_workday, F.substring_index(host, ".", 1)).otherwise(first)
     base_url = (
-        F.when(is_workday, F.concat("_scheme", F.lit("://"), "_authority"))
+        F.when(is_workday, F.col("_origin"))
         .when(F.col("platform") == "lever",
               F.when(F.contains(host, F.lit(".eu.")), "https://api.eu.lever.co")
               .otherwise("https://api.lever.co"))
@@ -63,8 +64,7 @@ def url_targets(known_jobs: DataFrame) -> DataFrame:
     name = text_or_empty(F.col("employer_name"))
     return rows.withColumn("identifier", identifier).withColumn("base_url", base_url).withColumn(
         "company", first_non_empty(name, F.col("identifier"))
-    ).filter(brand_key(F.col("identifier")) == brand_key(name)).drop(
-        "_scheme", "_authority", "_host", "_parts")
+    ).filter(brand_key(F.col("identifier")) == brand_key(name)).drop("_origin", "_host", "_parts")
 
 
 def discover_targets(known_jobs: DataFrame, order: str = "job_id") -> DataFrame:
