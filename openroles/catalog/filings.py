@@ -115,7 +115,8 @@ def table(v: Views) -> DataFrame:
 
 @query("h1b_scan_coerce", f"SELECT * REPLACE (coalesce(naics_code, '') AS naics_code) FROM ({H1B_SCAN})")
 def h1b_scan_coerce(v):
-    return plain(scan_h1b(h1b(v)))
+    rows = scan_h1b(h1b(v))
+    return plain(rows.withColumn("naics_code", F.col("naics").cast("string")).drop("naics"))
 
 
 @query("h1b_rollup", f"SELECT * REPLACE (coalesce(naics_code, '') AS naics_code) FROM ({H1B_ROLLUP})")

@@ -13,6 +13,7 @@ from openroles.operators import dedup, matching, merge
 from openroles.operators.vectors import cosine_topk, embedder
 from openroles.plans import digest as digest_plan
 from openroles.operators.digest import eligible_pending
+from openroles.session import rows_up_to
 from openroles.sources.resumes import resume_profiles
 
 ASOF_TS = F.lit(ASOF).cast("timestamp_ntz")
@@ -62,7 +63,11 @@ SIMILAR = f"""
 
 
 def similar(v) -> DataFrame:
-    return matching.similar_jobs(hits(v), v("v_jobs"), v("v_companies_rated"))
+    rows = profiles(v)
+    count = rows_up_to(rows, 10_000)
+    found = cosine_topk(rows, v("v_vectors"), K, THRESHOLD, profiles=count)
+    return matching.similar_jobs(found, v("v_jobs"), v("v_companies_rated"),
+                                 None if count is None else count * K)
 
 
 @query("similar_jobs", f"""

@@ -169,34 +169,41 @@ def with_url_key(rows: DataFrame, url: str = "job_url") -> DataFrame:
 
 
 def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataFrame:
-    """Incoming postings not stored yet, one per URL hash, by two anti-joins.
+    """Incoming postings not stored yet, one per URL hash, by anti-joins.
 
     First on the hash of the canonical URL, then on the posting id: equality on
-    (platform, id) where the stored URL's host has a rule, and for other hosts
+    platform and id where the stored URL's host has a rule, and for other hosts
     the id as part of a stored URL of the same host.
+
+    Rows a join cannot match (no id, or a host of the other kind) get a key of
+    their own there, so they spread evenly instead of meeting under one key.
     """
     fresh = first_n(incoming, ["url_hash"], order)
     fresh = fresh.join(stored.select("url_hash").distinct(), "url_hash", "left_anti")
-    fresh = with_url_key(fresh).withColumn("_id", text_or_empty(F.col("source_job_id")))
-    stored_keys = with_url_key(stored.select("job_url"))
+    fresh = with_url_key(fresh)
+    job_id = text_or_empty(F.col("source_job_id"))
+    unmatched = F.concat(F.lit("none:"), "url_hash")
+    ruled = F.col("url_platform").isNotNull()
+    fresh = fresh.withColumns({
+        "_rule_key": F.when(ruled & (job_id != ""), F.concat_ws(":", F.lit("id"), "url_platform", job_id))
+        .otherwise(unmatched),
+        "_part_key": F.when(~ruled & (job_id != ""), F.concat_ws(":", F.lit("id"), "url_host", job_id))
+        .otherwise(unmatched),
+        "_part_id": F.when(~ruled & (job_id != ""), job_id)})
 
-    ruled = stored_keys.filter(F.col("url_platform").isNotNull() & F.col("url_id").isNotNull()) \
-        .select(F.col("url_platform").alias("_platform"), F.col("url_id").alias("_stored_id")).distinct()
-    by_rule = fresh.join(
-        ruled, (fresh["url_platform"] == ruled["_platform"]) & (fresh["_id"] == ruled["_stored_id"])
-        & (fresh["_id"] != ""), "left_anti")
+    stored_keys = with_url_key(stored.select("job_url"))
+    by_rule = stored_keys.filter(ruled & F.col("url_id").isNotNull()).select(
+        F.concat_ws(":", F.lit("id"), "url_platform", "url_id").alias("_rule_key")).distinct()
 
     # Hosts without a rule: all pieces of their stored URLs that are as long as
     # an incoming id of such a host.
-    asked = fresh.filter(F.col("url_platform").isNull() & (F.col("_id") != "")).select("_id")
-    unruled = stored_keys.filter(F.col("url_platform").isNull()).withColumn(
-        "_lens", _asked_lengths(asked, "_id"))
+    asked = fresh.select("_part_id").filter("_part_id is not null")
+    unruled = stored_keys.filter(~ruled).withColumn("_lens", _asked_lengths(asked, "_part_id"))
     pieces = _substrings(unruled, "job_url", "_lens", "_piece").select(
-        F.col("url_host").alias("_stored_host"), "_piece").distinct()
-    kept = by_rule.join(
-        pieces, by_rule["url_platform"].isNull() & (by_rule["url_host"] == pieces["_stored_host"])
-        & (by_rule["_id"] == pieces["_piece"]), "left_anti")
-    return kept.drop("url_host", "url_platform", "url_board", "url_id", "_id")
+        F.concat_ws(":", F.lit("id"), "url_host", "_piece").alias("_part_key")).distinct()
+    return fresh.join(by_rule, "_rule_key", "left_anti").join(
+        pieces, "_part_key", "left_anti").drop(
+        "url_host", "url_platform", "url_board", "url_id", "_rule_key", "_part_key", "_part_id")
 
 
 def job_rows(postings: DataFrame, resolved: DataFrame) -> DataFrame:

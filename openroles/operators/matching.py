@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from openroles import fixed_values as fixed
 from openroles.functions.rules import auth_class, is_recent, location_verdict, title_level
 from openroles.functions.scores import parse_score_json
-from openroles.session import broadcast_if_bounded
+from openroles.session import broadcast_if_bounded, left_join_spread
 
 COMPANY_FACTS = ("employer_name", "approval_rate", "total_approvals", "h1b_approvals",
                  "perm_approvals", "lca_approvals")
@@ -39,7 +39,7 @@ def eligible_hits(checked: DataFrame) -> DataFrame:
 def with_history(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Employer history, attached after all filters; absent history stays null."""
     facts = companies.select("company_id", *[c for c in COMPANY_FACTS if c in companies.columns])
-    return rows.join(facts, "company_id", "left")
+    return left_join_spread(rows, facts, "company_id", by="job_id")
 
 
 def similar_jobs(hits: DataFrame, jobs: DataFrame, companies: DataFrame,

@@ -13,12 +13,17 @@ from openroles.schemas import COUNTERS
 from openroles.sources.filings import scan_disclosures, scan_h1b
 
 
+def _first_naics() -> Column:
+    """First known NAICS code. Kept a number until here, so the aggregate stays a hash one."""
+    known = F.when(F.col("naics").isNotNull(), F.col("ord"))
+    return F.min_by("naics", known).cast("string")
+
+
 def h1b_rollup(raw: DataFrame) -> DataFrame:
     """Sums per employer and the first NAICS code in input order (``ord``)."""
     rows = scan_h1b(raw)
     return rows.groupBy("employer_name").agg(
-        F.min_by("naics_code", F.when(F.col("naics_code").isNotNull(), F.col("ord")))
-        .alias("naics_code"),
+        _first_naics().alias("naics_code"),
         F.sum(F.col("initial_approvals") + F.col("continuing_approvals")).alias("h1b_approvals"),
         F.sum(F.col("initial_denials") + F.col("continuing_denials")).alias("h1b_denials"),
     )
@@ -51,7 +56,7 @@ def lca_rollup(raw: DataFrame) -> DataFrame:
 
 def _in_wide_form(rows: DataFrame, **values: Column) -> DataFrame:
     filled = [values.get(c, F.lit(0)).cast("bigint").alias(c) for c in COUNTERS]
-    naics = values.get("naics_code", F.lit(None)).cast("string").alias("naics_code")
+    naics = values.get("naics", F.lit(None)).cast("bigint").alias("naics")
     order = values.get("ord", F.lit(None)).cast("bigint").alias("ord")
     return rows.select("employer_name", naics, order, *filled)
 
@@ -67,7 +72,7 @@ def company_rollup(h1b: DataFrame | None, perm: DataFrame | None,
     parts = []
     if h1b is not None:
         parts.append(_in_wide_form(
-            scan_h1b(h1b), naics_code=F.col("naics_code"), ord=F.col("ord"),
+            scan_h1b(h1b), naics=F.col("naics"), ord=F.col("ord"),
             h1b_approvals=F.col("initial_approvals") + F.col("continuing_approvals"),
             h1b_denials=F.col("initial_denials") + F.col("continuing_denials")))
     for raw, column, program in ((perm, "EMP_BUSINESS_NAME", "perm"), (lca, "EMPLOYER_NAME", "lca")):
@@ -79,9 +84,8 @@ def company_rollup(h1b: DataFrame | None, perm: DataFrame | None,
     if not parts:
         raise ValueError("no filing program given")
     rows = reduce(DataFrame.unionByName, parts)
-    naics = F.min_by("naics_code", F.when(F.col("naics_code").isNotNull(), F.col("ord")))
     return rows.groupBy("employer_name").agg(
-        naics.alias("naics_code"), *[F.sum(c).alias(c) for c in COUNTERS])
+        _first_naics().alias("naics_code"), *[F.sum(c).alias(c) for c in COUNTERS])
 
 
 def preserve_h1b(fresh: DataFrame, stored: DataFrame) -> DataFrame:

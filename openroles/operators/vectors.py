@@ -96,16 +96,18 @@ def _scan_block(queries: DataFrame, vectors: DataFrame, k: int, threshold: float
 
 def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = fixed.MATCH_LIMIT,
                 threshold: float = fixed.MATCH_THRESHOLD, digits: int = 9,
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, profiles: int | None = None) -> DataFrame:
     """Best ``k`` jobs per profile with a similarity above the threshold, ranked.
 
     ``queries(resume_id, embedding)``, ``vectors(job_id, embedding)``. Vectors
     without length have no direction and are left out. Equal similarities (to
-    ``digits`` decimals) rank by job id.
+    ``digits`` decimals) rank by job id. ``profiles`` is their number if known.
     """
     queries = queries.select("resume_id", "embedding").filter("embedding is not null")
     vectors = vectors.select("job_id", "embedding").filter("embedding is not null")
-    if rows_up_to(queries, block_rows) is not None:
+    if profiles is None:
+        profiles = rows_up_to(queries, block_rows)
+    if profiles is not None and profiles <= block_rows:
         blocks = [queries]
     else:
         # More profiles than one block: split by hash, each block bounded well

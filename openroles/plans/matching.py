@@ -13,6 +13,9 @@ from openroles.functions.text import parse_vector
 from openroles.operators.matching import score_candidates, similar_jobs
 from openroles.operators.merge import upsert_matches
 from openroles.operators.vectors import cosine_topk
+from openroles.session import rows_up_to
+
+HIT_BOUND = 1_000_000  # hits of three numbers each, the most that is broadcast
 
 
 def profile_vectors(resumes: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:
@@ -38,8 +41,9 @@ def candidates(profiles: DataFrame, vectors: DataFrame, jobs: DataFrame, compani
 
     The filters come after the top-k on purpose, so fewer than ``k`` may remain.
     """
-    hits = cosine_topk(profiles, vectors, k, threshold)
-    survivors = similar_jobs(hits, jobs, companies)
+    count = rows_up_to(profiles, HIT_BOUND // k)
+    hits = cosine_topk(profiles, vectors, k, threshold, profiles=count)
+    survivors = similar_jobs(hits, jobs, companies, None if count is None else count * k)
     return score_candidates(survivors, ["rank", "job_id"], max_jobs)
 
 

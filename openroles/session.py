@@ -78,6 +78,20 @@ def broadcast_if_bounded(df: DataFrame, rows: int | None, limit: int = 1_000_000
     return df
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, by: str,
+                     shares: int = 64) -> DataFrame:
+    """Left join in which rows without a key do not meet in one task.
+
+    Rows with a null key get one of ``shares`` numbers, from the column ``by``,
+    as a second join column and so hash apart. A hot key that is not null is
+    left to AQE's skew join.
+    """
+    share = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(by), F.lit(shares)))
+    spread = left.withColumn("_share", F.coalesce(share, F.lit(0)).cast("bigint"))
+    return spread.join(right.withColumn("_share", F.lit(0).cast("bigint")), [key, "_share"],
+                       "left").drop("_share")
+
+
 def rows_up_to(df: DataFrame, limit: int) -> int | None:
     """Row count when it is at most ``limit``, else ``None``; never scans past it."""
     n = df.limit(limit + 1).count()

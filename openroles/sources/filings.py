@@ -30,11 +30,11 @@ def to_count(c: Column) -> Column:
 
 
 def scan_h1b(raw: DataFrame) -> DataFrame:
-    """Employer, NAICS and the four counters of one H-1B row, blank employers dropped."""
+    """Employer, NAICS number and the four counters of each H-1B row, blank employers dropped."""
     naics = F.when(strip(raw["NAICS"]).rlike(NUMBER_TEXT), strip(raw["NAICS"]).try_cast("double"))
     return raw.select(
         norm_employer(missing_to_null(raw["Employer"])).alias("employer_name"),
-        naics.cast("long").cast("string").alias("naics_code"),
+        naics.cast("long").alias("naics"),
         to_count(raw["Initial Approval"]).alias("initial_approvals"),
         to_count(raw["Initial Denial"]).alias("initial_denials"),
         to_count(raw["Continuing Approval"]).alias("continuing_approvals"),

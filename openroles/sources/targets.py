@@ -9,6 +9,7 @@ from openroles import fixed_values as fixed
 from openroles.functions.text import (
     brand_key, first_non_empty, path_parts, text_or_empty, url_host, url_origin, url_path,
 )
+from openroles.session import left_join_spread
 
 TARGET_SCHEMA = "platform string, identifier string, company string, base_url string, site string"
 
@@ -84,5 +85,5 @@ def merge_targets(*groups: DataFrame) -> DataFrame:
 
 def known_feed_jobs(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     """Stored job URLs with the employer they are linked to, if any."""
-    return jobs.select("job_id", "job_url", "company_id").join(
-        companies.select(F.col("company_id"), "employer_name"), "company_id", "left")
+    return left_join_spread(jobs.select("job_id", "job_url", "company_id"),
+                            companies.select("company_id", "employer_name"), "company_id", by="job_id")
