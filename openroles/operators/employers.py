@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from openroles.functions.text import (
-    norm_employer, path_parts, strip, text_or_empty, url_host, url_path, url_query,
+    let, norm_employer, path_parts, strip, text_or_empty, url_host, url_path, url_query,
 )
 from openroles.operators.dedup import first_n
 
@@ -81,7 +81,9 @@ def resolve_employers(names: DataFrame, companies: DataFrame) -> DataFrame:
         spelled, F.col("company") == F.col("s_employer_name"), "left")
 
     sponsors = known.filter(F.col("total_approvals") > 0)
-    prefix = best_by_prefix(sponsors, asked).select(
+    # Lengths of all names, repeated or not: no need to wait for the distinct ones.
+    lengths_of = names.select(norm_employer(F.col("company")).alias("name"))
+    prefix = best_by_prefix(sponsors, lengths_of).select(
         F.col("prefix"), *[F.col(c).alias(f"p_{c}") for c in known.columns])
     rows = rows.join(prefix, F.col("name") == F.col("prefix"), "left")
 
@@ -125,8 +127,7 @@ def filter_by_sponsorship(postings: DataFrame, companies: DataFrame,
     counts. The rate is a percentage.
     """
     named = postings.withColumn("_name", F.upper(strip(text_or_empty(F.col("company")))))
-    names = named.filter(F.col("_name") != "").select(F.col("_name").alias("name")).distinct()
-    best = best_containing(companies, names).filter(F.col("approval_rate") >= min_rate)
+    best = best_containing(companies, named.select(F.col("_name").alias("name"))).filter(F.col("approval_rate") >= min_rate)
     return named.join(best, F.col("_name") == F.col("piece")).drop("_name", "piece")
 
 
@@ -137,35 +138,52 @@ def sponsored_only(postings: DataFrame, companies: DataFrame) -> DataFrame:
     return postings.join(known, "company")
 
 
-def with_url_key(rows: DataFrame, url: str = "job_url") -> DataFrame:
-    """Columns ``url_host``, ``url_platform``, ``url_board``, ``url_id`` of a job URL.
+def url_key(url: Column) -> Column:
+    """``struct(host, platform, board, id)`` of a job URL.
 
-    The posting id by its platform's rule. ``url_platform`` is null for hosts
-    without a rule. Built in steps, each of which uses the one before by name.
+    The posting id by its platform's rule. ``platform`` is null for hosts
+    without a rule.
     """
-    parts = path_parts(F.regexp_replace(url_path(F.col(url)), r"(?i)/(?:apply|application)/?$", ""))
-    rows = rows.withColumns({
-        "url_host": url_host(F.col(url)), "_parts": parts,
-        "_query_id": F.regexp_extract(url_query(F.col(url)), r"(?:^|&)gh_jid=([^&]+)", 1)})
-    host = F.col("url_host")
-    rows = rows.withColumn("url_platform", (
+    parts = F.struct(
+        url_host(url).alias("host"),
+        path_parts(F.regexp_replace(url_path(url), r"(?i)/(?:apply|application)/?$", ""))
+        .alias("parts"),
+        F.regexp_extract(url_query(url), r"(?:^|&)gh_jid=([^&]+)", 1).alias("query_id"))
+    return let(parts, lambda p: let(_platform(p["host"]), lambda platform: _url_key(p, platform)))
+
+
+def _platform(host: Column) -> Column:
+    return (
         F.when(F.contains(host, F.lit("greenhouse.io")), "greenhouse")
         .when(F.contains(host, F.lit("lever.co")), "lever")
         .when(F.contains(host, F.lit("ashbyhq.com")), "ashby")
         .when(F.contains(host, F.lit("smartrecruiters.com")), "smartrecruiters")
-        .when(F.contains(host, F.lit("myworkdayjobs.com")), "workday")))
-    platform, last = F.col("url_platform"), F.get("_parts", F.size("_parts") - 1)
+        .when(F.contains(host, F.lit("myworkdayjobs.com")), "workday"))
+
+
+def _url_key(p: Column, platform: Column) -> Column:
+    first, last = F.get(p["parts"], F.lit(0)), F.get(p["parts"], F.size(p["parts"]) - 1)
     job_id = (
         F.when(platform == "smartrecruiters", F.substring_index(last, "-", 1))
         .when(platform == "workday", F.substring_index(last, "_", -1))
-        .when((platform == "greenhouse") & (F.col("_query_id") != ""), F.col("_query_id"))
-        .otherwise(last)
-    )
-    board = F.when(platform == "workday", F.substring_index(host, ".", 1)) \
-        .otherwise(F.get("_parts", F.lit(0)))
-    return rows.withColumns({
-        "url_board": F.lower(board), "url_id": F.when(F.size("_parts") > 0, job_id),
-    }).drop("_parts", "_query_id")
+        .when((platform == "greenhouse") & (p["query_id"] != ""), p["query_id"])
+        .otherwise(last))
+    board = F.when(platform == "workday", F.substring_index(p["host"], ".", 1)).otherwise(first)
+    return F.struct(p["host"].alias("host"), platform.alias("platform"),
+                    F.lower(board).alias("board"), job_id.alias("id"))
+
+
+def _only(value: Column) -> Column:
+    """Generator of the value when it is not null.
+
+    Unlike a filter it is not pushed down, so the value is derived once.
+    """
+    return F.explode(F.array_compact(F.array(value)))
+
+
+def _rule_key(platform: Column, job_id: Column) -> Column:
+    return F.when(platform.isNotNull() & (text_or_empty(job_id) != ""),
+                  F.concat_ws(":", F.lit("id"), platform, job_id))
 
 
 def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataFrame:
@@ -178,32 +196,33 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
     Rows a join cannot match (no id, or a host of the other kind) get a key of
     their own there, so they spread evenly instead of meeting under one key.
     """
-    fresh = first_n(incoming, ["url_hash"], order)
-    fresh = fresh.join(stored.select("url_hash").distinct(), "url_hash", "left_anti")
-    fresh = with_url_key(fresh)
-    job_id = text_or_empty(F.col("source_job_id"))
-    unmatched = F.concat(F.lit("none:"), "url_hash")
-    ruled = F.col("url_platform").isNotNull()
-    fresh = fresh.withColumns({
-        "_rule_key": F.when(ruled & (job_id != ""), F.concat_ws(":", F.lit("id"), "url_platform", job_id))
-        .otherwise(unmatched),
-        "_part_key": F.when(~ruled & (job_id != ""), F.concat_ws(":", F.lit("id"), "url_host", job_id))
-        .otherwise(unmatched),
-        "_part_id": F.when(~ruled & (job_id != ""), job_id)})
-
-    stored_keys = with_url_key(stored.select("job_url"))
-    by_rule = stored_keys.filter(ruled & F.col("url_id").isNotNull()).select(
-        F.concat_ws(":", F.lit("id"), "url_platform", "url_id").alias("_rule_key")).distinct()
+    url, job_id = F.col("job_url"), text_or_empty(F.col("source_job_id"))
+    fresh = first_n(incoming, ["url_hash"], order).join(
+        stored.select("url_hash"), "url_hash", "left_anti")
+    own = F.concat(F.lit("none:"), "url_hash")
+
+    def part_key(k: Column) -> Column:
+        return F.when(k["platform"].isNull() & (job_id != ""),
+                      F.concat_ws(":", F.lit("id"), k["host"], job_id))
+
+    keys = let(url_key(url), lambda k: F.struct(
+        F.coalesce(_rule_key(k["platform"], job_id), own).alias("rule"),
+        F.coalesce(part_key(k), own).alias("part")))
+    fresh = fresh.withColumn("_keys", keys).withColumns({
+        "_rule_key": F.col("_keys.rule"), "_part_key": F.col("_keys.part")}).drop("_keys")
+
+    by_rule = stored.select(_only(let(url_key(url), lambda k: _rule_key(
+        k["platform"], k["id"]))).alias("_rule_key")).distinct()
 
     # Hosts without a rule: all pieces of their stored URLs that are as long as
-    # an incoming id of such a host.
-    asked = fresh.select("_part_id").filter("_part_id is not null")
-    unruled = stored_keys.filter(~ruled).withColumn("_lens", _asked_lengths(asked, "_part_id"))
+    # an incoming id.
+    lengths = _asked_lengths(incoming.select(job_id.alias("_id")), "_id")
+    unruled = stored.select("job_url", _only(let(url_host(url), lambda h: F.when(
+        _platform(h).isNull(), h))).alias("_host")).withColumn("_lens", lengths)
     pieces = _substrings(unruled, "job_url", "_lens", "_piece").select(
-        F.concat_ws(":", F.lit("id"), "url_host", "_piece").alias("_part_key")).distinct()
+        F.concat_ws(":", F.lit("id"), "_host", "_piece").alias("_part_key")).distinct()
     return fresh.join(by_rule, "_rule_key", "left_anti").join(
-        pieces, "_part_key", "left_anti").drop(
-        "url_host", "url_platform", "url_board", "url_id", "_rule_key", "_part_key", "_part_id")
+        pieces, "_part_key", "left_anti").drop("_rule_key", "_part_key")
 
 
 def job_rows(postings: DataFrame, resolved: DataFrame) -> DataFrame:
