@@ -114,7 +114,7 @@ SCORED = f"""
 
 def scored_hits(v) -> DataFrame:
     answers = v("v_answers").select("job_id", "response", "provider_error")
-    return matching.scored(hits(v).join(answers, "job_id"))
+    return matching.scored(hits(v).join(answers, "job_id"), joined="similarity")
 
 
 @query("score_outcomes", """

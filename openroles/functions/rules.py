@@ -51,11 +51,15 @@ def is_recent(posted: Column, asof: Column, lookback_days: int = 7) -> Column:
     return posted.isNull() | (posted >= asof - F.make_dt_interval(F.lit(lookback_days)))
 
 
-def location_verdict(location: Column, description: Column) -> Column:
-    """``struct(eligible, reason)``: may the role be worked from the US."""
+def location_verdict(location: Column, description: Column,
+                     joined: Column | None = None) -> Column:
+    """``struct(eligible, reason)``: may the role be worked from the US.
+
+    ``joined``: see :func:`openroles.functions.text.let`.
+    """
     texts = F.struct(strip(text_or_empty(location)).alias("loc"),
                      strip(text_or_empty(description)).alias("desc"))
-    return let(texts, lambda t: _location_verdict(t["loc"], t["desc"]))
+    return let(texts, lambda t: _location_verdict(t["loc"], t["desc"]), joined)
 
 
 def _location_verdict(loc: Column, desc: Column) -> Column:
@@ -93,8 +97,9 @@ def _location_verdict(loc: Column, desc: Column) -> Column:
     )
 
 
-def is_us_eligible(location: Column, description: Column) -> Column:
-    return location_verdict(location, description).getField("eligible")
+def is_us_eligible(location: Column, description: Column,
+                   joined: Column | None = None) -> Column:
+    return location_verdict(location, description, joined).getField("eligible")
 
 
 def _folded(text: Column) -> Column:
@@ -102,7 +107,7 @@ def _folded(text: Column) -> Column:
     return F.lower(F.translate(text, "ſKıİ", "skii"))
 
 
-def auth_class(description: Column, title: Column) -> Column:
+def auth_class(description: Column, title: Column, joined: Column | None = None) -> Column:
     """``struct(status, reason)`` of the posting's work-authorization language.
 
     Every pattern needs a certain literal somewhere ("sponsor", "citizen", ...).
@@ -113,7 +118,7 @@ def auth_class(description: Column, title: Column) -> Column:
     text = F.concat(title, F.lit("\n"), text_or_empty(description))
     both = let(F.struct(title.alias("title"), text.alias("text")), lambda t: F.struct(
         t["title"].alias("title"), t["text"].alias("text"), _folded(t["text"]).alias("low")))
-    return let(both, lambda t: _auth_class(t["title"], t["text"], t["low"]))
+    return let(both, lambda t: _auth_class(t["title"], t["text"], t["low"]), joined)
 
 
 def _auth_class(title: Column, text: Column, low: Column) -> Column:

@@ -28,48 +28,60 @@ def _integer(text: Column) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("long"))
 
 
-def parse_score_json(response: Column, provider_error: Column | None = None) -> Column:
+def parse_score_json(response: Column, provider_error: Column | None = None,
+                     joined: Column | None = None) -> Column:
     """``struct(success, score, reasoning, key_matches, error, out_of_range)``.
 
     A response that does not parse is a failure with a null score, never a zero.
+    ``joined``: see :func:`openroles.functions.text.let`.
     """
     error = provider_error if provider_error is not None else F.lit(None).cast("string")
+    found = F.regexp_extract(response, "(?s)" + fixed.SCORE_OBJECT, 0)
+    fields = [found.alias("found"), response.alias("response"), error.alias("error")]
 
-    def parsed(found: Column) -> Column:
-        return F.try_parse_json(F.when(found != "", found).otherwise(strip(response)))
+    def parse(t: Column) -> Column:
+        doc = F.try_parse_json(F.when(t["found"] != "", t["found"]).otherwise(strip(t["response"])))
+        return let(doc, lambda d: let(_score_fields(d), lambda f: let(
+            f["is_object"] & f["score"].isNotNull() & t["error"].isNull(),
+            lambda ok: _score_result(f, F.coalesce(ok, F.lit(False)), t["error"]))))
 
-    doc = let(F.regexp_extract(response, "(?s)" + fixed.SCORE_OBJECT, 0), parsed)
-    return let(F.struct(doc.alias("doc"), error.alias("error")),
-               lambda t: _score_fields(t["doc"], t["error"]))
+    return let(F.struct(*fields), parse, joined)
 
 
-def _score_fields(doc: Column, error: Column) -> Column:
-    is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    raw = F.when(is_object, F.try_variant_get(doc, "$.score", "variant"))
-    kind = F.schema_of_variant(raw)
+def _score_fields(doc: Column) -> Column:
+    raw = F.try_variant_get(doc, "$.score", "variant")
+    # A document that is no object has no "$.score", so its raw score is null.
+    return let(F.struct(F.schema_of_variant(doc).alias("kind"), raw.alias("raw"),
+                        F.schema_of_variant(raw).alias("score_kind")), lambda t: F.struct(
+        t["kind"].startswith("OBJECT").alias("is_object"),
+        _score_value(doc, t["raw"], t["score_kind"]).alias("score"),
+        text_or_empty(F.try_variant_get(doc, "$.reasoning", "string")).alias("reasoning"),
+        F.try_variant_get(doc, "$.key_matches", "array<string>").alias("key_matches")))
+
+
+def _score_value(doc: Column, raw: Column, kind: Column) -> Column:
     as_text = F.try_variant_get(doc, "$.score", "string")
-    score = (
+    return (
         F.when(raw.isNull(), F.lit(0).cast("long"))
         .when(kind == "BIGINT", F.try_variant_get(doc, "$.score", "long"))
         .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
               F.try_variant_get(doc, "$.score", "double").try_cast("long"))
         .when(kind == "BOOLEAN", F.when(as_text == "true", 1).otherwise(0).cast("long"))
-        .when(kind == "STRING", _integer(as_text))
-    )
-    success = F.coalesce(error.isNull() & is_object & score.isNotNull(), F.lit(False))
+        .when(kind == "STRING", _integer(as_text)))
+
+
+def _score_result(fields: Column, success: Column, error: Column) -> Column:
+    none = F.array().cast("array<string>")
     return F.struct(
         success.alias("success"),
-        F.when(success, score).alias("score"),
-        F.when(success, text_or_empty(F.try_variant_get(doc, "$.reasoning", "string")))
-        .otherwise("").alias("reasoning"),
-        F.when(success, F.coalesce(
-            F.try_variant_get(doc, "$.key_matches", "array<string>"),
-            F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+        F.when(success, fields["score"]).alias("score"),
+        F.when(success, fields["reasoning"]).otherwise("").alias("reasoning"),
+        F.when(success, F.coalesce(fields["key_matches"], none)).otherwise(none)
         .alias("key_matches"),
         F.when(~success, F.coalesce(error, F.lit("response is not a score object")))
         .alias("error"),
-        F.coalesce(success & ~score.between(0, 100), F.lit(False)).alias("out_of_range"),
-    )
+        F.coalesce(success & ~fields["score"].between(0, 100), F.lit(False))
+        .alias("out_of_range"))
 
 
 def parse_score_lines(output: Column) -> Column:

@@ -10,14 +10,23 @@ from pyspark.sql import functions as F
 from openroles import fixed_values as fixed
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column],
+        joined: Column | None = None) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 
     An expression used several times inside ``when`` chains is otherwise copied
     into each use, by the optimizer too, and copies inside conditions are not
     shared. A lambda argument is bound once and stays one expression.
+
+    ``joined`` names a column of the other side of a join the rows come from.
+    It does not change the value, but a filter on the result then refers to
+    both sides and cannot be pushed below the join, where a costly rule would
+    run on every row of a large table instead of on the few that joined.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    if joined is None:
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+    pair = F.array(F.struct(value.alias("value"), joined.alias("joined")))
+    return F.get(F.transform(pair, lambda p: body(p["value"])), F.lit(0))
 
 
 def strip(c: Column) -> Column:
@@ -53,44 +62,55 @@ def join_non_empty(parts: Column, separator: str) -> Column:
 
 
 # A URL's scheme and authority, as RFC 3986 delimits them.
-URL_SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.\-]*:)?"
-URL_AUTHORITY = r"(?://[^/?#]*)?"
+URL_ORIGIN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?"
 
 
-def _bare_url(url: Column) -> Column:
-    return F.translate(strip(text_or_empty(url)), "\t\r\n", "")
+def url_parts(url: Column) -> Column:
+    """``struct(origin, path, query)`` of a URL.
 
+    The origin is as written; the path is without the parameters of its last
+    segment. Only the anchored origin is matched by pattern, the rest are byte
+    searches.
+    """
+    bare = F.translate(strip(text_or_empty(url)), "\t\r\n", "")
 
-def url_host(url: Column) -> Column:
-    return F.lower(F.regexp_extract(_bare_url(url), rf"^{URL_SCHEME}//([^/?#]*)", 1))
+    def split(u: Column) -> Column:
+        before = F.substring_index(u, "#", 1)
+        base = F.substring_index(before, "?", 1)
+        return let(F.struct(base.alias("base"), F.regexp_extract(base, URL_ORIGIN, 0)
+                            .alias("origin"), before.alias("before")), cut)
 
+    def cut(t: Column) -> Column:
+        path = F.substr(t["base"], F.length(t["origin"]) + 1)
+        return F.struct(
+            t["origin"].alias("origin"),
+            F.when(F.contains(path, F.lit(";")), F.regexp_replace(path, r";[^/]*$", ""))
+            .otherwise(path).alias("path"),
+            F.substr(t["before"], F.length(t["base"]) + 2).alias("query"))
 
-def url_origin(url: Column) -> Column:
-    """Scheme and authority as written, ``https://host``."""
-    return F.regexp_extract(_bare_url(url), rf"^({URL_SCHEME}{URL_AUTHORITY})", 1)
+    return let(bare, split)
 
 
-def url_path(url: Column) -> Column:
-    """Path without the parameters of its last segment."""
-    return F.regexp_extract(
-        _bare_url(url), rf"^{URL_SCHEME}{URL_AUTHORITY}([^?#]*?)(?:;[^/?#]*)?(?:[?#].*)?$", 1)
+def origin_host(origin: Column) -> Column:
+    """Host in lower case; empty for an origin without an authority."""
+    return F.when(F.contains(origin, F.lit("//")), F.lower(F.substring_index(origin, "//", -1))) \
+        .otherwise("")
 
 
-def url_query(url: Column) -> Column:
-    return F.regexp_extract(_bare_url(url), r"^[^?#]*\?([^#]*)", 1)
+def url_host(url: Column) -> Column:
+    return let(url_parts(url), lambda p: origin_host(p["origin"]))
 
 
-def canonical_url(url: Column) -> Column:
-    """Job URL without tracking parameters, fragment or an application suffix.
+def without_apply(path: Column) -> Column:
+    """Path without one closing "apply" or "application" segment."""
+    return F.when(F.contains(F.lower(path), F.lit("/appl")), F.regexp_replace(
+        path, r"(?i)/(?:apply|application)/?$", "")).otherwise(path)
 
-    The origin in lower case, then the path cut before, from its end backwards:
-    fragment, query, parameters, one "apply" segment, slashes.
-    """
-    origin = rf"^({URL_SCHEME}{URL_AUTHORITY})"
-    path = (rf"^{URL_SCHEME}{URL_AUTHORITY}([^?#]*?)(?:/*/(?i:apply|application)/?|/*)"
-            r"(?:;[^/?#]*)?(?:[?#].*)?$")
-    return let(_bare_url(url), lambda u: F.concat(
-        F.lower(F.regexp_extract(u, origin, 1)), F.regexp_extract(u, path, 1)))
+
+def canonical_url(url: Column) -> Column:
+    """Job URL without tracking parameters, fragment or an application suffix."""
+    return let(url_parts(url), lambda p: F.concat(
+        F.lower(p["origin"]), F.rtrim(without_apply(p["path"]), F.lit("/"))))
 
 
 def url_hash(canonical: Column) -> Column:
@@ -128,7 +148,10 @@ def extract_skills(text: Column, whole_word: bool = False) -> Column:
     The default is the plain substring rule ("Go" is found in "google");
     ``whole_word`` asks for a boundary on both sides.
     """
-    lowered = F.lower(text_or_empty(text))
+    return let(F.lower(text_or_empty(text)), lambda low: _skills_in(low, whole_word))
+
+
+def _skills_in(lowered: Column, whole_word: bool) -> Column:
     found = []
     for skill in fixed.KNOWN_SKILLS:
         hit = F.contains(lowered, F.lit(skill.lower()))

@@ -39,8 +39,9 @@ TAIL = "</body></html>"
 
 def eligible_pending(pending: DataFrame) -> DataFrame:
     """Pending matches that still pass both posting rules, with their signal."""
-    checked = pending.filter(is_us_eligible(F.col("location"), F.col("description"))).withColumn(
-        "_auth", auth_class(F.col("description"), F.col("title"))["status"])
+    match = F.col("score")
+    checked = pending.filter(is_us_eligible(F.col("location"), F.col("description"), match)) \
+        .withColumn("_auth", auth_class(F.col("description"), F.col("title"), match)["status"])
     return checked.filter(F.col("_auth") != "excluded").withColumn(
         "sponsorship_signal",
         sponsorship_signal(F.col("_auth"), F.col("total_approvals"), F.col("approval_rate")),

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from openroles.functions.text import (
-    let, norm_employer, path_parts, strip, text_or_empty, url_host, url_path, url_query,
+    let, norm_employer, origin_host, path_parts, strip, text_or_empty, url_host, url_parts,
+    without_apply,
 )
 from openroles.operators.dedup import first_n
 
@@ -144,11 +145,10 @@ def url_key(url: Column) -> Column:
     The posting id by its platform's rule. ``platform`` is null for hosts
     without a rule.
     """
-    parts = F.struct(
-        url_host(url).alias("host"),
-        path_parts(F.regexp_replace(url_path(url), r"(?i)/(?:apply|application)/?$", ""))
-        .alias("parts"),
-        F.regexp_extract(url_query(url), r"(?:^|&)gh_jid=([^&]+)", 1).alias("query_id"))
+    parts = let(url_parts(url), lambda p: F.struct(
+        origin_host(p["origin"]).alias("host"),
+        path_parts(without_apply(p["path"])).alias("parts"),
+        F.regexp_extract(p["query"], r"(?:^|&)gh_jid=([^&]+)", 1).alias("query_id")))
     return let(parts, lambda p: let(_platform(p["host"]), lambda platform: _url_key(p, platform)))
 
 

@@ -27,8 +27,10 @@ def hit_jobs(hits: DataFrame, jobs: DataFrame, hit_bound: int | None = None) ->
     active = jobs.filter("is_active").drop("is_active")
     joined = active.join(broadcast_if_bounded(hits, hit_bound), "job_id")
     return joined.withColumns({
-        "location_check": location_verdict(F.col("location"), F.col("description")),
-        "auth_check": auth_class(F.col("description"), F.col("title"))})
+        "location_check": location_verdict(F.col("location"), F.col("description"),
+                                           joined=F.col("similarity")),
+        "auth_check": auth_class(F.col("description"), F.col("title"),
+                                 joined=F.col("similarity"))})
 
 
 def eligible_hits(checked: DataFrame) -> DataFrame:
@@ -120,9 +122,13 @@ def score_with(candidates: DataFrame, load: Callable[[], Callable[[str], str]],
         ask, f"{schema}, response string, provider_error string")
 
 
-def scored(answers: DataFrame) -> DataFrame:
-    """Answers parsed; failures stay as rows with a null score (deferred)."""
-    return answers.withColumn("r", parse_score_json(F.col("response"), F.col("provider_error"))) \
+def scored(answers: DataFrame, joined: str | None = None) -> DataFrame:
+    """Answers parsed; failures stay as rows with a null score (deferred).
+
+    ``joined``: a column of the rows the answers were joined to, if they were.
+    """
+    return answers.withColumn("r", parse_score_json(
+        F.col("response"), F.col("provider_error"), F.col(joined) if joined else None)) \
         .drop("response", "provider_error").select("*", "r.*").drop("r")
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openroles import fixed_values as fixed
 from openroles.functions.text import (
-    brand_key, first_non_empty, path_parts, text_or_empty, url_host, url_origin, url_path,
+    brand_key, first_non_empty, let, origin_host, path_parts, text_or_empty, url_parts,
 )
 from openroles.session import left_join_spread
 
+LOCALE_PART = r"^[a-z]{2}-[A-Z]{2}$"
 TARGET_SCHEMA = "platform string, identifier string, company string, base_url string, site string"
 
 
@@ -36,36 +37,47 @@ def _last_per_key(targets: DataFrame, order: str) -> DataFrame:
 
 def url_targets(known_jobs: DataFrame) -> DataFrame:
     """Board coordinates of each stored job URL; one row in, at most one row out."""
-    url = F.col("job_url")
-    rows = known_jobs.select("*", url_origin(url).alias("_origin"), url_host(url).alias("_host"),
-                             path_parts(url_path(url)).alias("_parts"))
-    host, parts = F.col("_host"), F.col("_parts")
-    first = F.get(parts, F.lit(0))
-    platform = (
-        F.when(F.contains(host, F.lit("greenhouse.io")), "greenhouse")
-        .when(host.isin("jobs.lever.co", "jobs.eu.lever.co"), "lever")
-        .when(host == "jobs.ashbyhq.com", "ashby")
-        .when(host == "jobs.smartrecruiters.com", "smartrecruiters")
-        .when(host.endswith("myworkdayjobs.com"), "workday")
-    )
-    site = F.get(F.filter(parts, lambda p: ~p.rlike(r"^[a-z]{2}-[A-Z]{2}$")), F.lit(0))
-    is_workday = F.col("platform") == "workday"
-    rows = rows.withColumn("platform", platform).filter(
-        F.col("platform").isNotNull() & (F.size(parts) > 0))
-    rows = rows.withColumn("site", F.when(is_workday, text_or_empty(site)).otherwise(""))
-    rows = rows.filter(~is_workday | ~F.col("site").isin("", "job"))
-    identifier = F.when(is_workday, F.substring_index(host, ".", 1)).otherwise(first)
-    base_url = (
-        F.when(is_workday, F.col("_origin"))
-        .when(F.col("platform") == "lever",
-              F.when(F.contains(host, F.lit(".eu.")), "https://api.eu.lever.co")
-              .otherwise("https://api.lever.co"))
-        .otherwise("")
-    )
-    name = text_or_empty(F.col("employer_name"))
-    return rows.withColumn("identifier", identifier).withColumn("base_url", base_url).withColumn(
-        "company", first_non_empty(name, F.col("identifier"))
-    ).filter(brand_key(F.col("identifier")) == brand_key(name)).drop("_origin", "_host", "_parts")
+    target = let(F.struct(url_parts(F.col("job_url")).alias("url"),
+                          text_or_empty(F.col("employer_name")).alias("name")),
+                 lambda t: _target(t["url"], t["name"]))
+    # As a generator of nought or one row the target is derived once; a filter
+    # on it would be copied below and derive it again.
+    return known_jobs.select("*", F.explode(F.array_compact(F.array(target))).alias("t")).select(
+        *known_jobs.columns, "t.*")
+
+
+def _target(url: Column, name: Column) -> Column:
+    where = F.struct(origin_host(url["origin"]).alias("host"), url["origin"].alias("origin"),
+                     path_parts(url["path"]).alias("parts"))
+    return let(where, lambda w: let(_board(w), lambda b: F.when(
+        b["platform"].isNotNull() & (b["identifier"] != "")
+        & ((b["platform"] != "workday") | ~b["site"].isin("", "job"))
+        & (brand_key(b["identifier"]) == brand_key(name)),
+        F.struct(b["platform"].alias("platform"), b["identifier"].alias("identifier"),
+                 first_non_empty(name, b["identifier"]).alias("company"),
+                 b["base_url"].alias("base_url"), b["site"].alias("site")))))
+
+
+def _board(w: Column) -> Column:
+    """Board of a URL; the identifier is empty when the path names none."""
+    host, first = w["host"], text_or_empty(F.get(w["parts"], F.lit(0)))
+    site = F.get(F.filter(w["parts"], lambda p: ~p.rlike(LOCALE_PART)), F.lit(0))
+    none = F.lit("")
+
+    def board(platform: str, identifier: Column, base: Column = none, site: Column = none):
+        return F.struct(F.lit(platform).alias("platform"), identifier.alias("identifier"),
+                        base.alias("base_url"), site.alias("site"))
+
+    api = F.when(F.contains(host, F.lit(".eu.")), "https://api.eu.lever.co") \
+        .otherwise("https://api.lever.co")
+    tenant = F.when(first != "", F.substring_index(host, ".", 1)).otherwise(none)
+    return (
+        F.when(F.contains(host, F.lit("greenhouse.io")), board("greenhouse", first))
+        .when(host.isin("jobs.lever.co", "jobs.eu.lever.co"), board("lever", first, api))
+        .when(host == "jobs.ashbyhq.com", board("ashby", first))
+        .when(host == "jobs.smartrecruiters.com", board("smartrecruiters", first))
+        .when(host.endswith("myworkdayjobs.com"),
+              board("workday", tenant, w["origin"], text_or_empty(site))))
 
 
 def discover_targets(known_jobs: DataFrame, order: str = "job_id") -> DataFrame:
