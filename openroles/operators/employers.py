@@ -46,10 +46,18 @@ def best_by_prefix(employers: DataFrame, names: DataFrame, column: str = "name")
     return _best_employer(pieces, "prefix")
 
 
+def _spread_names(employers: DataFrame) -> DataFrame:
+    tasks = int(employers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return employers.repartition(tasks, "employer_name")
+
+
 def best_containing(employers: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:
     """Best employer for each substring (upper case) as long as one of ``names``."""
     lengths = _asked_lengths(names, column)
-    upper = employers.withColumn("_upper", F.upper("employer_name")).withColumn("_lens", lengths)
+    # Pieces are a hundred times the names: spread those before, as the size of
+    # the small table would have them share a task.
+    upper = _spread_names(employers).withColumn(
+        "_upper", F.upper("employer_name")).withColumn("_lens", lengths)
     return _best_employer(_substrings(upper, "_upper", "_lens", "piece"), "piece")
 
 
@@ -214,12 +222,18 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
     by_rule = stored.select(_only(let(url_key(url), lambda k: _rule_key(
         k["platform"], k["id"]))).alias("_rule_key")).distinct()
 
-    # Hosts without a rule: all pieces of their stored URLs that are as long as
-    # an incoming id.
-    lengths = _asked_lengths(incoming.select(job_id.alias("_id")), "_id")
-    unruled = stored.select("job_url", _only(let(url_host(url), lambda h: F.when(
-        _platform(h).isNull(), h))).alias("_host")).withColumn("_lens", lengths)
-    pieces = _substrings(unruled, "job_url", "_lens", "_piece").select(
+    # Hosts without a rule: all pieces, behind the host, of their stored URLs
+    # that are as long as an incoming id of such a host.
+    def unruled(found: Column) -> Column:
+        return let(url_parts(url), lambda p: let(origin_host(p["origin"]), lambda h: F.when(
+            _platform(h).isNull(), F.struct(h.alias("host"), F.substr(
+                strip(url), F.length(p["origin"]) + 1).alias("rest"), found.alias("found")))))
+
+    asked = incoming.select(_only(unruled(job_id)).alias("u")).select("u.found").filter("found != ''")
+    others = stored.select(_only(unruled(F.lit(""))).alias("u")).select(
+        F.col("u.host").alias("_host"), F.col("u.rest").alias("_rest"))
+    others = others.withColumn("_lens", _asked_lengths(asked, "found"))
+    pieces = _substrings(others, "_rest", "_lens", "_piece").select(
         F.concat_ws(":", F.lit("id"), "_host", "_piece").alias("_part_key")).distinct()
     return fresh.join(by_rule, "_rule_key", "left_anti").join(
         pieces, "_part_key", "left_anti").drop("_rule_key", "_part_key")

@@ -78,6 +78,19 @@ def broadcast_if_bounded(df: DataFrame, rows: int | None, limit: int = 1_000_000
     return df
 
 
+def use_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """Spread a source with fewer splits than the session has cores.
+
+    A table of a few megabytes is often one split, and text rules on it would
+    run on one core. Tables of any size have more splits than that and pass
+    through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or cores == 1:
+        return df
+    return df.repartition(cores, key)
+
+
 def left_join_spread(left: DataFrame, right: DataFrame, key: str, by: str,
                      shares: int = 64) -> DataFrame:
     """Left join in which rows without a key do not meet in one task.
