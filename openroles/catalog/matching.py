@@ -16,7 +16,11 @@ from openroles.operators.digest import eligible_pending
 from openroles.session import rows_up_to
 from openroles.sources.resumes import resume_profiles
 
-ASOF_TS = F.lit(ASOF).cast("timestamp_ntz")
+
+def asof_ts():
+    return F.lit(ASOF).cast("timestamp_ntz")
+
+
 K = 50
 THRESHOLD = 0.05
 
@@ -273,7 +277,7 @@ def matches_upsert(v):
     incoming = v.sql("""
       SELECT job_id, resume_id % 200 AS resume_id, CAST(s AS BIGINT) AS score, 'new ' || s AS reasoning
       FROM @v_answers WHERE response IS NOT NULL""")
-    rows = merge.upsert_matches(v("v_matches"), incoming, ASOF_TS)
+    rows = merge.upsert_matches(v("v_matches"), incoming, asof_ts())
     return rows.select("job_id", "resume_id", "score", "reasoning", "is_notified",
                        F.date_format("matched_at", "yyyy-MM-dd").alias("matched_on"))
 

@@ -15,7 +15,11 @@ from openroles.operators.matching import posting_funnel, scraped_on
 from openroles.sources import search
 from openroles.sources.feeds import board_api_rows, normalize_postings
 
-ASOF_TS = F.lit(ASOF).cast("timestamp")
+
+def asof_ts():
+    return F.lit(ASOF).cast("timestamp")
+
+
 ISO = "coalesce(strftime(posted_date, '%Y-%m-%dT%H:%M:%SZ'), '')"
 
 
@@ -41,7 +45,7 @@ def title_level(v):
     WHERE posted_date IS NULL OR posted_date >= TIMESTAMP '{ASOF}' - INTERVAL {LOOKBACK_DAYS} DAY""")
 def recent_postings(v):
     rows = v("v_postings")
-    return rows.filter(rules.is_recent(F.col("posted_date").cast("timestamp"), ASOF_TS,
+    return rows.filter(rules.is_recent(F.col("posted_date").cast("timestamp"), asof_ts(),
                                        LOOKBACK_DAYS)).select("job_id", shown_date().alias("posted"))
 
 
@@ -169,7 +173,7 @@ def board_cap(v):
     GROUP BY stage, reason""")
 def filter_funnel(v):
     rows = v("v_postings").withColumn("posted_date", F.col("posted_date").cast("timestamp"))
-    return posting_funnel(rows, ASOF_TS, "all", LOOKBACK_DAYS)
+    return posting_funnel(rows, asof_ts(), "all", LOOKBACK_DAYS)
 
 
 @query("scraped_on_day", """
