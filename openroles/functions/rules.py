@@ -68,7 +68,9 @@ def _location_verdict(loc: Column, desc: Column) -> Column:
 
     foreign = verdict(False, fixed.REASON_FOREIGN)
     canada = FLAGS + fixed.CANADIAN_CODE_SEGMENT
-    only_canadian = loc.rlike(canada) & ~F.regexp_replace(loc, canada, " ").rlike(US_ANY)
+    # Both segment rules are about codes behind a comma; most texts have none.
+    has_comma = F.contains(loc, F.lit(","))
+    only_canadian = has_comma & loc.rlike(canada) & ~F.regexp_replace(loc, canada, " ").rlike(US_ANY)
 
     # A segment such as "Berlin, DE": foreign place plus a state-like code and
     # nothing else American. The two cheap tests on the whole text come first;
@@ -80,7 +82,7 @@ def _location_verdict(loc: Column, desc: Column) -> Column:
 
     others = F.array_join(F.filter(segments, lambda s: ~ambiguous(s)), " ; ")
     only_ambiguous = (
-        loc.rlike(US_CODE) & loc.rlike(FOREIGN)
+        has_comma & loc.rlike(US_CODE) & loc.rlike(FOREIGN)
         & F.exists(segments, ambiguous) & ~others.rlike(US_ANY)
     )
     return (

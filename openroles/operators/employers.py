@@ -62,12 +62,15 @@ def best_containing(employers: DataFrame, names: DataFrame, column: str = "name"
 
 
 def _substrings(rows: DataFrame, text: str, lengths: str, out: str) -> DataFrame:
-    """One row per distinct substring of ``text`` with one of the given lengths."""
+    """One row per place a substring of ``text`` with one of the given lengths is at.
+
+    Repeats are left to the aggregate that follows every use.
+    """
     fitting = F.filter(lengths, lambda n: (n > 0) & (n <= F.length(text)))
     windows = F.flatten(F.transform(fitting, lambda n: F.transform(
         F.sequence(F.lit(1), F.length(text) - n + 1),
         lambda i: F.substr(F.col(text), i, n))))
-    return rows.withColumn(out, F.explode(F.array_distinct(windows)))
+    return rows.withColumn(out, F.explode(windows))
 
 
 def resolve_employers(names: DataFrame, companies: DataFrame) -> DataFrame:
@@ -209,15 +212,13 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
         stored.select("url_hash"), "url_hash", "left_anti")
     own = F.concat(F.lit("none:"), "url_hash")
 
-    def part_key(k: Column) -> Column:
-        return F.when(k["platform"].isNull() & (job_id != ""),
-                      F.concat_ws(":", F.lit("id"), k["host"], job_id))
-
     keys = let(url_key(url), lambda k: F.struct(
         F.coalesce(_rule_key(k["platform"], job_id), own).alias("rule"),
-        F.coalesce(part_key(k), own).alias("part")))
+        k["host"].alias("host"),
+        F.when(k["platform"].isNull() & (job_id != ""), job_id).otherwise(own).alias("piece")))
     fresh = fresh.withColumn("_keys", keys).withColumns({
-        "_rule_key": F.col("_keys.rule"), "_part_key": F.col("_keys.part")}).drop("_keys")
+        "_rule_key": F.col("_keys.rule"), "_host": F.col("_keys.host"),
+        "_piece": F.col("_keys.piece")}).drop("_keys")
 
     by_rule = stored.select(_only(let(url_key(url), lambda k: _rule_key(
         k["platform"], k["id"]))).alias("_rule_key")).distinct()
@@ -233,10 +234,9 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
     others = stored.select(_only(unruled(F.lit(""))).alias("u")).select(
         F.col("u.host").alias("_host"), F.col("u.rest").alias("_rest"))
     others = others.withColumn("_lens", _asked_lengths(asked, "found"))
-    pieces = _substrings(others, "_rest", "_lens", "_piece").select(
-        F.concat_ws(":", F.lit("id"), "_host", "_piece").alias("_part_key")).distinct()
+    pieces = _substrings(others, "_rest", "_lens", "_piece").select("_host", "_piece").distinct()
     return fresh.join(by_rule, "_rule_key", "left_anti").join(
-        pieces, "_part_key", "left_anti").drop("_rule_key", "_part_key")
+        pieces, ["_host", "_piece"], "left_anti").drop("_rule_key", "_host", "_piece")
 
 
 def job_rows(postings: DataFrame, resolved: DataFrame) -> DataFrame:

@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A week of posting keys is more than executor heaps hold; RocksDB keeps it on disk.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 
