@@ -6,7 +6,7 @@ fold into repeated groups. The folded streams of a host are aligned one after
 the other with the expression learnt so far: what both have stays, what one of
 them lacks becomes an optional group, and groups that come to stand side by
 side fold again. The result is a union-free regular expression of the host's
-pages, its wrapper. Its text slots are then sorted into main text and the rest
+pages, its wrapper. Elements of one name are aligned inside in turn. Its text slots are then sorted into main text and the rest
 by the elements that enclose them, and all pages of the host are read through it.
 
 Streams are made distinct with partial sums before they meet, so a host with
@@ -128,115 +128,97 @@ def events(page: str) -> Iterator[tuple[str, str]]:
     yield from pop_to(0)
 
 
-# An expression is a list of items: "<element", ">element", "#", or a group
-# ["+", items] for one or more times and ["?", items] for none or more.
-
-def _plain(items: Sequence) -> list:
-    """Items with the kinds of groups left out, for comparison."""
-    return [["", _plain(x[1])] if isinstance(x, list) else x for x in items]
-
-
-def fold(items: list, widest: int = 12) -> list:
-    """Adjacent equal runs of balanced items become one repeated group."""
-    items = list(items)
-    width = 1
-    while width <= min(widest, len(items) // 2):
-        i, changed = 0, False
-        while i + width < len(items):
-            run = items[i:i + width]
-            if _balanced(run):
-                group = run[0] if width == 1 and isinstance(run[0], list) else None
-                j, n = i + width, 1
-                body = _plain(group[1]) if group else _plain(run)
-                while True:
-                    if j < len(items) and isinstance(items[j], list) and _plain(items[j][1]) == body:
-                        j, n = j + 1, n + 1
-                    elif not group and _plain(items[j:j + width]) == body:
-                        j, n = j + width, n + 1
-                    elif group and _plain(items[j:j + len(body)]) == body:
-                        j, n = j + len(body), n + 1
-                    else:
-                        break
-                if n > 1:
-                    items[i:j] = [["+", group[1] if group else run]]
-                    changed = True
-            i += 1
-        width = 1 if changed and width > 1 else width + 1
-    return items
-
-
-def _balanced(items: Sequence) -> bool:
-    depth = 0
-    for x in items:
-        if isinstance(x, str) and x[0] == "<":
-            depth += 1
-        elif isinstance(x, str) and x[0] == ">":
-            depth -= 1
-        if depth < 0:
-            return False
-    return depth == 0
+# An expression is a list of items: ["#", times], an element ["e", name, items,
+# times] or a group ["g", items, times]. Times are "1", "+" (one or more), "?"
+# (none or one) or "*" (any number).
+
+TIMES = {(False, False): "1", (False, True): "+", (True, False): "?", (True, True): "*"}
+WIDEST_GROUP = 4
+
+
+def key(item: list) -> str:
+    """What alignment compares: an element's name; what it holds is aligned in turn."""
+    if item[0] == "g":
+        return "(" + " ".join(map(key, item[1])) + ")"
+    return "<" + item[1] if item[0] == "e" else "#"
+
+
+def times(item: list, *others: list, optional: bool = False, repeated: bool = False) -> list:
+    """``item`` with its own and the others' options joined, and those named."""
+    found = "".join(x[-1] for x in (item, *others))
+    return [*item[:-1], TIMES[optional or "?" in found or "*" in found, repeated or "+" in found or "*" in found]]
+
+
+def merge(a: list, b: list) -> list:
+    """One item that reads what either of two items of one key reads."""
+    if a == b:
+        return a
+    if a[0] == "e":
+        return times(["e", a[1], align(a[2], b[2]), "1"], a, b)
+    if a[0] == "g":
+        return times(["g", [merge(x, y) for x, y in zip(a[1], b[1])], "1"], a, b)
+    return times(a, b)
+
+
+def add(items: list, item: list) -> None:
+    """Append, folding runs of equal keys at the end into repeated items or groups."""
+    if items and key(items[-1]) == key(item):
+        items[-1] = times(merge(items[-1], item), repeated=True)
+        return
+    items.append(item)
+    keys = [key(x) for x in items[-2 * WIDEST_GROUP:]]
+    for width in range(2, WIDEST_GROUP + 1):
+        tail = keys[-width:]
+        if len(keys) > width and keys[-width - 1] == "(" + " ".join(tail) + ")":
+            group = ["g", items[-width:], "1"]
+            items[-width - 1:] = [times(merge(items[-width - 1], group), repeated=True)]
+            return
+        if len(keys) >= 2 * width and keys[-2 * width:-width] == tail:
+            both = [merge(x, y) for x, y in zip(items[-2 * width:-width], items[-width:])]
+            items[-2 * width:] = [["g", both, "+"]]
+            return
 
 
 def stream(page: str) -> list:
-    """The folded token stream of a page."""
-    out: list = []
+    """The folded token stream of a page as an expression."""
+    open_: list[tuple[str, list]] = [("", [])]
     for kind, what in events(page):
-        item = "#" if kind == "#" else kind + what
-        if item == "#" and out and out[-1] == "#":
-            continue
-        out.append(item)
-        if kind == ">":
-            start = max(i for i, x in enumerate(out) if x == "<" + what and _balanced(out[i:]))
-            out[start + 1:-1] = fold(out[start + 1:-1])
-    return fold(out)
+        if kind == "<":
+            open_.append((what, []))
+        elif kind == ">":
+            name, items = open_.pop()
+            add(open_[-1][1], ["e", name, items, "1"])
+        else:
+            add(open_[-1][1], ["#", "1"])
+    return open_[0][1]
 
 
 def align(wrapper: list, page: list) -> list:
-    """The smallest change of ``wrapper`` that also reads ``page``: mismatches become optional groups."""
-    a, b = ([json.dumps(_plain([x])) for x in side] for side in (wrapper, page))
+    """The smallest change of ``wrapper`` that also reads ``page``: what one of them lacks becomes optional."""
+    if wrapper == page:
+        return wrapper
     out: list = []
+    a, b = list(map(key, wrapper)), list(map(key, page))
     for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if kind == "equal":
-            out.extend(_join(x, y) for x, y in zip(wrapper[i:j], page[k:m]))
-            continue
-        for side in (wrapper[i:j], page[k:m]):
-            out.extend(_optional(side))
-    return fold(out)
-
-
-def _join(x, y):
-    if not isinstance(x, list):
-        return x
-    return ["?" if "?" in (x[0], y[0]) else "+", x[1]]
-
-
-def _optional(items: list) -> list:
-    """Balanced stretches as optional groups; a lone tag of a pair stays as it is."""
-    if not items:
-        return []
-    if _balanced(items):
-        return [items[0]] if len(items) == 1 and isinstance(items[0], list) and items[0][0] == "?" else [["?", items]]
-    return items
+            for x, y in zip(wrapper[i:j], page[k:m]):
+                add(out, merge(x, y))
+        else:
+            for x in (*wrapper[i:j], *page[k:m]):
+                add(out, times(x, optional=True))
+    return out
 
 
-def slots(wrapper: list) -> set[str]:
+def slots(wrapper: list, at: tuple[str, ...] = ()) -> set[str]:
     """Paths of the text slots of an expression: enclosing elements joined by '/'."""
     found: set[str] = set()
-    stack: list[str] = []
-
-    def walk(items):
-        for x in items:
-            if isinstance(x, list):
-                walk(x[1])
-            elif x == "#":
-                found.add("/".join(stack))
-            elif x[0] == "<":
-                stack.append(x[1:])
-            elif x[1:] in stack:
-                while stack.pop() != x[1:]:
-                    pass
-
-    walk(wrapper)
+    for item in wrapper:
+        if item[0] == "#":
+            found.add("/".join(at))
+        elif item[0] == "g":
+            found |= slots(item[1], at)
+        else:
+            found |= slots(item[2], (*at, item[1]))
     return found
 
 
