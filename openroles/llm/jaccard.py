@@ -11,6 +11,9 @@ intersection holds at least 80 of 100 parts of the union.
    frequent shingles (long inverted lists) last: a table of counters over all
    documents says which they are, and only speed depends on it. Documents that
    share such a shingle are put in one cell, named by the list's first document.
+   A cell then drops the documents that cannot link with any other of it: counts
+   of a set's shingles by the leading bits of their hashes bound the overlap of
+   two sets from above, exactly, at a small part of the size of the sets.
 3. In a cell a T-occurrence search finds the links: of a query's inverted lists
    the short ones are merged with a heap, documents that occur often enough
    there are looked up in the long ones by binary search (DivideSkip), and those
@@ -36,7 +39,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections import deque
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,8 @@ COUNTERS, STRETCH = 1 << 20, 1 << 12
 #: Bits that tell tasks which documents to leave out.
 BITMAP = 1 << 22
 CELL_SHINGLES = 1_500_000
+#: Cells of more shingles are not narrowed by shapes but searched block by block at once.
+SHAPED_SHINGLES = 40_000_000
 PIVOTS = 4
 #: DivideSkip's constant for the number of long lists.
 MU = 0.01
@@ -100,12 +105,52 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield key, shingle_set(text)
 
 
+def shape_of(s: np.ndarray) -> bytes:
+    """Counts of a set's shingles by leading bits, about two to four in each; none if one does not fit."""
+    bits = max(0, len(s).bit_length() - 2)
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(s), np.int64),
+                         minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+class Shapes:
+    """Documents of a cell by the number of their counters, to find those that may link."""
+
+    def __init__(self, sizes: np.ndarray, shapes: list[bytes]) -> None:
+        self.sizes, self.shapes = sizes, [np.frombuffer(x, np.uint8).astype(np.int32) for x in shapes]
+        lengths = np.array([len(x) for x in self.shapes])
+        self.by_length = {}
+        for n in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == n)
+            self.by_length[n] = (at, np.stack([self.shapes[i] for i in at]))
+
+    def search(self, query: int, alive: np.ndarray) -> list[int]:
+        """Documents that are alive and whose overlap with ``query`` may suffice."""
+        n, own = self.sizes[query], self.shapes[query]
+        found = []
+        for length, (at, table) in self.by_length.items():
+            use = alive[at] & (100 * self.sizes[at] >= PERCENT * n) & (PERCENT * self.sizes[at] <= 100 * n)
+            if not use.any():
+                continue
+            at, table = at[use], table[use]
+            if min(length, len(own)) > 0:
+                q = own
+                if length > len(q):
+                    table = table.reshape(len(at), len(q), -1).sum(2)
+                elif length < len(q):
+                    q = q.reshape(length, -1).sum(1)
+                most = np.minimum(table, q).sum(1)
+                at = at[100 * most >= PERCENT * (n + self.sizes[at] - most)]
+            found.extend(at.tolist())
+        return found
+
+
 def _wide(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, k1, k2): number of shingles and digest of the set; and rows of counters.
+    """(doc_id, n, k1, k2, shape): number of shingles, digest and shape of the set; and rows of counters.
 
     A task counts its documents' shingles in one table of counters, up to 255;
     the rows with a ``stretch`` hold that table's nonzero parts.
@@ -114,11 +159,11 @@ def profile(docs: DataFrame) -> DataFrame:
         from xxhash import xxh3_128_intdigest
 
         counters = np.zeros(COUNTERS, np.uint8)
-        names = ["doc_id", "n", "k1", "k2", "stretch", "counts"]
+        names = ["doc_id", "n", "k1", "k2", "stretch", "bytes"]
         for batch in slices(batches):
-            keys, sizes, digest = [], [], []
+            keys, sizes, digest, shapes = [], [], [], []
             for key, s in _sets(batch):
-                keys.append(key), sizes.append(len(s))
+                keys.append(key), sizes.append(len(s)), shapes.append(shape_of(s))
                 d = xxh3_128_intdigest(s.tobytes())
                 digest.append((d >> 64, d & (2 ** 64 - 1)))
                 at = (s % np.uint64(COUNTERS)).astype(np.int64)
@@ -126,7 +171,7 @@ def profile(docs: DataFrame) -> DataFrame:
             k = np.array(digest, np.uint64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), _wide(k[:, 0].copy()), _wide(k[:, 1].copy()),
-                 pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.binary())], names=names)
+                 pa.nulls(len(keys), pa.int32()), pa.array(shapes, pa.binary())], names=names)
         for at in range(0, COUNTERS, STRETCH):
             part = counters[at:at + STRETCH]
             if part.any():
@@ -134,7 +179,7 @@ def profile(docs: DataFrame) -> DataFrame:
                     [*[pa.nulls(1, pa.int64())] * 4, pa.array([at // STRETCH], pa.int32()),
                      pa.array([part.tobytes()], pa.binary())], names=names)
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, stretch int, counts binary")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, stretch int, bytes binary")
 
 
 def frequent_counters(profiled: DataFrame) -> np.ndarray:
@@ -152,7 +197,7 @@ def frequent_counters(profiled: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([v.tobytes()], pa.binary())],
                                              names=["stretch", "counts"])
 
-    rows = (profiled.where("stretch is not null").select("stretch", "counts").repartition("stretch")
+    rows = (profiled.where("stretch is not null").select("stretch", "bytes").repartition("stretch")
             .mapInArrow(add, "stretch int, counts binary"))
     rows = written(rows, "counters")
     total = np.zeros(COUNTERS, np.int64)
@@ -272,10 +317,22 @@ def _then_end(items):
 
 def search_block(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that span the components of a block; each set is a query once."""
-    alive = np.ones(len(sets), bool)
     index, indexed = None, 0
+
+    def linked(q: int, alive: np.ndarray, left: int) -> list[int]:
+        nonlocal index, indexed
+        if index is None or left * 2 < indexed:
+            index, indexed = Index(sets, np.flatnonzero(alive)), left
+        return index.search(sets[q], alive)
+
+    return _spanning(len(sets), linked)
+
+
+def _spanning(n: int, linked: Callable[[int, np.ndarray, int], list[int]]) -> list[tuple[int, int]]:
+    """Breadth first: what is found leaves the search and is a query in turn."""
+    alive = np.ones(n, bool)
     out = []
-    for seed in range(len(sets)):
+    for seed in range(n):
         if not alive[seed]:
             continue
         alive[seed] = False
@@ -284,10 +341,8 @@ def search_block(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             left = int(alive.sum())
             if not left:
                 return out
-            if index is None or left * 2 < indexed:
-                index, indexed = Index(sets, np.flatnonzero(alive)), left
             q = queue.popleft()
-            for c in index.search(sets[q], alive):
+            for c in linked(q, alive, left):
                 alive[c] = False
                 out.append((q, c))
                 queue.append(c)
@@ -323,6 +378,19 @@ def _search_blocks(batches):
         yield _edges([(rows[a][0], rows[b][0]) for a, b in search_block(sets)])
 
 
+def _narrowed(batches):
+    """(cell, doc_id) of documents that may link with another of their cell; cells are split where none can."""
+    for (cell,), rows in _groups(batches, 1):
+        shapes = Shapes(np.array([r[1] for r in rows], np.int64), [r[2] for r in rows])
+        pairs = _spanning(len(rows), lambda q, alive, left: shapes.search(q, alive))
+        first = {}
+        for a, b in pairs:
+            first[b] = first.setdefault(a, a)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([rows[f][0] for f in first.values()], pa.int64()), pa.array([rows[i][0] for i in first], pa.int64())],
+            names=["cell", "doc_id"])
+
+
 def _search_across(batches):
     """Queries of one block against another: one link per document and component found."""
     for _, rows in _groups(batches, 3):
@@ -400,20 +468,31 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows = only(docs, key, text).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     profiled = written(profile(rows), "profile")
     sized = profiled.where("stretch is null")
-    full = sized.where("n > 0 and doc_id is not null").select("doc_id", "n", "k1", "k2")
+    full = sized.where("n > 0 and doc_id is not null").select("doc_id", "n", "k1", "k2", "bytes")
     copies = (full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
               .where("c > 1").drop("c"))
     member = written(full.join(copies, ["k1", "k2"], "left")
-                     .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "member")
+                     .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), "bytes"), "member")
     moved = member.where("rep != doc_id").select("doc_id").distinct()
     shown = written(member.select("doc_id", "rep").join(moved, "doc_id", "left_semi").distinct(), "copies")
 
     listed = cells_of(heads(rows, frequent_counters(profiled)))
     cells = written(listed.join(_listed(shown), "doc_id", "left")
                     .select("cell", F.coalesce("rep", "doc_id").alias("doc_id")).distinct(), "cells")
-    sizes = member.groupBy("rep").agg(F.max("n").alias("n")).withColumnRenamed("rep", "doc_id")
+    sizes = (member.where("rep = doc_id").groupBy("doc_id").agg(F.max("n").alias("n"), F.count("*").alias("sets"),
+                                                               F.max("bytes").alias("bytes")))
+    # An id with several sets has no one shape.
+    sizes = sizes.select("doc_id", "n", F.when(F.col("sets") == 1, F.col("bytes")).otherwise(F.lit(b"")).alias("shape"))
+    sized_cells = written(cells.join(sizes, "doc_id").select("cell", "doc_id", "n", "shape"), "sized")
+    totals = sized_cells.groupBy("cell").agg(F.count("*").alias("docs"), F.sum("n").alias("total")).where("docs > 1")
+    totals = written(totals, "totals")
+    small = sized_cells.join(_listed(totals.where(F.col("total") <= SHAPED_SHINGLES)), "cell", "left_semi")
+    whole = sized_cells.join(_listed(totals.where(F.col("total") > SHAPED_SHINGLES)), "cell", "left_semi")
+    narrowed = (small.repartition("cell").sortWithinPartitions("cell", "doc_id").select("cell", "doc_id", "n", "shape")
+                .mapInArrow(_narrowed, "cell bigint, doc_id bigint"))
+    cells = written(narrowed.union(whole.select("cell", "doc_id")).distinct(), "narrowed")
     mixed = F.xxhash64("doc_id")
-    stats = (cells.join(sizes, "doc_id").groupBy("cell").agg(
+    stats = (cells.join(sizes.select("doc_id", "n"), "doc_id").groupBy("cell").agg(
         F.count("*").alias("docs"), F.sum("n").alias("total"), F.min("doc_id").alias("p0"), F.max("doc_id").alias("p1"),
         F.min_by("doc_id", mixed).alias("p2"), F.max_by("doc_id", mixed).alias("p3")).where("docs > 1"))
     stats = written(stats.withColumn("blocks", F.ceil(F.col("total") / CELL_SHINGLES).cast("int"))
