@@ -18,6 +18,7 @@ null, below 1 or above the capacity gets no place (nulls).
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Sequence
 
@@ -32,59 +33,60 @@ from openroles.llm.common import fresh, only, slices, worker_store, written
 
 CAPACITY = 2048
 END_ID = 0
-REMEMBERED_WORDS = 400_000
+#: How byte-level vocabularies split texts before merging (fixed by the vocabulary).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _RANK_BITS = 44
 
 
-class WordTokenizer:
-    """Ids of whole texts from a byte-level BPE file, remembering the ids of words.
+class ByteTokenizer:
+    """Ids of whole texts from a byte-level BPE file of the tokenizers library.
 
-    The file's pattern never puts a non-space before a space into one token, so
-    a text can be cut before every run of white space that follows a word. The
-    library encodes each part that is not remembered. Texts with white space
-    other than blanks, tabs and line ends go to the library whole.
+    Texts of common characters without an added token's text are encoded by the
+    tiktoken library, whose ranks are made from the same file and which gives
+    the same ids in a quarter of the time. All others go to tokenizers itself.
     """
 
     def __init__(self, path: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def parts(self, text: str) -> list[str]:
-        if len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\x00" not in text:
-            return text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
-        if re.search(r"[^\S \n\t\r]", text):
-            return [text]
-        return re.findall(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+", text)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        byte_of = byte_characters()
+        added = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged):
+            raise ValueError("merges are not in the order of their ids")
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.other = re.compile("|".join(["[^\x00-\u024f\u2010-\u2027\u20ac]", *map(re.escape, added)]))
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        cut = [self.parts(t) if t else [] for t in texts]
-        new = list({w for parts in cut for w in parts if w not in self.known})
-        found = self.library.encode_batch(new, add_special_tokens=False) if new else []
-        known = {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(new, found)}
-        self.known.update((w, ids) for w, ids in known.items() if len(w) <= 64)
-        every = _Both(known, self.known)
-        return [np.frombuffer(b"".join(map(every.__getitem__, parts)), np.uint32) for parts in cut]
+        out = [None if self.other.search(t) else self.fast.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        found = self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found):
+            out[i] = np.array(e.ids, np.uint32)
+        return out
 
 
-class _Both(dict):
-    def __init__(self, first: dict, second: dict) -> None:
-        super().__init__()
-        self.update(first)
-        self.second = second
+def byte_characters() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
 
-    def __missing__(self, word: str) -> bytes:
-        return self.second[word]
+    Printable Latin-1 characters stand for themselves, the others in order for
+    the characters from 256 on.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def tokenizer(path: str) -> WordTokenizer:
+def tokenizer(path: str) -> ByteTokenizer:
     loaded = worker_store()
-    if ("words", path) not in loaded:
-        loaded["words", path] = WordTokenizer(path)
-    return loaded["words", path]
+    if ("bytes", path) not in loaded:
+        loaded["bytes", path] = ByteTokenizer(path)
+    return loaded["bytes", path]
 
 
 def pieces(df: DataFrame, path: str, keys: Sequence[str] = ("doc_id",), text: str = "text",
