@@ -22,6 +22,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
+from itertools import islice
 from typing import Callable, Sequence
 
 import numpy as np
@@ -32,8 +34,11 @@ from pyspark.sql import types as T
 from openroles.llm.common import only, slices, worker_store
 
 MARK = "▁"
-#: Words that a worker remembers; when there are more it starts again with none.
+#: Words that a worker remembers; when there are more it forgets the later half.
 REMEMBERED_WORDS = 400_000
+#: The agenda of longer words is a heap.
+SHORT_WORD = 32
+NEVER = float("inf")
 #: Longer words are encoded anew each time and not remembered.
 LONGEST_REMEMBERED = 64
 
@@ -70,7 +75,37 @@ class Vocabulary:
 
     def agenda(self, word: str) -> list[int]:
         """The ids of ``word``, in which spaces are already marks."""
-        rank, ids = self.rank, self.ids
+        symbols = self._by_scan(word) if len(word) <= SHORT_WORD else self._by_heap(word)
+        out = []
+        for s in symbols:
+            known = self.ids.get(s)
+            if known is None:
+                out.extend(self.byte_ids[b] for b in s.encode())
+            else:
+                out.append(known)
+        return out
+
+    def _by_scan(self, word: str) -> list[str]:
+        """The agenda as a list by place; its best and leftmost entry is found by a scan."""
+        rank = self.rank.get
+        symbols = list(word)
+        agenda = [rank(word[i:i + 2], NEVER) for i in range(len(word) - 1)]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            pair = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(pair + symbols[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + pair, NEVER)
+        return symbols
+
+    def _by_heap(self, word: str) -> list[str]:
+        """The agenda as a heap; entries whose symbols have changed are passed over."""
+        rank = self.rank
         symbols: list[str | None] = list(word)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -100,15 +135,7 @@ class Vocabulary:
                 wider = symbols[h] + pair
                 if wider in rank:
                     heapq.heappush(heap, (rank[wider], h, wider))
-        out = []
-        for s in symbols:
-            if s is not None:
-                known = ids.get(s)
-                if known is None:
-                    out.extend(self.byte_ids[b] for b in s.encode())
-                else:
-                    out.append(known)
-        return out
+        return [s for s in symbols if s is not None]
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as 32-bit numbers in native order."""
@@ -145,7 +172,7 @@ class Vocabulary:
             else:
                 told = [x[2:] for x in self.library.encode(["\n" + t for t in texts])]
             for (word, ours), theirs in zip(new, told):
-                if ours != np.array(theirs, np.int32).tobytes():
+                if ours != theirs:
                     raise ValueError(f"ids differ from the library's for {word!r}")
 
 
@@ -157,12 +184,15 @@ class _Words(dict):
         self.vocabulary, self.mark, self.new = vocabulary, mark, []
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.vocabulary.agenda(self.mark + word), np.int32).tobytes()
-        if len(self) >= REMEMBERED_WORDS:
+        found = self.vocabulary.agenda(self.mark + word)
+        ids = array("i", found).tobytes()
+        if len(self) >= REMEMBERED_WORDS:  # frequent words came first; they stay
+            first = dict(islice(self.items(), REMEMBERED_WORDS // 2))
             self.clear()
+            self.update(first)
         if len(word) <= LONGEST_REMEMBERED:
             self[word] = ids
-        self.new.append((word, ids))
+        self.new.append((word, found))
         return ids
 
 
