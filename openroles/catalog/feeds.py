@@ -144,7 +144,7 @@ def feed_greenhouse(v):
 
 @query("feed_lever", expected("lever", description="description || ' Python SQL & Go'"))
 def feed_lever(v):
-    return shown(feeds.lever(lever_pages(v), capped=False))
+    return shown(feeds.lever(lever_pages(v)))
 
 
 @query("feed_ashby", expected(
@@ -159,7 +159,7 @@ def feed_ashby(v):
     location="CASE WHEN job_id % 2 = 0 THEN 'Reno, NV, US' ELSE 'Austin, us' END",
     description="'About ' || description", where=RELEVANT))
 def feed_smartrecruiters(v):
-    return shown(feeds.smartrecruiters(*smartrecruiters_pages(v), capped=False))
+    return shown(feeds.smartrecruiters(*smartrecruiters_pages(v)))
 
 
 @query("feed_workday", expected(
@@ -172,7 +172,7 @@ def feed_smartrecruiters(v):
                '%Y-%m-%dT%H:%M:%SZ')"""))
 def feed_workday(v):
     lists, details = workday_pages(v)
-    return shown(feeds.workday(lists, details, F.lit(ASOF).cast("timestamp"), capped=False))
+    return shown(feeds.workday(lists, details, F.lit(ASOF).cast("timestamp")))
 
 
 @query("feed_errors", """

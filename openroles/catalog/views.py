@@ -12,17 +12,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from openroles.session import prepare, use_all_cores
+from openroles.session import prepare
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Tables whose rows go through text rules, with the key to spread them by.
-SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id",
-             "pages": "page_id"}
-
 ASOF = "2001-08-02 00:00:00"
 LOOKBACK_DAYS = 400
 
@@ -285,8 +281,7 @@ class Views:
         return self.frames[name]
 
     def table(self, name: str) -> DataFrame:
-        rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return use_all_cores(rows, SPREAD_BY[name]) if name in SPREAD_BY else rows
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL with ``@name`` references."""

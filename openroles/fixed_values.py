@@ -258,8 +258,6 @@ SEARCH_QUERIES = (
      '-Intern -Senior -Sr -Staff -Principal -Director -"New Grad"'),
 )
 BOARD_LISTING_CAP = 500
-LISTING_PAGE_SIZE = {"lever": 100, "smartrecruiters": 100, "workday": 20}
-SEARCH_REQUEST_CAP = 10
 
 # --- fixed values: résumé skills --------------------------------------------
 

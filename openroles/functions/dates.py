@@ -11,6 +11,9 @@ from openroles.functions.text import let, strip
 EPOCH_MILLIS_FROM = 10_000_000_000
 WEEKDAY = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
 
+#: Posting ages above this are taken for unknown.
+MOST_DAYS = 36_500
+
 
 def from_epoch(c: Column) -> Column:
     """Timestamp of a number of seconds, or of milliseconds when it is too large for those."""
@@ -41,6 +44,7 @@ def relative_date(c: Column, asof: Column) -> Column:
 
 def _relative_date(text: Column, raw: Column, asof: Column) -> Column:
     days = F.regexp_extract(text, r"(?U)posted\s+(\d+)\s+days?\s+ago", 1).try_cast("int")
+    days = F.when(days <= MOST_DAYS, days)  # more is no date, but unknown
 
     def back(n: Column) -> Column:
         return asof - F.make_dt_interval(n)

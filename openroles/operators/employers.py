@@ -159,17 +159,22 @@ def url_key(url: Column) -> Column:
     parts = let(url_parts(url), lambda p: F.struct(
         origin_host(p["origin"]).alias("host"),
         path_parts(without_apply(p["path"])).alias("parts"),
-        F.regexp_extract(p["query"], r"(?:^|&)gh_jid=([^&]+)", 1).alias("query_id")))
+        F.regexp_extract(p["query"], r"(?:^|&)gh_jid=([^&]+)", 1).alias("query_id"),
+        F.regexp_extract(p["query"], r"(?:^|&)for=([^&]+)", 1).alias("for")))
     return let(parts, lambda p: let(_platform(p["host"]), lambda platform: _url_key(p, platform)))
 
 
 def _platform(host: Column) -> Column:
     return (
-        F.when(F.contains(host, F.lit("greenhouse.io")), "greenhouse")
-        .when(F.contains(host, F.lit("lever.co")), "lever")
-        .when(F.contains(host, F.lit("ashbyhq.com")), "ashby")
-        .when(F.contains(host, F.lit("smartrecruiters.com")), "smartrecruiters")
-        .when(F.contains(host, F.lit("myworkdayjobs.com")), "workday"))
+        F.when(_within(host, "greenhouse.io"), "greenhouse")
+        .when(_within(host, "lever.co"), "lever")
+        .when(_within(host, "ashbyhq.com"), "ashby")
+        .when(_within(host, "smartrecruiters.com"), "smartrecruiters")
+        .when(_within(host, "myworkdayjobs.com"), "workday"))
+
+
+def _within(host: Column, domain: str) -> Column:
+    return (host == domain) | host.endswith("." + domain)
 
 
 def _url_key(p: Column, platform: Column) -> Column:
@@ -179,7 +184,8 @@ def _url_key(p: Column, platform: Column) -> Column:
         .when(platform == "workday", F.substring_index(last, "_", -1))
         .when((platform == "greenhouse") & (p["query_id"] != ""), p["query_id"])
         .otherwise(last))
-    board = F.when(platform == "workday", F.substring_index(p["host"], ".", 1)).otherwise(first)
+    board = (F.when(platform == "workday", F.substring_index(p["host"], ".", 1))
+             .when((platform == "greenhouse") & (first == "embed") & (p["for"] != ""), p["for"]).otherwise(first))
     return F.struct(p["host"].alias("host"), platform.alias("platform"),
                     F.lower(board).alias("board"), job_id.alias("id"))
 
@@ -192,16 +198,17 @@ def _only(value: Column) -> Column:
     return F.explode(F.array_compact(F.array(value)))
 
 
-def _rule_key(platform: Column, job_id: Column) -> Column:
-    return F.when(platform.isNotNull() & (text_or_empty(job_id) != ""),
-                  F.concat_ws(":", F.lit("id"), platform, job_id))
+def _rule_key(key: Column, job_id: Column) -> Column:
+    """Platform, board and id: ids are unique within a board, not within a platform."""
+    return F.when(key["platform"].isNotNull() & (text_or_empty(job_id) != ""),
+                  F.concat_ws(":", F.lit("id"), key["platform"], text_or_empty(key["board"]), job_id))
 
 
 def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataFrame:
     """Incoming postings not stored yet, one per URL hash, by anti-joins.
 
     First on the hash of the canonical URL, then on the posting id: equality on
-    platform and id where the stored URL's host has a rule, and for other hosts
+    platform, board and id where the stored URL's host has a rule, and for other hosts
     the id as part of a stored URL of the same host.
 
     Rows a join cannot match (no id, or a host of the other kind) get a key of
@@ -213,7 +220,7 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
     own = F.concat(F.lit("none:"), "url_hash")
 
     keys = let(url_key(url), lambda k: F.struct(
-        F.coalesce(_rule_key(k["platform"], job_id), own).alias("rule"),
+        F.coalesce(_rule_key(k, job_id), own).alias("rule"),
         k["host"].alias("host"),
         F.when(k["platform"].isNull() & (job_id != ""), job_id).otherwise(own).alias("piece")))
     fresh = fresh.withColumn("_keys", keys).withColumns({
@@ -221,7 +228,7 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
         "_piece": F.col("_keys.piece")}).drop("_keys")
 
     by_rule = stored.select(_only(let(url_key(url), lambda k: _rule_key(
-        k["platform"], k["id"]))).alias("_rule_key")).distinct()
+        k, k["id"]))).alias("_rule_key")).distinct()
 
     # Hosts without a rule: all pieces, behind the host, of their stored URLs
     # that are as long as an incoming id of such a host.

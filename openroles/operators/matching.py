@@ -12,7 +12,7 @@ from openroles import fixed_values as fixed
 from openroles.functions.rules import auth_class, is_recent, location_verdict, title_level
 from openroles.functions.scores import parse_score_json
 from openroles.operators.dedup import first_n
-from openroles.session import broadcast_if_bounded, left_join_spread
+from openroles.session import broadcast_if_bounded, left_join_known
 
 COMPANY_FACTS = ("employer_name", "approval_rate", "total_approvals", "h1b_approvals",
                  "perm_approvals", "lca_approvals")
@@ -42,7 +42,7 @@ def eligible_hits(checked: DataFrame) -> DataFrame:
 def with_history(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Employer history, attached after all filters; absent history stays null."""
     facts = companies.select("company_id", *[c for c in COMPANY_FACTS if c in companies.columns])
-    return left_join_spread(rows, facts, "company_id", by="job_id")
+    return left_join_known(rows, facts, "company_id")
 
 
 def similar_jobs(hits: DataFrame, jobs: DataFrame, companies: DataFrame,

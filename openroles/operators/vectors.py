@@ -53,7 +53,7 @@ def _best_of_batches(ids: np.ndarray, unit: np.ndarray, k: int, threshold: float
                 continue
             vectors = _matrix(batch.column("embedding"))
             norms = _lengths(vectors)
-            sound = norms > 0
+            sound = (norms > 0) & np.isfinite(norms)
             if not sound.any():
                 continue
             sims = (vectors[sound] / norms[sound][:, None]) @ unit.T
@@ -86,7 +86,7 @@ def _scan_block(queries: DataFrame, vectors: DataFrame, k: int, threshold: float
         return None
     matrix = _matrix(rows.column("embedding").combine_chunks())
     norms = _lengths(matrix)
-    sound = norms > 0
+    sound = (norms > 0) & np.isfinite(norms)
     if not sound.any():
         return None
     ids = rows.column("resume_id").to_numpy().astype(np.int64)[sound]
@@ -100,7 +100,7 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = fixed.MATCH_LIM
     """Best ``k`` jobs per profile with a similarity above the threshold, ranked.
 
     ``queries(resume_id, embedding)``, ``vectors(job_id, embedding)``. Vectors
-    without length have no direction and are left out. Equal similarities (to
+    without a finite length above 0 have no direction and are left out. Equal similarities (to
     ``digits`` decimals) rank by job id. ``profiles`` is their number if known.
     """
     queries = queries.select("resume_id", "embedding").filter("embedding is not null")

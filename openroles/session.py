@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,8 +43,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a laptop, the tests) gets a temporary
-    folder; on a cluster the setting is expected to be there.
+    Only a local session without that setting (a laptop, the tests) gets a
+    temporary folder; on a cluster the setting has to be there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -53,6 +54,9 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
         ) else None
     if not named:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[[^,\]]*(,\d+)?\])?$", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="openroles-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)
@@ -81,31 +85,14 @@ def broadcast_if_bounded(df: DataFrame, rows: int | None, limit: int = 1_000_000
     return df
 
 
-def use_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread a source with fewer splits than the session has cores.
+def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key`` that leaves rows with a null key out of the join.
 
-    A table of a few megabytes is often one split, and text rules on it would
-    run on one core. Tables of any size have more splits than that and pass
-    through untouched.
+    They match nothing, so they are added afterwards and never meet in one task.
+    A hot key that is not null is left to AQE's skew join.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or cores == 1:
-        return df
-    return df.repartition(cores, key)
-
-
-def left_join_spread(left: DataFrame, right: DataFrame, key: str, by: str,
-                     shares: int = 64) -> DataFrame:
-    """Left join in which rows without a key do not meet in one task.
-
-    Rows with a null key get one of ``shares`` numbers, from the column ``by``,
-    as a second join column and so hash apart. A hot key that is not null is
-    left to AQE's skew join.
-    """
-    share = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(by), F.lit(shares)))
-    spread = left.withColumn("_share", F.coalesce(share, F.lit(0)).cast("bigint"))
-    return spread.join(right.withColumn("_share", F.lit(0).cast("bigint")), [key, "_share"],
-                       "left").drop("_share")
+    joined = left.where(F.col(key).isNotNull()).join(right, key, "left")
+    return joined.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def rows_up_to(df: DataFrame, limit: int) -> int | None:

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from openroles import fixed_values as fixed
 from openroles import schemas
 from openroles.functions.dates import from_epoch, parse_posted, relative_date
 from openroles.functions.html import html_blocks_to_text, html_to_text
@@ -75,12 +74,6 @@ def _listings(payloads: DataFrame, platform: str, items: str | None) -> DataFram
     )
 
 
-def _within_cap(listings: DataFrame, platform: str) -> DataFrame:
-    """Listings up to the board cap. Pages have a fixed size, so it is arithmetic."""
-    size = fixed.LISTING_PAGE_SIZE[platform]
-    return listings.filter(F.col("page_no") * size + F.col("pos") < fixed.BOARD_LISTING_CAP)
-
-
 def greenhouse(payloads: DataFrame) -> DataFrame:
     rows = _listings(payloads, "greenhouse", "jobs")
     return normalize_postings(rows.select(
@@ -95,10 +88,8 @@ def greenhouse(payloads: DataFrame) -> DataFrame:
     ))
 
 
-def lever(payloads: DataFrame, capped: bool = True) -> DataFrame:
+def lever(payloads: DataFrame) -> DataFrame:
     rows = _listings(payloads, "lever", None)
-    if capped:
-        rows = _within_cap(rows, "lever")
     blocks = html_blocks_to_text(F.col("item.lists.content"))
     main = first_non_empty(F.col("item.descriptionPlain"), F.col("item.description"))
     return normalize_postings(rows.select(
@@ -141,10 +132,8 @@ def _details(details: DataFrame, platform: str, schema: str) -> DataFrame:
                          F.from_json("payload", schema, PERMISSIVE).alias("detail"))
 
 
-def smartrecruiters(payloads: DataFrame, details: DataFrame, capped: bool = True) -> DataFrame:
+def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
     rows = _listings(payloads, "smartrecruiters", "content")
-    if capped:
-        rows = _within_cap(rows, "smartrecruiters")
     rows = rows.filter(title_level(F.col("item.name"))).withColumn(
         "detail_key", F.coalesce(F.col("item.id"), F.lit("")))
     rows = rows.join(_details(details, "smartrecruiters", schemas.SMARTRECRUITERS_DETAIL),
@@ -170,10 +159,8 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame, capped: bool = True
     ))
 
 
-def workday(payloads: DataFrame, details: DataFrame, asof: Column, capped: bool = True) -> DataFrame:
+def workday(payloads: DataFrame, details: DataFrame, asof: Column) -> DataFrame:
     rows = _listings(payloads, "workday", "jobPostings")
-    if capped:
-        rows = _within_cap(rows, "workday")
     rows = rows.filter(title_level(F.col("item.title"))).withColumn(
         "detail_key", F.coalesce(F.col("item.externalPath"), F.lit("")))
     rows = rows.join(_details(details, "workday", schemas.WORKDAY_DETAIL),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from openroles import fixed_values as fixed
 from openroles import schemas
@@ -13,7 +14,15 @@ NUMBER_TEXT = r"^[+\-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+\-]?\d+)?$"
 
 
 def read_h1b(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema=schemas.H1B_RAW, header=True, enforceSchema=False)
+    """H-1B rows as text, the columns taken by name, and ``ord``, their order in a file.
+
+    Other columns may be there, in any order. Rows of one file are ordered by
+    where their split starts and their place in it; files have no order.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`") for f in _parse_datatype_string(schemas.H1B_RAW).fields],
+                       (F.col("_metadata.file_block_start") + row).alias("ord"))
 
 
 def read_disclosures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -23,10 +32,10 @@ def read_disclosures(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
 
 
 def to_count(c: Column) -> Column:
-    """Counter text to a whole number; text that is no number ("1,234") counts 0."""
+    """Counter text to a whole number; text that is none, or too large for one, counts 0."""
     text = strip(c)
     number = F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
-    return F.coalesce(number, F.lit(0.0)).cast("long")
+    return F.coalesce(number.try_cast("long"), F.lit(0).cast("long"))
 
 
 def scan_h1b(raw: DataFrame) -> DataFrame:
@@ -34,7 +43,7 @@ def scan_h1b(raw: DataFrame) -> DataFrame:
     naics = F.when(strip(raw["NAICS"]).rlike(NUMBER_TEXT), strip(raw["NAICS"]).try_cast("double"))
     return raw.select(
         norm_employer(missing_to_null(raw["Employer"])).alias("employer_name"),
-        naics.cast("long").alias("naics"),
+        naics.try_cast("long").alias("naics"),
         to_count(raw["Initial Approval"]).alias("initial_approvals"),
         to_count(raw["Initial Denial"]).alias("initial_denials"),
         to_count(raw["Continuing Approval"]).alias("continuing_approvals"),

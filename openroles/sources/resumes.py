@@ -25,7 +25,7 @@ def resume_profiles(resumes: DataFrame, profile_name: str | None = None) -> Data
         chosen = resumes.filter(F.lower("profile_name") == profile_name.lower())
     else:
         chosen = resumes.filter("is_active")
-    return chosen.orderBy("profile_name")
+    return chosen.orderBy("profile_name", *[c for c in chosen.columns if c == "id"])
 
 
 def backfill_profile_names(resumes: DataFrame) -> DataFrame:

@@ -18,10 +18,7 @@ def search_queries(spark: SparkSession, level: str = "all") -> DataFrame:
 
 
 def search_rows(responses: DataFrame) -> DataFrame:
-    """Result rows of landed responses (``query``, ``tier``, ``payload``).
-
-    The second tier's provider returns at most ten results per request.
-    """
+    """Every result row of landed responses (``query``, ``tier``, ``payload``)."""
     parsed = responses.withColumn("doc", F.from_json("payload", schemas.SEARCH_RESPONSE))
     keep = [c for c in responses.columns if c != "payload"]
     first = parsed.select(*keep, F.posexplode("doc.organic_results").alias("pos", "item")).select(
@@ -31,8 +28,7 @@ def search_rows(responses: DataFrame) -> DataFrame:
         F.coalesce(F.col("item.position"), F.lit(0)).alias("position"),
         F.lit("").alias("display_link"))
     second = parsed.select(
-        *keep, F.posexplode(F.slice("doc.items", 1, fixed.SEARCH_REQUEST_CAP)).alias("pos", "item")
-    ).select(
+        *keep, F.posexplode("doc.items").alias("pos", "item")).select(
         *keep, "pos", text_or_empty(F.col("item.title")).alias("title"),
         text_or_empty(F.col("item.link")).alias("link"),
         text_or_empty(F.col("item.snippet")).alias("snippet"),

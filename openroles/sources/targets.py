@@ -9,7 +9,7 @@ from openroles import fixed_values as fixed
 from openroles.functions.text import (
     brand_key, first_non_empty, let, origin_host, path_parts, text_or_empty, url_parts,
 )
-from openroles.session import left_join_spread
+from openroles.session import left_join_known
 
 LOCALE_PART = r"^[a-z]{2}-[A-Z]{2}$"
 TARGET_SCHEMA = "platform string, identifier string, company string, base_url string, site string"
@@ -97,5 +97,5 @@ def merge_targets(*groups: DataFrame) -> DataFrame:
 
 def known_feed_jobs(jobs: DataFrame, companies: DataFrame) -> DataFrame:
     """Stored job URLs with the employer they are linked to, if any."""
-    return left_join_spread(jobs.select("job_id", "job_url", "company_id"),
-                            companies.select("company_id", "employer_name"), "company_id", by="job_id")
+    return left_join_known(jobs.select("job_id", "job_url", "company_id"),
+                            companies.select("company_id", "employer_name"), "company_id")

@@ -339,3 +339,26 @@ def test_rate_rule_overwrites_a_supplied_rate(spark):
                                   "total_approvals bigint, total_denials bigint, approval_rate decimal(5,2)")
     assert [r.approval_rate for r in rollup.with_approval_rate(frame).collect()] == [
         Decimal("66.67"), Decimal("0.00"), Decimal("100.00")]
+
+
+def test_ids_are_compared_within_their_board(spark):
+    """One requisition id on two tenants is two postings; hosts are compared by suffix."""
+    def rows(*urls):
+        return spark.createDataFrame(
+            [(i, u, u, u.rsplit("_", 1)[-1].rsplit("/", 1)[-1]) for i, u in enumerate(urls)],
+            "ord int, job_url string, url_hash string, source_job_id string")
+
+    stored = rows("https://north.wd5.myworkdayjobs.com/Ext/job/Oslo/Other_R100", "https://careers.clever.com/jobs/9")
+    incoming = rows("https://south.wd1.myworkdayjobs.com/Ext/job/Rome/Role_R100",
+                    "https://north.wd5.myworkdayjobs.com/Int/job/Oslo/Again_R100", "https://jobs.lever.co/jobs/9")
+    kept = employers.jobs_to_insert(incoming, stored, [F.col("ord")])
+    assert {r.ord for r in kept.collect()} == {0, 2}
+
+
+def test_vectors_without_a_finite_length_take_no_part(spark):
+    sound = [(i, [1.0, i / 100]) for i in range(20)]
+    odd = [(100, [float("inf"), 1.0]), (101, [float("nan"), 1.0]), (102, [0.0, 0.0])]
+    hits = cosine_topk(
+        spark.createDataFrame([(1, [1.0, 0.0])], "resume_id long, embedding array<float>"),
+        spark.createDataFrame(sound + odd, "job_id long, embedding array<float>"), k=3)
+    assert [r.job_id for r in hits.orderBy("rank").collect()] == [0, 1, 2]
