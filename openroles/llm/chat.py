@@ -35,7 +35,7 @@ LOSS_ROLE = "assistant"
 OPENERS = tuple(f"### {r.capitalize()}: " for r in ROLES)
 OTHER, ROLE_END, CLOSER = "### Other (", "): ", " </turn>\n"
 MARKS = (*OPENERS, OTHER, ROLE_END, CLOSER)
-CONTROL = tuple(sorted({m.strip() for m in MARKS} | {m.rstrip() for m in MARKS}, key=len, reverse=True))
+CONTROL = tuple(sorted({m.strip() for m in MARKS}, key=len, reverse=True))
 _TO_ESCAPE = re.compile("|".join([r"\\", *map(re.escape, CONTROL)]))
 
 
