@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from openroles.session import shared_dir
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
+
 #: White space between words: space and the control characters tab to carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
@@ -23,7 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns alone, so that extra columns of any name cannot clash."""
+    """The named columns alone, so that extra columns of any name cannot clash.
+
+    Every operator starts here, so this is also where Arrow batches are bounded:
+    a batch of whole texts or sets lies in the executor and in its worker at once.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 

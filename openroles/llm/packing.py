@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 from typing import Sequence
 
 import numpy as np
@@ -48,13 +49,12 @@ class ByteTokenizer:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            held = json.load(file)
+        model, added = held["model"], {t["content"] for t in held["added_tokens"]}
         byte_of = byte_characters()
-        added = {t.content for t in self.library.get_added_tokens_decoder().values()}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
         merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         if merged != sorted(merged):
@@ -62,10 +62,17 @@ class ByteTokenizer:
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.other = re.compile("|".join(["[^\x00-\u024f\u2010-\u2027\u20ac]", *map(re.escape, added)]))
 
+    @cached_property
+    def library(self):
+        """The tokenizers library with this file, loaded by the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         out = [None if self.other.search(t) else self.fast.encode_to_numpy(t, disallowed_special=()) for t in texts]
         rest = [i for i, x in enumerate(out) if x is None]
-        found = self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False)
+        found = self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False) if rest else []
         for i, e in zip(rest, found):
             out[i] = np.array(e.ids, np.uint32)
         return out
