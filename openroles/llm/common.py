@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from openroles.session import shared_dir
 
-#: Rows of an Arrow batch.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch; a longer row is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 #: White space between words: space and the control characters tab to carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -31,10 +31,15 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     Every operator starts here, so this is also where Arrow batches are bounded:
     a batch of whole texts or sets lies in the executor and in its worker at once.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    bound_batches(df.sparkSession)
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder that driver and executors share."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from openroles.llm.common import only, slices, worker_store
+from openroles.llm.common import bound_batches, only, slices, worker_store
 
 PLACES = 1024
 UNKNOWN = "und"
@@ -161,6 +161,7 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], keys: Sequence[st
 def keep(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text",
          least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``df``, all columns, whose language is known with a score of at least ``least``."""
+    bound_batches(df.sparkSession)
     at, predict = df.columns.index(text), _nearest(prototypes)
 
     def run(batches):

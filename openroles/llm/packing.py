@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from openroles.llm.common import fresh, only, slices, worker_store, written
+from openroles.llm.common import bound_batches, fresh, only, slices, worker_store, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -187,6 +187,7 @@ def _places(combinations: list[tuple[dict[int, int], int]]) -> np.ndarray:
 
 def place(df: DataFrame, capacity: int = CAPACITY, length: str = "length") -> DataFrame:
     """``df`` with ``sequence_id`` and ``offset`` (fresh names if it has such columns)."""
+    bound_batches(df.sparkSession)
     part, nth, before = (fresh(df, n) for n in ("_part", "_nth", "_before"))
     sequence, offset = fresh(df, "sequence_id"), fresh(df, "offset")
     at = df.columns.index(length)
