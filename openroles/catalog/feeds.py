@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,16 +177,30 @@ def feed_workday(v):
     return shown(feeds.workday(lists, details, F.lit(ASOF).cast("timestamp")))
 
 
-@query("feed_errors", """
-    SELECT platform, board AS identifier, count(*) AS broken_pages,
+# Details are missing or cut by the first digit of their key's digest.
+LOST_DETAIL = "left(md5(CASE platform WHEN 'workday' THEN '/job/City/Role_' || ext_id ELSE ext_id END), 1)"
+
+
+@query("feed_errors", f"""
+    SELECT platform, board AS identifier, count(*) AS broken_pages, 0::BIGINT AS broken_details,
            platform || ':' || board || ': payload does not parse' AS error
-    FROM (SELECT DISTINCT platform, board, CAST(floor(job_id / 100.0) AS BIGINT) AS page_no
-          FROM @v_postings WHERE platform IN ('greenhouse', 'lever', 'ashby'))
-    WHERE page_no % 5 = 2 GROUP BY platform, board""")
+    FROM (SELECT DISTINCT platform, board, CAST(floor(job_id / 100.0) AS BIGINT) AS page_no FROM @v_postings
+          WHERE platform IN ('greenhouse', 'lever', 'ashby', 'smartrecruiters', 'workday'))
+    WHERE page_no % 5 = 2 GROUP BY platform, board
+    UNION ALL
+    SELECT platform, board, 0, count(*), platform || ':' || board || ': detail is missing or does not parse'
+    FROM @v_postings WHERE platform IN ('smartrecruiters', 'workday') AND {RELEVANT}
+      AND CAST(floor(job_id / 100.0) AS BIGINT) % 5 <> 2 AND {LOST_DETAIL} IN ('0', '1', '2', '3', '4', '5')
+    GROUP BY platform, board""")
 def feed_errors(v):
-    pages = greenhouse_pages(v).unionByName(lever_pages(v)).unionByName(ashby_pages(v))
+    lists, details = map(list, zip(smartrecruiters_pages(v), workday_pages(v)))
+    pages = reduce(DataFrame.unionByName, [greenhouse_pages(v), lever_pages(v), ashby_pages(v), *lists])
+    digit = F.left(F.md5("detail_key"), F.lit(1))
+    details = details[0].unionByName(details[1]).filter(~digit.isin("0", "1", "2")).withColumn(
+        "payload", F.when(digit.isin("3", "4", "5"), F.expr("left(payload, length(payload) - 2)"))
+        .otherwise(F.col("payload")))
     broken = F.when(F.col("page_no") % 5 == 2, F.expr("left(payload, length(payload) - 2)"))
-    return feeds.feed_errors(pages.withColumn("payload", F.coalesce(broken, F.col("payload"))))
+    return feeds.feed_errors(pages.withColumn("payload", F.coalesce(broken, F.col("payload"))), details)
 
 
 PAGES = """

@@ -123,14 +123,30 @@ def embed_text(v):
         "job_id", text.embed_text(F.col("title"), F.col("description")).alias("embed_text"))
 
 
-@query("embed_documents")
+@query("embed_documents", """
+    WITH words AS (SELECT doc_id, ('0x' || left(md5(w), 8))::BIGINT AS code FROM (
+           SELECT doc_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+')) AS w FROM @documents) WHERE w <> ''),
+         places AS (SELECT doc_id, code % 384 + 1 AS place,
+                           sum(CASE WHEN code >= 2147483648 THEN 1 ELSE -1 END) AS x
+                    FROM words GROUP BY ALL HAVING x <> 0),
+         vectors AS (SELECT doc_id, count(*) AS n, sqrt(sum(x * x)::DOUBLE) AS norm,
+                            CASE WHEN count(*) < 384 THEN greatest(0, max(x)) ELSE max(x) END AS top,
+                            sum(place * sign(x)) AS signed_places FROM places GROUP BY doc_id)
+    SELECT doc_id, 384 AS dimension, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm,
+           coalesce(round(CAST(top / norm AS FLOAT)::DOUBLE, 6), 0.0) AS largest,
+           coalesce(n, 0)::BIGINT AS n_places, coalesce(signed_places, 0)::BIGINT AS signed_places
+    FROM @documents LEFT JOIN vectors v USING (doc_id)""")
 def embed_documents(v):
     encode = embedder()
     docs = v("documents").select("doc_id", encode(F.col("text")).alias("embedding"))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
     return docs.select("doc_id", F.size("embedding").alias("dimension"),
                        F.round(norm, 4).alias("norm"),
-                       F.round(F.array_max("embedding").cast("double"), 6).alias("largest"))
+                       F.round(F.array_max("embedding").cast("double"), 6).alias("largest"),
+                       F.size(F.filter("embedding", lambda x: x != 0)).cast("bigint").alias("n_places"),
+                       F.aggregate(F.transform("embedding", lambda x, i: (i + 1) * F.signum(x).cast("bigint")),
+                                   F.lit(0).cast("bigint"), lambda a, x: a + x).alias("signed_places"))
 
 
 @query("parse_vector_text", """

@@ -54,8 +54,9 @@ def digest_fragments(eligible: DataFrame) -> DataFrame:
     Without matches there is no document.
     """
     order = [F.desc("score"), F.asc("rank_key"), F.asc("id")]
-    ranked = with_global_rank(eligible.withColumn("rank_key", F.negative("cosine_similarity")),
-                              order, "seq")
+    shown = eligible.select("id", "score", F.negative("cosine_similarity").alias("rank_key"), "title", "employer_name",
+                            "resume_profile", "location", "sponsorship_signal", "reasoning", "job_url")
+    ranked = with_global_rank(shown, order, "seq")
 
     def field(name: str, default: str):
         return escape_html(F.coalesce(F.when(F.col(name) != "", F.col(name)), F.lit(default)))

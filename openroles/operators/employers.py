@@ -18,6 +18,7 @@ from openroles.functions.text import (
     without_apply,
 )
 from openroles.operators.dedup import first_n
+from openroles.session import left_join_known
 
 
 def _asked_lengths(names: DataFrame, column: str) -> Column:
@@ -138,9 +139,13 @@ def filter_by_sponsorship(postings: DataFrame, companies: DataFrame,
     Of several employers containing the name the one with most approvals
     counts. The rate is a percentage.
     """
-    named = postings.withColumn("_name", F.upper(strip(text_or_empty(F.col("company")))))
-    best = best_containing(companies, named.select(F.col("_name").alias("name"))).filter(F.col("approval_rate") >= min_rate)
-    return named.join(best, F.col("_name") == F.col("piece")).drop("_name", "piece")
+    named = postings.withColumn("_name", F.upper(strip(text_or_empty(F.col("company"))))).filter("_name != ''")
+    asked = named.select(F.col("_name").alias("name")).distinct()
+    best = best_containing(companies, asked).filter(F.col("approval_rate") >= min_rate)
+    # The digest in the key gives the small side an exchange of its own behind its
+    # aggregate, without which a hot name could not be split when the job runs.
+    same = (F.col("_name") == F.col("piece")) & (F.xxhash64("_name") == F.xxhash64("piece"))
+    return named.join(best, same).drop("_name", "piece")
 
 
 def sponsored_only(postings: DataFrame, companies: DataFrame) -> DataFrame:
@@ -247,11 +252,18 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
 
 
 def job_rows(postings: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Stored job columns of new postings, linked to their resolved employer."""
-    links = resolved.select("company", "company_id")
-    return postings.join(links, "company", "left").select(
+    """Rows of the stored job table (``schemas.JOBS``) for new postings, linked to their resolved employer.
+
+    Postings name no salary. Those without a company name have no employer and
+    stay out of the join.
+    """
+    company = F.col("company")
+    links = resolved.select(company.alias("_company"), "company_id")
+    named = postings.withColumn("_company", F.when(strip(company) != "", company))
+    return left_join_known(named, links, "_company").select(
         F.xxhash64("job_url").alias("id"), "company_id", "title",
         text_or_empty(F.col("description")).alias("description"),
-        text_or_empty(F.col("location")).alias("location"), "job_url", "url_hash",
-        F.coalesce("source", F.lit("google_search")).alias("source"), "posted_date",
-        F.lit(True).alias("is_active"))
+        text_or_empty(F.col("location")).alias("location"),
+        F.lit(None).cast("int").alias("salary_min"), F.lit(None).cast("int").alias("salary_max"),
+        "job_url", "url_hash", F.coalesce("source", F.lit("google_search")).alias("source"), "posted_date",
+        "scraped_at", F.lit(True).alias("is_active"))

@@ -17,13 +17,16 @@ from openroles.session import scratch_path
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str],
-           defaults: dict[str, Column] | None = None) -> DataFrame:
+           defaults: dict[str, Column] | None = None, order: list | None = None) -> DataFrame:
     """Next snapshot: incoming columns win, columns it lacks keep their old value.
 
-    A new row gets ``defaults`` for those; stored rows without an incoming one
+    With an ``order`` the first incoming row of each key counts; without one
+    incoming keys have to be unique. A new row gets ``defaults`` for those; stored rows without an incoming one
     stay as they are.
     """
     defaults = defaults or {}
+    if order:
+        incoming = first_n(incoming, keys, order)
     given = [c for c in incoming.columns if c not in keys]
     new = incoming.select(*keys, F.lit(True).alias("_hit"),
                           *[F.col(c).alias(f"_new_{c}") for c in given])
@@ -47,16 +50,17 @@ def append_new(stored: DataFrame, incoming: DataFrame, key: str, order: list) ->
     return first_n(fresh, [key], order)
 
 
-def upsert_companies(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+def upsert_companies(stored: DataFrame, incoming: DataFrame, order: list | None = None) -> DataFrame:
     """Employers by their exact name; the rate is derived again on every write."""
-    return with_approval_rate(upsert(stored, incoming, ["employer_name"]))
+    return with_approval_rate(upsert(stored, incoming, ["employer_name"], order=order))
 
 
-def upsert_matches(stored: DataFrame, incoming: DataFrame, asof: Column) -> DataFrame:
+def upsert_matches(stored: DataFrame, incoming: DataFrame, asof: Column,
+                   order: list | None = None) -> DataFrame:
     """Matches by (job, résumé); notification state and match date survive."""
     return upsert(stored, incoming, ["job_id", "resume_id"], {
         "id": F.xxhash64("job_id", "resume_id"), "is_notified": F.lit(False),
-        "matched_at": asof})
+        "matched_at": asof}, order)
 
 
 def mark_notified(matches: DataFrame, notified: DataFrame) -> DataFrame:

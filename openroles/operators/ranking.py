@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from openroles.session import cut_lineage
@@ -24,15 +24,9 @@ def with_global_rank(rows: DataFrame, order: list, name: str = "rank") -> DataFr
     part = F.shiftright("_m", LOCAL_BITS)
     numbered = numbered.withColumns({
         "_part": part, "_local": F.col("_m") - F.shiftleft(part, LOCAL_BITS) + 1})
-    sizes = numbered.groupBy("_part").agg(F.max("_local").alias("size")).agg(
-        F.sort_array(F.collect_list(F.struct("_part", "size"))).alias("sizes"))
-    offsets = sizes.select(F.explode(F.transform(
-        F.col("sizes"),
-        lambda s: F.struct(
-            s["_part"].alias("_part"),
-            F.aggregate(F.filter("sizes", lambda o: o["_part"] < s["_part"]),
-                        F.lit(0).cast("bigint"), lambda acc, o: acc + o["size"]).alias("before")),
-    )).alias("o")).select("o.*")
+    sizes = numbered.groupBy("_part").agg(F.max("_local").alias("size"))
     # One row per partition of the sort: bounded by the shuffle partition count.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
     return numbered.join(F.broadcast(offsets), "_part").withColumn(
         name, F.col("_local") + F.col("before")).drop("_m", "_part", "_local", "before")

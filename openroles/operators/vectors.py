@@ -9,8 +9,8 @@ the task. Vectors are read once per block and never shuffled.
 
 from __future__ import annotations
 
-import zlib
 from functools import reduce
+from hashlib import md5
 from typing import Callable, Iterator
 
 import numpy as np
@@ -124,23 +124,25 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = fixed.MATCH_LIM
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def hashed_vector(text: str, dimension: int) -> list[float]:
-    """Unit vector of signed hashed words: a stand-in encoder that needs no model."""
-    vector = np.zeros(dimension)
-    for word in text.lower().split():
-        code = zlib.crc32(word.encode("utf-8"))
-        vector[code % dimension] += 1.0 if code & 0x80000000 else -1.0
-    norm = np.sqrt((vector * vector).sum())
-    return (vector / norm if norm else vector).astype(np.float32).tolist()
+def hashed_vectors(texts: list[str], dimension: int) -> list[np.ndarray]:
+    """Unit vectors of signed hashed words: a stand-in encoder that needs no model.
+
+    Words are runs without white space, lower-cased (A-Z). The first 32 bits of a
+    word's MD5 give its place (remainder) and sign (leading bit set: plus).
+    """
+    words = [t.encode().lower().split() for t in texts]
+    rows = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    at, distinct = pd.factorize(np.array([w for ws in words for w in ws], object))
+    codes = np.array([int.from_bytes(md5(w).digest()[:4]) for w in distinct], np.int64)[at]
+    vectors = np.zeros((len(texts), dimension))
+    np.add.at(vectors, (rows, codes % dimension), np.where(codes >> 31, 1.0, -1.0))
+    norms = np.sqrt((vectors * vectors).sum(1, keepdims=True))
+    return list((vectors / np.where(norms > 0, norms, 1)).astype(np.float32))
 
 
 def hashing_encoder(dimension: int = 384) -> Callable[[], Callable]:
     """Default encoder factory. A model is used by passing a factory of its own."""
-
-    def load() -> Callable[[list[str]], list[list[float]]]:
-        return lambda texts: [hashed_vector(t, dimension) for t in texts]
-
-    return load
+    return lambda: lambda texts: hashed_vectors(texts, dimension)
 
 
 def embedder(load: Callable[[], Callable] | None = None,

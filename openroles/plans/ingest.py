@@ -19,6 +19,7 @@ from openroles.operators.employers import (
 )
 
 ORDER = ["src_rank", "source", "source_board", "page_no", "pos", "job_url"]
+from openroles.session import cut_lineage
 
 
 @dataclass
@@ -59,9 +60,13 @@ def select_candidates(direct: DataFrame, searched: DataFrame, level: str, asof:
 
 def ingest(candidates: DataFrame, jobs: DataFrame, companies: DataFrame,
            embed: Callable[[Column], Column]) -> IngestResult:
-    """Rows to append to jobs, companies and embeddings for postings not stored yet."""
-    fresh = jobs_to_insert(candidates, jobs, [F.col(c) for c in ORDER])
-    resolved = resolve_employers(fresh, companies)
+    """Rows to append to jobs, companies and embeddings for postings not stored yet.
+
+    What the three results share is checkpointed, so that it is derived once and
+    all three are of the same postings.
+    """
+    fresh = cut_lineage(jobs_to_insert(candidates, jobs, [F.col(c) for c in ORDER]))
+    resolved = cut_lineage(resolve_employers(fresh, companies))
     rows = job_rows(fresh, resolved)
     vectors = rows.select(F.col("id").alias("job_id"),
                           embed(embed_text(F.col("title"), F.col("description"))).alias("embedding"))

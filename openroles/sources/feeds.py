@@ -127,17 +127,36 @@ def ashby(payloads: DataFrame) -> DataFrame:
 
 
 def _details(details: DataFrame, platform: str, schema: str) -> DataFrame:
+    """The detail documents of a platform that parse."""
     parsed = details.filter(F.col("platform") == platform)
     return parsed.select("identifier", "detail_key",
-                         F.from_json("payload", schema, PERMISSIVE).alias("detail"))
+                         F.from_json("payload", schema, PERMISSIVE).alias("detail")).filter(
+        F.col("detail").isNotNull() & F.col("detail._corrupt_record").isNull())
 
 
-def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
+def _smartrecruiters_listings(payloads: DataFrame) -> DataFrame:
     rows = _listings(payloads, "smartrecruiters", "content")
-    rows = rows.filter(title_level(F.col("item.name"))).withColumn(
+    return rows.filter(title_level(F.col("item.name"))).withColumn(
         "detail_key", F.coalesce(F.col("item.id"), F.lit("")))
-    rows = rows.join(_details(details, "smartrecruiters", schemas.SMARTRECRUITERS_DETAIL),
-                     ["identifier", "detail_key"])
+
+
+def _workday_listings(payloads: DataFrame) -> DataFrame:
+    rows = _listings(payloads, "workday", "jobPostings")
+    return rows.filter(title_level(F.col("item.title"))).withColumn(
+        "detail_key", F.coalesce(F.col("item.externalPath"), F.lit("")))
+
+
+DETAILED = {"smartrecruiters": (_smartrecruiters_listings, schemas.SMARTRECRUITERS_DETAIL),
+            "workday": (_workday_listings, schemas.WORKDAY_DETAIL)}
+
+
+def _with_details(payloads: DataFrame, details: DataFrame, platform: str, how: str) -> DataFrame:
+    listings, schema = DETAILED[platform]
+    return listings(payloads).join(_details(details, platform, schema), ["identifier", "detail_key"], how)
+
+
+def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
+    rows = _with_details(payloads, details, "smartrecruiters", "inner")
     place = F.coalesce(F.col("detail.location"), F.col("item.location"))
     url = F.coalesce(
         F.when(F.col("detail.ref") != "", F.col("detail.ref")),
@@ -160,11 +179,7 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def workday(payloads: DataFrame, details: DataFrame, asof: Column) -> DataFrame:
-    rows = _listings(payloads, "workday", "jobPostings")
-    rows = rows.filter(title_level(F.col("item.title"))).withColumn(
-        "detail_key", F.coalesce(F.col("item.externalPath"), F.lit("")))
-    rows = rows.join(_details(details, "workday", schemas.WORKDAY_DETAIL),
-                     ["identifier", "detail_key"])
+    rows = _with_details(payloads, details, "workday", "inner")
     info = F.col("detail.jobPostingInfo")
     places = F.concat(
         F.array(first_non_empty(info["location"], F.col("item.locationsText"))),
@@ -191,8 +206,24 @@ def all_feeds(payloads: DataFrame, details: DataFrame, asof: Column) -> DataFram
     return reduce(DataFrame.unionByName, [f.select(*POSTING_COLUMNS) for f in frames])
 
 
-def feed_errors(payloads: DataFrame) -> DataFrame:
-    """Boards with pages that do not parse, and how many of their pages those are."""
+def feed_errors(payloads: DataFrame, details: DataFrame) -> DataFrame:
+    """Boards with pages that do not parse, or listings without a detail document that does; how many.
+
+    A board with both has a row for each. Listings that the title filter drops need no detail.
+    """
+    return reduce(DataFrame.unionByName, [_page_errors(payloads),
+                                          *[_detail_errors(payloads, details, p) for p in DETAILED]])
+
+
+def _detail_errors(payloads: DataFrame, details: DataFrame, platform: str) -> DataFrame:
+    lost = _with_details(payloads, details, platform, "left_anti")
+    return lost.groupBy("identifier").agg(F.count("*").alias("broken_details")).select(
+        F.lit(platform).alias("platform"), "identifier", F.lit(0).cast("bigint").alias("broken_pages"),
+        "broken_details", F.concat_ws(":", F.lit(platform), "identifier", F.lit(" detail is missing or does not parse"))
+        .alias("error"))
+
+
+def _page_errors(payloads: DataFrame) -> DataFrame:
     broken = F.lit(False)
     for platform, root in ROOTS.items():
         doc = F.from_json("payload", root, PERMISSIVE)
@@ -207,6 +238,7 @@ def feed_errors(payloads: DataFrame) -> DataFrame:
     return (
         payloads.filter(broken)
         .groupBy("platform", "identifier").agg(F.count("*").alias("broken_pages"))
+        .withColumn("broken_details", F.lit(0).cast("bigint"))
         .withColumn("error", F.concat_ws(": ", F.concat_ws(":", "platform", "identifier"),
                                          F.lit("payload does not parse")))
     )

@@ -1,14 +1,17 @@
 import random
 from datetime import datetime
 from decimal import Decimal
+from hashlib import md5
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
+from openroles import schemas
 from openroles.operators import dedup, employers, matching, merge, rollup
 from openroles.operators.digest import digest_fragments, eligible_pending, write_digest
 from openroles.operators.ranking import with_global_rank
-from openroles.operators.vectors import cosine_topk, embedder
+from openroles.operators.vectors import cosine_topk, embedder, hashed_vectors
 from openroles.plans import ingest, matching as match_plan, sponsorship
 
 H1B = ("`Employer` string, `Initial Approval` string, `Initial Denial` string, "
@@ -208,20 +211,20 @@ def test_profile_vectors_embed_only_the_missing(spark):
 JOBS = ("job_id bigint, company_id bigint, title string, location string, description string, "
         "job_url string, is_active boolean, posted_date timestamp")
 JOB_ROWS = [
-    (1, 101, "Cleared Engineer", "Austin, TX", "Active Secret security clearance required.", "u1", True, None),
-    (2, 202, "AI Engineer", "Remote - US", "Must be authorized to work in the United States.", "u2", True, None),
+    (1, 31, "Radio Technician", "Tulsa, OK", "US citizenship is required.", "u1", True, None),
+    (2, 47, "Weather Analyst", "Boise, ID", "We can sponsor visas.", "u2", True, None),
     (3, None, "SDE", "Berlin", "", "u3", True, None), (4, None, "SDE", "Boston, MA", "", "u4", False, None),
     (5, None, "SDE <x>", "Boston, MA", "", "u5?a=1&b=2", True, None)]
 
 
 def test_candidates_filter_before_history(spark):
     jobs = spark.createDataFrame(JOB_ROWS, JOBS)
-    companies = spark.createDataFrame([(202, "NEW STARTUP", 0, Decimal("0.00"))], COMPANY)
+    companies = spark.createDataFrame([(47, "CLOUDBERRY LABS", 12, Decimal("61.50"))], COMPANY)
     vectors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(1, 6)],
                                     "job_id bigint, embedding array<float>")
     profiles = spark.createDataFrame([(9, [1.0, 1.0])], "resume_id bigint, embedding array<float>")
     rows = match_plan.candidates(profiles, vectors, jobs, companies).orderBy("rank").collect()
-    assert [(r.job_id, r.employer_name) for r in rows] == [(2, "NEW STARTUP"), (5, None)]
+    assert [(r.job_id, r.employer_name) for r in rows] == [(2, "CLOUDBERRY LABS"), (5, None)]
     hits = cosine_topk(profiles, vectors)
     funnel = {r.stage: r.n for r in matching.hit_funnel(matching.hit_jobs(hits, jobs)).collect()}
     assert funnel == {"authorization": 1, "location": 1, "kept": 2}
@@ -234,8 +237,8 @@ def test_failed_scores_are_deferred(spark):
     def load():
         def ask(prompt):
             if prompt == "bad":
-                raise RuntimeError("temporary provider error")
-            return '{"score": 82}' if prompt == "good" else "no json"
+                raise TimeoutError("no answer within a minute")
+            return '{"score": 64}' if prompt == "good" else "no json"
         return ask
 
     parsed = matching.scored(matching.score_with(rows, load))
@@ -247,7 +250,7 @@ def test_failed_scores_are_deferred(spark):
                                        "is_notified boolean, matched_at timestamp")
     saved = match_plan.save_matches(stored, rows.withColumn("similarity", F.lit(0.5)), parsed,
                                     F.lit(datetime(2026, 1, 1)).cast("timestamp")).collect()
-    assert [(r.job_id, r.score, r.is_notified) for r in saved] == [(1, 82, False)]
+    assert [(r.job_id, r.score, r.is_notified) for r in saved] == [(1, 64, False)]
 
 
 def test_match_upsert_keeps_notification_state(spark):
@@ -332,6 +335,59 @@ def test_ingest_end_to_end(spark):
     assert rows["https://jobs.lever.co/acme/1"].company_id == 1
     assert [r.employer_name for r in result.new_companies.collect()] == ["Nova"]
     assert result.embeddings.count() == 2
+    kinds = {f.name: f.dataType for f in _parse_datatype_string(schemas.JOBS).fields}
+    assert {f.name: f.dataType for f in result.jobs.schema.fields} == kinds
+    assert rows["https://jobs.lever.co/acme/1"].scraped_at == now
+
+
+def test_postings_without_a_company_keep_their_row(spark):
+    rows = spark.createDataFrame([(c, f"u{i}") for i, c in enumerate((None, "", " ", "Acme", "Acme"))],
+                                 "company string, job_url string").withColumns({
+        **{n: F.lit("x") for n in ("title", "description", "location", "url_hash", "source")},
+        **{n: F.lit(None).cast("timestamp") for n in ("posted_date", "scraped_at")}})
+    links = spark.createDataFrame([("Acme", 4)], "company string, company_id bigint")
+    got = {r.job_url: r.company_id for r in employers.job_rows(rows, links).collect()}
+    assert got == {"u0": None, "u1": None, "u2": None, "u3": 4, "u4": 4}
+
+
+def test_a_company_with_a_third_of_all_postings_is_split(spark):
+    """Both sides of the last join have exchanges of their own, which is what run-time splitting needs."""
+    names = spark.range(300).select(F.when(F.col("id") % 3 == 0, "Hot").when(F.col("id") % 3 == 1, "")
+                                    .otherwise(F.concat(F.lit("c"), "id")).alias("company"), "id")
+    stored = spark.createDataFrame([(1, "HOT ROLES INC", 5, Decimal("90.00"))], COMPANY)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = employers.filter_by_sponsorship(names, stored)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in got.collect()) == list(range(0, 300, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    inputs = plan.split("SortMergeJoin")[1].splitlines()
+    sides = [n for n, line in enumerate(inputs) if line.strip(" :+-").startswith("Exchange hashpartitioning(_name")
+             or line.strip(" :+-").startswith("Exchange hashpartitioning(piece") and "xxhash64" in line]
+    assert len(sides) == 2
+
+
+def test_upsert_takes_the_first_row_of_a_key(spark):
+    stored = spark.createDataFrame([("A", 1)], "k string, v int")
+    new = spark.createDataFrame([("A", 2), ("A", 3), ("B", 4), ("B", 5)], "k string, v int")
+    got = merge.upsert(stored, new, ["k"], order=[F.desc("v")])
+    assert sorted((r.k, r.v) for r in got.collect()) == [("A", 3), ("B", 5)]
+
+
+def test_encoder_equals_word_by_word(spark):
+    texts = ["", "a b A", "x\ty z " * 40, "\u00c9t\u00e9 \u00a0 x"]
+
+    def one(text):
+        v = np.zeros(384)
+        for w in text.encode().lower().split():
+            code = int(md5(w).hexdigest()[:8], 16)
+            v[code % 384] += 1 if code >= 1 << 31 else -1
+        n = np.sqrt((v * v).sum())
+        return (v / n if n else v).astype(np.float32).tolist()
+
+    assert [v.tolist() for v in hashed_vectors(texts, 384)] == [one(t) for t in texts]
+    assert hashed_vectors([], 384) == [] and not hashed_vectors([""], 4)[0].any()
 
 
 def test_rate_rule_overwrites_a_supplied_rate(spark):
