@@ -316,5 +316,8 @@ WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 # Free-text date formats accepted besides ISO 8601.
 DATE_FORMATS = (
     "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z",
-    "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "M/d/yyyy", "yyyy/M/d",
+    "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "M/d/yyyy", "M/d/yy", "yyyy/M/d", "yyyy.M.d",
+    "yyyyMMdd",
 )
+# May follow a date without a time.
+TIME_OF_DAY = "[ h:mm[:ss] a][ H:mm[:ss]]"

@@ -22,16 +22,18 @@ def from_epoch(c: Column) -> Column:
 
 
 def parse_posted(c: Column) -> Column:
-    """Timestamp of ISO 8601 text or one of the listed formats, else null.
+    """Timestamp of ISO 8601 text, epoch numbers or one of the listed formats, else null.
 
-    Text without a zone is UTC, which is the session zone.
+    Text without a zone is UTC, which is the session zone. Commas count as blanks.
     """
+    formats = [f if "H" in f else f + fixed.TIME_OF_DAY for f in fixed.DATE_FORMATS]
 
     def parsed(text: Column) -> Column:
         iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
-        plain = F.regexp_replace(text, WEEKDAY, "")
-        others = [F.try_to_timestamp(plain, F.lit(f)) for f in fixed.DATE_FORMATS]
-        return F.coalesce(iso, F.when(text.rlike(r"\d{4}"), F.coalesce(*others)))
+        epoch = F.when(text.rlike(r"^\d{10}(\d{3})?$"), from_epoch(text.try_cast("long")))
+        plain = F.regexp_replace(F.regexp_replace(text, WEEKDAY, ""), r"[,\s]+", " ")
+        others = let(plain, lambda p: F.coalesce(*[F.try_to_timestamp(p, F.lit(f)) for f in formats]))
+        return F.coalesce(iso, epoch, F.when(text.rlike(r"\d{4}|/\d\d\b"), others))
 
     return let(strip(c), parsed)
 

@@ -10,7 +10,7 @@ to one row per task before anything is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from openroles.functions.text import (
@@ -110,10 +110,9 @@ def resolve_employers(names: DataFrame, companies: DataFrame) -> DataFrame:
 
     # New names: the upper-case spelling stands for its other spellings when
     # one of the new names has it.
-    upper_new = rows.groupBy("name").agg(
-        F.max(F.col("company") == F.col("name")).alias("has_upper"))
-    rows = rows.select("company", "name", *[v.alias(c) for c, v in chosen.items()])
-    rows = rows.join(upper_new, "name")
+    spellings = Window.partitionBy("name")
+    rows = rows.select("company", "name", *[v.alias(c) for c, v in chosen.items()],
+                       F.max(F.col("company") == F.col("name")).over(spellings).alias("has_upper"))
     created = F.when(F.col("has_upper"), F.col("name")).otherwise(F.col("company"))
     is_new = F.col("tier").isNull()
     return rows.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openroles import schemas
@@ -32,6 +32,11 @@ POSTING_COLUMNS = (
 )
 
 
+def read_landed(spark: SparkSession, path: str, schema: str = schemas.PAYLOADS, fmt: str = "parquet") -> DataFrame:
+    """Landed list pages, or details with ``schemas.DETAILS``, as Parquet or JSON lines."""
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
 def normalize_postings(raw: DataFrame, html: bool = True) -> DataFrame:
     """The posting schema. Rows without a title or a URL are dropped.
 

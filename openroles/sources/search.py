@@ -17,6 +17,12 @@ def search_queries(spark: SparkSession, level: str = "all") -> DataFrame:
     return spark.createDataFrame(rows, "query_no int, level string, query string")
 
 
+def read_search_queries(spark: SparkSession, path: str, level: str = "all") -> DataFrame:
+    """Configured queries from JSON files, each an array of objects with number, level and query."""
+    rows = spark.read.schema("query_no int, level string, query string").option("multiLine", True).json(path)
+    return rows if level == "all" else rows.filter(F.col("level") == level)
+
+
 def search_rows(responses: DataFrame) -> DataFrame:
     """Every result row of landed responses (``query``, ``tier``, ``payload``)."""
     parsed = responses.withColumn("doc", F.from_json("payload", schemas.SEARCH_RESPONSE))

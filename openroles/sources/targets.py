@@ -16,8 +16,17 @@ TARGET_SCHEMA = "platform string, identifier string, company string, base_url st
 
 
 def seed_targets(spark: SparkSession, entries=fixed.SEED_TARGETS) -> DataFrame:
-    """Curated boards; unknown platforms are dropped, a missing company is the identifier."""
-    rows = spark.createDataFrame(list(entries), TARGET_SCHEMA)
+    """Curated boards given as tuples."""
+    return curated_targets(spark.createDataFrame(list(entries), TARGET_SCHEMA))
+
+
+def read_targets(spark: SparkSession, path: str) -> DataFrame:
+    """Curated boards from JSON files, each an array of objects."""
+    return curated_targets(spark.read.schema(TARGET_SCHEMA).option("multiLine", True).json(path))
+
+
+def curated_targets(rows: DataFrame) -> DataFrame:
+    """Unknown platforms are dropped, a missing company is the identifier."""
     return rows.filter(F.col("platform").isin(*fixed.PLATFORMS)).select(
         "platform", "identifier",
         first_non_empty(F.col("company"), F.col("identifier")).alias("company"),

@@ -84,14 +84,22 @@ def _merge_stream(stream: DataFrame, checkpoint: str,
 
 def upsert_companies_stream(stream: DataFrame, snapshots: Snapshots,
                             checkpoint: str) -> StreamingQuery:
-    """Each batch of employer rows merged into the next snapshot; last row per employer wins."""
+    """Each batch of employer rows merged into the next snapshot; last row per employer wins.
+
+    Last is by ``ord``, which the snapshot keeps: an older row that lands in a
+    later batch changes nothing.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
-        columns = [c for c in batch.columns if c not in ("employer_name", "ord")]
+        columns = [c for c in batch.columns if c != "employer_name"]
         latest = batch.groupBy("employer_name").agg(
             F.max_by(F.struct(*columns), "ord").alias("r")).select("employer_name", "r.*")
         stored = snapshots.read(snapshots.latest(below=number))
-        snapshots.write(number, upsert_companies(stored, latest))
+        if "ord" not in stored.columns:
+            stored = stored.withColumn("ord", F.lit(None).cast(dict(batch.dtypes)["ord"]))
+        had = stored.select("employer_name", F.col("ord").alias("_had"))
+        newer = latest.join(had, "employer_name", "left").filter("_had is null or ord >= _had").drop("_had")
+        snapshots.write(number, upsert_companies(stored, newer))
 
     return _merge_stream(stream, checkpoint, merge)
 

@@ -48,6 +48,19 @@ def test_company_stream_is_incremental_and_repeatable(spark, tmp_path):
     assert snapshots.latest() == 1
 
 
+def test_an_older_row_in_another_batch_changes_nothing(spark, tmp_path):
+    """Files are taken in either order; the row with the larger ``ord`` stays."""
+    schema = "ord bigint, employer_name string, total_approvals bigint, total_denials bigint"
+    land(spark, tmp_path / "in", schema, [(5, "A", 3, 1), (2, "B", 1, 1)], [(2, "A", 9, 9), (5, "B", 4, 0)])
+    snapshots = inc.Snapshots(spark, str(tmp_path / "table"))
+    inc.start_table(snapshots, spark.createDataFrame([("A", 0, 0, None), ("B", 0, 0, None)], (
+        "employer_name string, total_approvals bigint, total_denials bigint, approval_rate decimal(5,2)")))
+    inc.upsert_companies_stream(stream(spark, tmp_path / "in", schema), snapshots,
+                                str(tmp_path / "state")).awaitTermination()
+    rows = {r.employer_name: (r.total_approvals, r.ord) for r in snapshots.read(snapshots.latest()).collect()}
+    assert rows == {"A": (3, 5), "B": (4, 5)} and snapshots.latest() == 1
+
+
 def test_each_match_is_sent_once(spark, tmp_path):
     land(spark, tmp_path / "in", "id bigint", [(1,), (2,)], [(2,), (3,)])
     snapshots = inc.Snapshots(spark, str(tmp_path / "matches"))
