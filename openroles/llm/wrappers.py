@@ -149,21 +149,48 @@ def times(item: list, *others: list, optional: bool = False, repeated: bool = Fa
     return [*item[:-1], TIMES[optional or "?" in found or "*" in found, repeated or "+" in found or "*" in found]]
 
 
-def merge(a: list, b: list) -> list:
-    """One item that reads what either of two items of one key reads."""
-    if a == b:
+def whole(call):
+    """Result of a generator that yields generators for the calls it makes of its own kind.
+
+    The stack of calls is a list here, as elements may be nested thousands deep.
+    """
+    stack, value = [call], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
+
+
+def same(a: list, b: list) -> bool:
+    """Whether two items or expressions are known to be equal; those nested too deep for that are aligned."""
+    try:
+        return a == b
+    except RecursionError:
+        return False
+
+
+def merge(a: list, b: list):
+    """One item that reads what either of two items of one key reads (for ``whole``)."""
+    if same(a, b):
         return a
     if a[0] == "e":
-        return times(["e", a[1], align(a[2], b[2]), "1"], a, b)
+        return times(["e", a[1], (yield _align(a[2], b[2])), "1"], a, b)
     if a[0] == "g":
-        return times(["g", [merge(x, y) for x, y in zip(a[1], b[1])], "1"], a, b)
+        both = []
+        for x, y in zip(a[1], b[1]):
+            both.append((yield merge(x, y)))
+        return times(["g", both, "1"], a, b)
     return times(a, b)
 
 
-def add(items: list, item: list) -> None:
-    """Append, folding runs of equal keys at the end into repeated items or groups."""
+def add(items: list, item: list):
+    """Append, folding runs of equal keys at the end into repeated items or groups (for ``whole``)."""
     if items and key(items[-1]) == key(item):
-        items[-1] = times(merge(items[-1], item), repeated=True)
+        items[-1] = times((yield merge(items[-1], item)), repeated=True)
         return
     items.append(item)
     keys = [key(x) for x in items[-2 * WIDEST_GROUP:]]
@@ -171,10 +198,12 @@ def add(items: list, item: list) -> None:
         tail = keys[-width:]
         if len(keys) > width and keys[-width - 1] == "(" + " ".join(tail) + ")":
             group = ["g", items[-width:], "1"]
-            items[-width - 1:] = [times(merge(items[-width - 1], group), repeated=True)]
+            items[-width - 1:] = [times((yield merge(items[-width - 1], group)), repeated=True)]
             return
         if len(keys) >= 2 * width and keys[-2 * width:-width] == tail:
-            both = [merge(x, y) for x, y in zip(items[-2 * width:-width], items[-width:])]
+            both = []
+            for x, y in zip(items[-2 * width:-width], items[-width:]):
+                both.append((yield merge(x, y)))
             items[-2 * width:] = [["g", both, "+"]]
             return
 
@@ -187,68 +216,115 @@ def stream(page: str) -> list:
             open_.append((what, []))
         elif kind == ">":
             name, items = open_.pop()
-            add(open_[-1][1], ["e", name, items, "1"])
+            whole(add(open_[-1][1], ["e", name, items, "1"]))
         else:
-            add(open_[-1][1], ["#", "1"])
+            whole(add(open_[-1][1], ["#", "1"]))
     return open_[0][1]
 
 
 def align(wrapper: list, page: list) -> list:
     """The smallest change of ``wrapper`` that also reads ``page``: what one of them lacks becomes optional."""
-    if wrapper == page:
+    return whole(_align(wrapper, page))
+
+
+def _align(wrapper: list, page: list):
+    if same(wrapper, page):
         return wrapper
     out: list = []
     a, b = list(map(key, wrapper)), list(map(key, page))
     for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if kind == "equal":
             for x, y in zip(wrapper[i:j], page[k:m]):
-                add(out, merge(x, y))
+                yield add(out, (yield merge(x, y)))
         else:
             for x in (*wrapper[i:j], *page[k:m]):
-                add(out, times(x, optional=True))
+                yield add(out, times(x, optional=True))
     return out
 
 
-def slots(wrapper: list, at: tuple[str, ...] = ()) -> set[str]:
-    """Paths of the text slots of an expression: enclosing elements joined by '/'."""
-    found: set[str] = set()
-    for item in wrapper:
-        if item[0] == "#":
-            found.add("/".join(at))
-        elif item[0] == "g":
-            found |= slots(item[1], at)
+def flat(expression: list) -> str:
+    """An expression as JSON of one list: items in order, what they hold between their opening and their times."""
+    out, todo = [], [iter(expression)]
+    ends: list[str] = []
+    while todo:
+        item = next(todo[-1], None)
+        if item is None:
+            todo.pop()
+            out.extend((")", ends.pop()) if ends else ())
+        elif item[0] == "#":
+            out.extend(item)
+        else:
+            out.extend(item[:-2])
+            todo.append(iter(item[-2]))
+            ends.append(item[-1])
+    return json.dumps(out)
+
+
+def nested(text: str) -> list:
+    """The expression that ``flat`` wrote."""
+    tokens, open_ = iter(json.loads(text)), [([], [])]
+    for token in tokens:
+        if token == "#":
+            open_[-1][1].append(["#", next(tokens)])
+        elif token == ")":
+            head, items = open_.pop()
+            open_[-1][1].append([*head, items, next(tokens)])
         else:
-            found |= slots(item[2], (*at, item[1]))
+            open_.append((["e", next(tokens)] if token == "e" else ["g"], []))
+    return open_[0][1]
+
+
+def below(at: int, element: str) -> int:
+    """Number of the path that leads from path ``at`` into ``element``; 0 is the page. Paths may be thousands long."""
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(element.encode(), at) >> 1
+
+
+def place(at: str, element: str) -> str:
+    """Whether text in ``element`` of a place is "outside" the main text, "inside" an article or at neither ("")."""
+    tag, _, given = element.partition(".")
+    if at == "outside" or tag in OUTSIDE or OUTSIDE_NAMES.search(given):
+        return "outside"
+    return "inside" if tag in INSIDE else at
+
+
+def slots(wrapper: list) -> dict[int, str]:
+    """Paths of the text slots of an expression, and their places."""
+    found: dict[int, str] = {}
+    todo: list[tuple[list, int, str]] = [(wrapper, 0, "")]
+    while todo:
+        items, at, where = todo.pop()
+        for item in items:
+            if item[0] == "#":
+                found[at] = where
+            elif item[0] == "g":
+                todo.append((item[1], at, where))
+            else:
+                todo.append((item[2], below(at, item[1]), place(where, item[1])))
     return found
 
 
-def main_slots(paths: set[str]) -> tuple[list[str], list[str]]:
+def main_slots(found: dict[int, str]) -> tuple[list[int], list[int]]:
     """Slots of the article, and other slots that are no menu, header, footer and the like.
 
     The second kind is for pages on which no slot of the first kind has text.
     """
-    core, rest = [], []
-    for path in sorted(paths):
-        parts = [p.partition(".") for p in path.split("/")]
-        if any(t in OUTSIDE or OUTSIDE_NAMES.search(given) for t, _, given in parts):
-            continue
-        (core if any(t in INSIDE for t, _, _ in parts) else rest).append(path)
-    return core, rest
+    return tuple(sorted(at for at, where in found.items() if where == kind) for kind in ("inside", ""))
 
 
-def read(page: str, core: set[str], rest: set[str]) -> str:
+def read(page: str, core: set[int], rest: set[int]) -> str:
     """Blocks of a page's main text joined by blank lines."""
-    stack, found = [], {True: [], False: []}
+    stack, found = [0], {True: [], False: []}
     for kind, what in events(page):
         if kind == "<":
-            stack.append(what)
+            stack.append(below(stack[-1], what))
         elif kind == ">":
             stack.pop()
         else:
-            path = "/".join(stack)
-            if path in core:
+            if stack[-1] in core:
                 found[True].append(what)
-            elif path in rest:
+            elif stack[-1] in rest:
                 found[False].append(what)
     return "\n\n".join(found[True] or found[False])
 
@@ -260,7 +336,7 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     def streams(batches):
         for batch in slices(batches):
             found = dict.fromkeys(
-                (h, json.dumps(stream(p or ""))) for h, p in zip(*(c.to_pylist() for c in batch.columns)))
+                (h, flat(stream(p or ""))) for h, p in zip(*(c.to_pylist() for c in batch.columns)))
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.string()),
                                               pa.array([s for _, s in found], pa.string())], names=["host", "stream"])
 
@@ -269,9 +345,9 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
 
         def row():
             core, rest = main_slots(slots(wrapper))
-            texts = pa.list_(pa.string())
+            paths = pa.list_(pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array([host]), pa.array([json.dumps(wrapper)]), pa.array([core], texts), pa.array([rest], texts)],
+                [pa.array([host]), pa.array([flat(wrapper)]), pa.array([core], paths), pa.array([rest], paths)],
                 names=["host", "wrapper", "core", "rest"])
 
         for batch in slices(batches):
@@ -279,15 +355,15 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
                 if h != host:
                     if host is not None:
                         yield row()
-                    host, wrapper = h, json.loads(s)
+                    host, wrapper = h, nested(s)
                 else:
-                    wrapper = align(wrapper, json.loads(s))
+                    wrapper = align(wrapper, nested(s))
         if host is not None:
             yield row()
 
     distinct = rows.mapInArrow(streams, "host string, stream string").distinct()
     by_host = distinct.repartition("host").sortWithinPartitions("host", F.length("stream"), "stream")
-    return by_host.mapInArrow(wrap, "host string, wrapper string, core array<string>, rest array<string>")
+    return by_host.mapInArrow(wrap, "host string, wrapper string, core array<bigint>, rest array<bigint>")
 
 
 def extract(df: DataFrame, wrappers: DataFrame, keys: Sequence[str] = ("page_id", "url"), url: str = "url",

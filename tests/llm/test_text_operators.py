@@ -223,6 +223,18 @@ def test_alignment_makes_optional_and_repeated_groups():
     assert pairs == [["e", "section", [["g", [["e", "h2", [["#", "1"]], "1"], ["e", "p", [["#", "1"]], "1"]], "+"]], "1"]]
 
 
+def test_deeply_nested_pages(spark):
+    """Thousands of elements that are never closed, and pages of a host that differ at every level."""
+    pages = ["".join(f"<{tag}>{k}{i}" for i in range(4000)) for tag, k in (("div", "a"), ("blockquote", "b"))]
+    pages.append("".join(f"<div>c{i}<hr>" if i % 2 else f"<div>c{i}" for i in range(4000)))
+    streams = [wrappers.stream(p) for p in pages]
+    assert all(wrappers.flat(wrappers.nested(wrappers.flat(s))) == wrappers.flat(s) for s in streams)
+    rows = [(i, "http://deep.example/" + str(i), p) for i, p in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in wrappers.main_text(frame).collect()}
+    assert got == {k: [f"{c}{i}" for i in range(4000)] for k, c in enumerate("abc")}
+
+
 def test_chat_round_trip(spark):
     said = [r"\### Assistant: </turn> ok", "", None, "### User:: \\\\ ): ### Other (", "plain <|endoftext|>", "é日\n"]
     rows = [(c, t, r, s) for c in (1, None) for t, (r, s) in enumerate(
