@@ -53,17 +53,20 @@ OUTSIDE = frozenset(
     "head title nav header footer aside form fieldset legend label button select option textarea menu dialog "
     "video audio".split())
 OUTSIDE_NAMES = re.compile(
-    r"(^|[-_ ])(ads?|advert\w*|banner|sponsor\w*|promo\w*|side-?bar\w*|menu|nav|navbar|navigation|breadcrumbs?|"
-    r"cookies?|consent|notices?|notification|alert|comments?|respond|replies|disqus|share|sharing|social|related|"
+    r"(?:(?:site|global|main|top|bottom|left|right)[-_])?(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|"
+    r"side-?bar\w*|menu|nav|navbar|navigation|breadcrumbs?|cookies?|consent|notices?|notification|alert|comments?|respond|replies|disqus|share|sharing|social|related|"
     r"recommended|newsletter|subscribe|popup|modal|overlay|footer|header|widget|toolbar|pagination|pager|login|"
-    r"signup|search)($|[-_ ])", re.I)
+    r"signup|search)(?:[-_]?0)?", re.I)
 INSIDE = frozenset(("article", "main"))
+#: Elements whose names say something about the page, not about what part of it they are.
+UNJUDGED = INSIDE | {"html", "body"}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(?P<raw>" + "|".join(HIDDEN) + r")\b(?:[^>]*/>|.*?(?:</(?P=raw)\s*>|$))|"
     r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^>\"'])*|[^>]*)>|"
     r"<[!?/][^>]*(?:>|$)|<[a-zA-Z][^>]*$", re.S | re.I)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NAMING = frozenset(("class", "id", "role"))
 
 
 def events(page: str) -> Iterator[tuple[str, str]]:
@@ -114,7 +117,8 @@ def events(page: str) -> Iterator[tuple[str, str]]:
                 if tag(stack[i]) in closes.split():
                     yield from pop_to(i)
                     break
-        given = " ".join(filter(None, (a or b or c for a, b, c in NAMED.findall(m["rest"] or ""))))
+        given = " ".join(a or b or c for n, a, b, c in ATTRIBUTE.findall(m["rest"] or "")
+                         if n.lower() in NAMING and (a or b or c))
         given = re.sub(r"\d+", "0", given)
         element = f"{name}.{given}" if given else name
         yield "<", element
@@ -282,9 +286,12 @@ def below(at: int, element: str) -> int:
 
 
 def place(at: str, element: str) -> str:
-    """Whether text in ``element`` of a place is "outside" the main text, "inside" an article or at neither ("")."""
+    """Whether text in ``element`` of a place is "outside" the main text, "inside" an article or at neither ("").
+
+    A name counts only as a whole: ``sidebar`` is one, ``no-sidebar`` and ``entry-header`` are others.
+    """
     tag, _, given = element.partition(".")
-    if at == "outside" or tag in OUTSIDE or OUTSIDE_NAMES.search(given):
+    if at == "outside" or tag in OUTSIDE or (tag not in UNJUDGED and any(map(OUTSIDE_NAMES.fullmatch, given.split()))):
         return "outside"
     return "inside" if tag in INSIDE else at
 

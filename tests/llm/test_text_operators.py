@@ -223,6 +223,17 @@ def test_alignment_makes_optional_and_repeated_groups():
     assert pairs == [["e", "section", [["g", [["e", "h2", [["#", "1"]], "1"], ["e", "p", [["#", "1"]], "1"]], "+"]], "1"]]
 
 
+def test_names_count_as_a_whole_and_not_on_the_page_itself(spark):
+    pages = ["<body class='single-post no-sidebar search'><div class='has-header-image'>kept</div></body>",
+             "<article class='sidebar'><div class='entry-header'><h1>Title</h1></div><p>body</p></article>",
+             "<div class='w-1/2 sidebar'>gone</div><p data-id='menu' data-role='nav'>kept</p>",
+             "<div id='site-footer'>gone</div><div class='ad-17'>gone</div><div role=\"search\">gone</div><p>kept</p>"]
+    frame = spark.createDataFrame([(i, f"http://h{i}.example/", p) for i, p in enumerate(pages)],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame).collect()}
+    assert got == {0: "kept", 1: "Title\n\nbody", 2: "kept", 3: "kept"}
+
+
 def test_deeply_nested_pages(spark):
     """Thousands of elements that are never closed, and pages of a host that differ at every level."""
     pages = ["".join(f"<{tag}>{k}{i}" for i in range(4000)) for tag, k in (("div", "a"), ("blockquote", "b"))]
