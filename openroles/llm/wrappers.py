@@ -6,12 +6,23 @@ fold into repeated groups. The folded streams of a host are aligned one after
 the other with the expression learnt so far: what both have stays, what one of
 them lacks becomes an optional group, and groups that come to stand side by
 side fold again. The result is a union-free regular expression of the host's
-pages, its wrapper. Elements of one name are aligned inside in turn. Its text slots are then sorted into main text and the rest
-by the elements that enclose them, and all pages of the host are read through it.
-
-Streams are made distinct with partial sums before they meet, so a host with
-any share of the pages sends few of them; they reach one task per host as a
-sorted stream, of which only the expression is kept.
+pages, its wrapper. Elements of one name are aligned inside in turn.
+
+Each slot of the wrapper keeps what its pages say of it: the texts that all
+pages with the slot have in it, a few different pages that have it, their
+number, and how much text they have there. A text is the host's own, not the
+page's, if all pages with its slot have it, these are more than half of the
+host's pages and at least ``LEAST_PAGES`` of them differ; headings in an article
+or main element are the page's in any case. Names and tags then decide among the
+slots of other texts: menus, headers, footers and the like are out; if a host's
+articles hold most of the text of their own that is left, other slots count only
+on pages without an article's text, else all of them count. All pages of the
+host are read through this. A page of nothing but texts of the host keeps them,
+as they may be its only text.
+
+Equal streams are joined with what they say of their slots before they meet, and
+again where they meet: one task per host gets them as a sorted stream, of which
+only the expression is kept.
 
 Defined cases: a null or empty page, or one without main text, gives the empty
 text. Tags that are never closed end with their parent or the page; an
@@ -38,6 +49,10 @@ from openroles.llm.urls import with_parts
 
 #: Wrapper rows up to this number are broadcast to the pages; more are joined by shuffle.
 MOST_BROADCAST = 20_000
+#: Fewest different pages that show what a host repeats; two may be copies of one page.
+LEAST_PAGES = 3
+#: A task sends what it has joined when it holds this many characters of streams and slots.
+MOST_HELD = 16 << 20
 BLOCKS = frozenset(
     "html head title body p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
     "section article main blockquote pre figure figcaption hr address details summary header footer nav aside "
@@ -58,6 +73,7 @@ OUTSIDE_NAMES = re.compile(
     r"recommended|newsletter|subscribe|popup|modal|overlay|footer|header|widget|toolbar|pagination|pager|login|"
     r"signup|search)(?:[-_]?0)?", re.I)
 INSIDE = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose names say something about the page, not about what part of it they are.
 UNJUDGED = INSIDE | {"html", "body"}
 
@@ -132,9 +148,32 @@ def events(page: str) -> Iterator[tuple[str, str]]:
     yield from pop_to(0)
 
 
-# An expression is a list of items: ["#", times], an element ["e", name, items,
-# times] or a group ["g", items, times]. Times are "1", "+" (one or more), "?"
-# (none or one) or "*" (any number).
+# An expression is a list of items: ["#", times] or ["#", told, times], an element
+# ["e", name, items, times] or a group ["g", items, times]. Times are "1", "+" (one
+# or more), "?" (none or one) or "*" (any number). ``told`` is what pages say of a
+# slot: [texts that all of them have, up to LEAST_PAGES different pages, number of
+# pages, characters].
+
+LENGTH_BITS = 16
+
+
+def text_number(text: str) -> int:
+    """A text as a number, whose last bits are its length."""
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> LENGTH_BITS + 1 << LENGTH_BITS | min(
+        len(text), (1 << LENGTH_BITS) - 1)
+
+
+def of_one_page(a: list, b: list) -> list:
+    """What is told of a slot in two places of one page, or of one expression that fold."""
+    return [sorted({*a[0], *b[0]}), sorted({*a[1], *b[1]})[:LEAST_PAGES], max(a[2], b[2]), a[3] + b[3]]
+
+
+def of_two_pages(a: list, b: list) -> list:
+    """What is told of a slot by pages of two kinds; in any order, it comes out the same."""
+    return [sorted({*a[0]} & {*b[0]}), sorted({*a[1], *b[1]})[:LEAST_PAGES], a[2] + b[2], a[3] + b[3]]
+
 
 TIMES = {(False, False): "1", (False, True): "+", (True, False): "?", (True, True): "*"}
 WIDEST_GROUP = 4
@@ -177,24 +216,24 @@ def same(a: list, b: list) -> bool:
         return False
 
 
-def merge(a: list, b: list):
-    """One item that reads what either of two items of one key reads (for ``whole``)."""
+def merge(a: list, b: list, tell):
+    """One item that reads what either of two items of one key reads (for ``whole``); ``tell`` joins their slots."""
+    if a[0] == "#":
+        return times(["#", tell(a[1], b[1]), "1"], a, b) if len(a) > 2 else times(a, b)
     if same(a, b):
         return a
     if a[0] == "e":
-        return times(["e", a[1], (yield _align(a[2], b[2])), "1"], a, b)
-    if a[0] == "g":
-        both = []
-        for x, y in zip(a[1], b[1]):
-            both.append((yield merge(x, y)))
-        return times(["g", both, "1"], a, b)
-    return times(a, b)
+        return times(["e", a[1], (yield _align(a[2], b[2], tell)), "1"], a, b)
+    both = []
+    for x, y in zip(a[1], b[1]):
+        both.append((yield merge(x, y, tell)))
+    return times(["g", both, "1"], a, b)
 
 
 def add(items: list, item: list):
     """Append, folding runs of equal keys at the end into repeated items or groups (for ``whole``)."""
     if items and key(items[-1]) == key(item):
-        items[-1] = times((yield merge(items[-1], item)), repeated=True)
+        items[-1] = times((yield merge(items[-1], item, of_one_page)), repeated=True)
         return
     items.append(item)
     keys = [key(x) for x in items[-2 * WIDEST_GROUP:]]
@@ -202,44 +241,47 @@ def add(items: list, item: list):
         tail = keys[-width:]
         if len(keys) > width and keys[-width - 1] == "(" + " ".join(tail) + ")":
             group = ["g", items[-width:], "1"]
-            items[-width - 1:] = [times((yield merge(items[-width - 1], group)), repeated=True)]
+            items[-width - 1:] = [times((yield merge(items[-width - 1], group, of_one_page)), repeated=True)]
             return
         if len(keys) >= 2 * width and keys[-2 * width:-width] == tail:
             both = []
             for x, y in zip(items[-2 * width:-width], items[-width:]):
-                both.append((yield merge(x, y)))
+                both.append((yield merge(x, y, of_one_page)))
             items[-2 * width:] = [["g", both, "+"]]
             return
 
 
-def stream(page: str) -> list:
-    """The folded token stream of a page as an expression."""
+def stream(page: str, telling: bool = False) -> list:
+    """The folded token stream of a page as an expression, whose slots tell of the page if that is asked for."""
     open_: list[tuple[str, list]] = [("", [])]
-    for kind, what in events(page):
+    found = list(events(page))
+    own = 0
+    if telling:
+        for kind, what in found:
+            own = below(own, what) if kind == "#" else own
+    for kind, what in found:
         if kind == "<":
             open_.append((what, []))
         elif kind == ">":
             name, items = open_.pop()
             whole(add(open_[-1][1], ["e", name, items, "1"]))
         else:
-            whole(add(open_[-1][1], ["#", "1"]))
+            whole(add(open_[-1][1], ["#", [[text_number(what)], [own], 1, len(what)], "1"] if telling else ["#", "1"]))
     return open_[0][1]
 
 
 def align(wrapper: list, page: list) -> list:
     """The smallest change of ``wrapper`` that also reads ``page``: what one of them lacks becomes optional."""
-    return whole(_align(wrapper, page))
+    return whole(_align(wrapper, page, of_two_pages))
 
 
-def _align(wrapper: list, page: list):
-    if same(wrapper, page):
-        return wrapper
+def _align(wrapper: list, page: list, tell):
     out: list = []
     a, b = list(map(key, wrapper)), list(map(key, page))
     for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if kind == "equal":
             for x, y in zip(wrapper[i:j], page[k:m]):
-                yield add(out, (yield merge(x, y)))
+                yield add(out, (yield merge(x, y, tell)))
         else:
             for x in (*wrapper[i:j], *page[k:m]):
                 yield add(out, times(x, optional=True))
@@ -247,7 +289,10 @@ def _align(wrapper: list, page: list):
 
 
 def flat(expression: list) -> str:
-    """An expression as JSON of one list: items in order, what they hold between their opening and their times."""
+    """An expression as JSON of one list: items in order, what they hold between their opening and their times.
+
+    What is told of slots is left out.
+    """
     out, todo = [], [iter(expression)]
     ends: list[str] = []
     while todo:
@@ -256,7 +301,7 @@ def flat(expression: list) -> str:
             todo.pop()
             out.extend((")", ends.pop()) if ends else ())
         elif item[0] == "#":
-            out.extend(item)
+            out.extend(("#", item[-1]))
         else:
             out.extend(item[:-2])
             todo.append(iter(item[-2]))
@@ -264,12 +309,26 @@ def flat(expression: list) -> str:
     return json.dumps(out)
 
 
-def nested(text: str) -> list:
-    """The expression that ``flat`` wrote."""
-    tokens, open_ = iter(json.loads(text)), [([], [])]
+def told(expression: list) -> list[list]:
+    """What is told of the slots of an expression, in order."""
+    out, todo = [], [iter(expression)]
+    while todo:
+        item = next(todo[-1], None)
+        if item is None:
+            todo.pop()
+        elif item[0] != "#":
+            todo.append(iter(item[-2]))
+        elif len(item) > 2:
+            out.append(item[1])
+    return out
+
+
+def nested(text: str, telling: list[list] | None = None) -> list:
+    """The expression that ``flat`` wrote, with what ``told`` found."""
+    tokens, open_, more = iter(json.loads(text)), [([], [])], iter(telling or ())
     for token in tokens:
         if token == "#":
-            open_[-1][1].append(["#", next(tokens)])
+            open_[-1][1].append(["#", *([] if telling is None else [next(more)]), next(tokens)])
         elif token == ")":
             head, items = open_.pop()
             open_[-1][1].append([*head, items, next(tokens)])
@@ -296,81 +355,120 @@ def place(at: str, element: str) -> str:
     return "inside" if tag in INSIDE else at
 
 
-def slots(wrapper: list) -> dict[int, str]:
-    """Paths of the text slots of an expression, and their places."""
-    found: dict[int, str] = {}
-    todo: list[tuple[list, int, str]] = [(wrapper, 0, "")]
+def slots(wrapper: list) -> Iterator[tuple[int, str, bool, list]]:
+    """Path, place, whether it is a heading and what is told of each text slot of an expression."""
+    todo: list[tuple[list, int, str, bool]] = [(wrapper, 0, "", False)]
     while todo:
-        items, at, where = todo.pop()
+        items, at, where, heading = todo.pop()
         for item in items:
             if item[0] == "#":
-                found[at] = where
+                yield at, where, heading, item[1]
             elif item[0] == "g":
-                todo.append((item[1], at, where))
+                todo.append((item[1], at, where, heading))
             else:
-                todo.append((item[2], below(at, item[1]), place(where, item[1])))
-    return found
+                tag = item[1].partition(".")[0]
+                todo.append((item[2], below(at, item[1]), place(where, item[1]), tag in HEADINGS))
 
 
-def main_slots(found: dict[int, str]) -> tuple[list[int], list[int]]:
-    """Slots of the article, and other slots that are no menu, header, footer and the like.
+def main_slots(wrapper: list, pages: int) -> tuple[list[int], list[int], list[int]]:
+    """Slots of main text, those for pages on which no slot of the first kind has text, and texts of the host in them.
 
-    The second kind is for pages on which no slot of the first kind has text.
+    ``pages`` is the number of the host's pages. A text of the host is numbered
+    as if it were an element below its slot.
     """
-    return tuple(sorted(at for at, where in found.items() if where == kind) for kind in ("inside", ""))
-
-
-def read(page: str, core: set[int], rest: set[int]) -> str:
+    paths, size, fixed = {"inside": set(), "": set()}, {"inside": 0, "": 0}, set()
+    for at, where, heading, (texts, seen, n, chars) in slots(wrapper):
+        if where == "outside":
+            continue
+        paths[where].add(at)
+        if len(seen) >= LEAST_PAGES and 2 * n > pages and not (heading and where == "inside"):
+            fixed.update(below(at, str(t)) for t in texts)
+            chars -= n * sum(t & (1 << LENGTH_BITS) - 1 for t in texts)
+        size[where] += max(0, chars)
+    core, rest = paths["inside"], paths[""] - paths["inside"]
+    if size["inside"] < size[""]:
+        core, rest = core | rest, set()
+    return sorted(core), sorted(rest), sorted(fixed)
+
+
+def read(page: str, core: set[int], rest: set[int], fixed: set[int] = frozenset()) -> str:
     """Blocks of a page's main text joined by blank lines."""
-    stack, found = [0], {True: [], False: []}
+    stack = [0]
+    found = {(own, main): [] for own in (True, False) for main in (True, False)}
     for kind, what in events(page):
         if kind == "<":
             stack.append(below(stack[-1], what))
         elif kind == ">":
             stack.pop()
-        else:
-            if stack[-1] in core:
-                found[True].append(what)
-            elif stack[-1] in rest:
-                found[False].append(what)
-    return "\n\n".join(found[True] or found[False])
+        elif stack[-1] in core or stack[-1] in rest:
+            own = not (fixed and below(stack[-1], str(text_number(what))) in fixed)
+            found[own, stack[-1] in core].append(what)
+    return "\n\n".join(next(filter(None, found.values()), []))
 
 
 def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row per host: its wrapper (JSON) and the paths of its main slots."""
+    """One row per host: its wrapper (JSON), the paths of its main slots and the texts of the host in them."""
     rows = with_parts(only(df, url, page).toDF("u", "page"), F.col("u"), "host", "path").select("host", "page")
 
+    def batch_of(rows):
+        columns = list(zip(*rows)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(),
+                                                                                    pa.int64()))],
+                                          names=["host", "stream", "told", "pages"])
+
     def streams(batches):
+        held: dict[tuple, list] = {}
+        size = 0
         for batch in slices(batches):
-            found = dict.fromkeys(
-                (h, flat(stream(p or ""))) for h, p in zip(*(c.to_pylist() for c in batch.columns)))
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.string()),
-                                              pa.array([s for _, s in found], pa.string())], names=["host", "stream"])
+            for h, p in zip(*(c.to_pylist() for c in batch.columns)):
+                expression = stream(p or "", True)
+                at, new = (h, flat(expression)), told(expression)
+                if at in held:
+                    old, n = held[at]
+                    held[at] = [list(map(of_two_pages, old, new)), n + 1]
+                else:
+                    held[at] = [new, 1]
+                    size += len(at[1]) + sum(80 + 20 * len(t[0]) for t in new)
+            if size > MOST_HELD:
+                yield batch_of((*at, json.dumps(t), n) for at, (t, n) in held.items())
+                held, size = {}, 0
+        yield batch_of((*at, json.dumps(t), n) for at, (t, n) in held.items())
 
     def wrap(batches):
-        host, wrapper = None, []
+        # Rows of one stream are joined before it is aligned, so it does not matter in which tasks its pages were.
+        host, wrapper, pages = None, None, 0
+        last, telling = None, []
+
+        def aligned():
+            more = nested(last, telling)
+            return more if wrapper is None else align(wrapper, more)
 
         def row():
-            core, rest = main_slots(slots(wrapper))
+            all_ = aligned()
+            core, rest, fixed = main_slots(all_, pages)
             paths = pa.list_(pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array([host]), pa.array([flat(wrapper)]), pa.array([core], paths), pa.array([rest], paths)],
-                names=["host", "wrapper", "core", "rest"])
+                [pa.array([host], pa.string()), pa.array([flat(all_)]), pa.array([core], paths),
+                 pa.array([rest], paths), pa.array([fixed], paths)], names=["host", "wrapper", "core", "rest", "fixed"])
 
         for batch in slices(batches):
-            for h, s in zip(*(c.to_pylist() for c in batch.columns)):
-                if h != host:
-                    if host is not None:
-                        yield row()
-                    host, wrapper = h, nested(s)
-                else:
-                    wrapper = align(wrapper, nested(s))
-        if host is not None:
+            for h, s, t, n in zip(*(c.to_pylist() for c in batch.columns)):
+                t = json.loads(t)
+                if h == host and s == last:
+                    telling, pages = list(map(of_two_pages, telling, t)), pages + n
+                    continue
+                if h == host:
+                    wrapper, last, telling, pages = aligned(), s, t, pages + n
+                    continue
+                if last is not None:
+                    yield row()
+                host, wrapper, last, telling, pages = h, None, s, t, n
+        if last is not None:
             yield row()
 
-    distinct = rows.mapInArrow(streams, "host string, stream string").distinct()
-    by_host = distinct.repartition("host").sortWithinPartitions("host", F.length("stream"), "stream")
-    return by_host.mapInArrow(wrap, "host string, wrapper string, core array<bigint>, rest array<bigint>")
+    found = rows.mapInArrow(streams, "host string, stream string, told string, pages bigint")
+    by_host = found.repartition("host").sortWithinPartitions("host", F.length("stream"), "stream")
+    return by_host.mapInArrow(wrap, "host string, wrapper string, core array<bigint>, rest array<bigint>, fixed array<bigint>")
 
 
 def extract(df: DataFrame, wrappers: DataFrame, keys: Sequence[str] = ("page_id", "url"), url: str = "url",
@@ -383,16 +481,16 @@ def extract(df: DataFrame, wrappers: DataFrame, keys: Sequence[str] = ("page_id"
     rows = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)],
                      F.col(f"`{page}`").alias("page"), F.col(f"`{url}`").alias("u"))
     rows = with_parts(rows, F.col("u"), "host", "path").drop("u", "path")
-    few = wrappers.select("host", "core", "rest")
+    few = wrappers.select("host", "core", "rest", "fixed")
     if few.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
         few = F.broadcast(few)
-    joined = rows.join(few, "host", "left").select(*[f"k{i}" for i in range(n)], "page", "core", "rest")
+    joined = rows.join(few, "host", "left").select(*[f"k{i}" for i in range(n)], "page", "core", "rest", "fixed")
     out = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys]).add("text", "string")
 
     def run(batches):
         for batch in slices(batches):
-            texts = [read(p or "", set(c or ()), set(r or ())) for p, c, r in
-                     zip(*(batch.column(i).to_pylist() for i in range(n, n + 3)))]
+            texts = [read(p or "", set(c or ()), set(r or ()), set(f or ())) for p, c, r, f in
+                     zip(*(batch.column(i).to_pylist() for i in range(n, n + 4)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], names=out.names)
 
     return joined.mapInArrow(run, out)

@@ -223,6 +223,30 @@ def test_alignment_makes_optional_and_repeated_groups():
     assert pairs == [["e", "section", [["g", [["e", "h2", [["#", "1"]], "1"], ["e", "p", [["#", "1"]], "1"]], "+"]], "1"]]
 
 
+def test_what_a_host_repeats_is_no_main_text(spark):
+    """No telling names: only the host's other pages show what is its own; a host of one page keeps all."""
+    page = ("<div class='box'><p>Home</p><p>About</p></div><div class='col'><h1>t{0}</h1>{1}<p>All rights reserved.</p></div>"
+            "<div class='box'>We store data. {2}</div>")
+    bodies = ["<p>a0</p>", "<p>a1</p><p>b1</p>", "<ul><li>x2</li></ul><p>a2</p>", "<p>a3</p><p>b3</p><p>c3</p>"]
+    rows = [(i, "http://h.example/" + str(i), page.format(i, b, "")) for i, b in enumerate(bodies)]
+    rows += [(9, "http://one.example/", page.format(9, "<p>a9</p>", ""))]
+    rows += [(20 + i, "http://copy.example/" + str(i), page.format(5, "<p>same</p>", "")) for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text.split("\n\n") for r in wrappers.main_text(frame).collect()}
+    whole = ["Home", "About", "t9", "a9", "All rights reserved.", "We store data."]
+    copy = ["Home", "About", "t5", "same", "All rights reserved.", "We store data."]
+    assert got == {0: ["t0", "a0"], 1: ["t1", "a1", "b1"], 2: ["t2", "x2", "a2"], 3: ["t3", "a3", "b3", "c3"], 9: whole,
+                   **{20 + i: copy for i in range(4)}}
+
+
+def test_a_post_beside_teasers_in_articles_is_kept(spark):
+    rows = [(i, f"http://p.example/{i}", f"<div class='post'><p>{'word ' * 20}{i}</p></div><article>teaser {i}</article>")
+            for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(frame).collect()}
+    assert got == {i: f"{'word ' * 20}{i}\n\nteaser {i}" for i in range(3)}
+
+
 def test_names_count_as_a_whole_and_not_on_the_page_itself(spark):
     pages = ["<body class='single-post no-sidebar search'><div class='has-header-image'>kept</div></body>",
              "<article class='sidebar'><div class='entry-header'><h1>Title</h1></div><p>body</p></article>",
