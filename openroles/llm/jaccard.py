@@ -31,7 +31,7 @@ intersection holds at least 80 of 100 parts of the union.
 Defined cases: null texts and texts without words have no shingle and link with
 nothing. Null ids are in results, with a null component, but take no part.
 Repeated rows of an id are one document if their texts agree; if not, they are
-linked with each other's groups, as they share the id.
+linked with each other's groups, as they share the id, whatever their lengths.
 """
 
 from __future__ import annotations
@@ -479,16 +479,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     listed = cells_of(heads(rows, frequent_counters(profiled)))
     cells = written(listed.join(_listed(shown), "doc_id", "left")
                     .select("cell", F.coalesce("rep", "doc_id").alias("doc_id")).distinct(), "cells")
-    sizes = (member.where("rep = doc_id").groupBy("doc_id").agg(F.max("n").alias("n"), F.count("*").alias("sets"),
-                                                               F.max("bytes").alias("bytes")))
-    # An id with several sets has no one shape.
-    sizes = sizes.select("doc_id", "n", F.when(F.col("sets") == 1, F.col("bytes")).otherwise(F.lit(b"")).alias("shape"))
-    sized_cells = written(cells.join(sizes, "doc_id").select("cell", "doc_id", "n", "shape"), "sized")
+    # An id with several sets has a row for each of them.
+    shaped = member.where("rep = doc_id").select("doc_id", "n", F.col("bytes").alias("shape")).distinct()
+    sizes = shaped.groupBy("doc_id").agg(F.sum("n").alias("n"))
+    sized_cells = written(cells.join(shaped, "doc_id").select("cell", "doc_id", "n", "shape"), "sized")
     totals = sized_cells.groupBy("cell").agg(F.count("*").alias("docs"), F.sum("n").alias("total")).where("docs > 1")
     totals = written(totals, "totals")
     small = sized_cells.join(_listed(totals.where(F.col("total") <= SHAPED_SHINGLES)), "cell", "left_semi")
     whole = sized_cells.join(_listed(totals.where(F.col("total") > SHAPED_SHINGLES)), "cell", "left_semi")
-    narrowed = (small.repartition("cell").sortWithinPartitions("cell", "doc_id").select("cell", "doc_id", "n", "shape")
+    narrowed = (small.repartition("cell").sortWithinPartitions("cell", "doc_id", "n", "shape").select("cell", "doc_id", "n", "shape")
                 .mapInArrow(_narrowed, "cell bigint, doc_id bigint"))
     cells = written(narrowed.union(whole.select("cell", "doc_id")).distinct(), "narrowed")
     mixed = F.xxhash64("doc_id")
@@ -532,7 +531,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     own = member.select("doc_id", "n", "rep").join(component.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
-    empty = sized.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    empty = sized.where("n = 0 or doc_id is null").select("doc_id", "n")
+    bare = written(empty.where("doc_id is not null").select("doc_id").distinct(), "bare")
+    wordless = written(own.join(_listed(bare), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min("component_id").alias("c")), "wordless")  # ids with a text without words and others
+    empty = empty.join(_listed(wordless), "doc_id", "left").select("doc_id", "n", F.coalesce("c", "doc_id"))
     return own.union(empty).withColumnRenamed("n", "n_shingles").withColumnRenamed("doc_id", key)
 
 

@@ -78,6 +78,19 @@ def test_null_ids_repeated_rows_and_ids_of_several_texts(spark):
     assert jaccard.classes(docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("cell", [1_500_000, 60])
+def test_ids_of_texts_of_different_lengths(spark, monkeypatch, cell):
+    """Every text of an id links, whatever lengths its other texts have."""
+    monkeypatch.setattr(jaccard, "CELL_SHINGLES", cell)
+    short, long = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(200)]
+    rows = [(7, " ".join(short)), (7, " ".join(long)), (8, " ".join([*short[:-1], "x"])), (9, " ".join([*long[:-1], "y"])),
+            (3, " ".join(["z", *long[:-1]])), (10, "no copy of any other text is here")]
+    other = corpus(4)  # ids with two or three texts of any lengths
+    rows += [(100 + i % 40, t) for i, t in other]
+    got = {r.doc_id: r.component_id for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and {got[i] for i in (3, 7, 8, 9)} == {3} and got[10] == 10
+
+
 def test_search_equals_brute_force():
     rng = random.Random(6)
     import numpy as np
