@@ -36,7 +36,7 @@ def stream_dedup_postings(v):
         F.when(searched, "").when(even, F.upper("board")).otherwise(F.col("board")).alias("source_board"),
         F.when(searched, "").otherwise(F.col("ext_id")).alias("source_job_id"),
         F.when(even, F.col("canon_url")).otherwise(F.col("raw_url")).alias("job_url"), "scraped_at")
-    inc.run_to_parquet(inc.dedup_stream(sightings), f"{root}/out", f"{root}/state").awaitTermination()
+    inc.dedup_with_late_rows(sightings, inc.Snapshots(v.spark, f"{root}/out"), f"{root}/state").awaitTermination()
     return v.spark.read.parquet(f"{root}/out").select("dedup_key")
 
 

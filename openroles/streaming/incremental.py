@@ -12,22 +12,29 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from openroles.operators.dedup import posting_identity
 from openroles.operators.merge import mark_notified, upsert_companies
 
 
+def keyed(postings: DataFrame) -> DataFrame:
+    """Postings with the identity that copies share, ``dedup_key``."""
+    identity = posting_identity(F.col("source"), F.col("source_board"),
+                                F.col("source_job_id"), F.col("job_url"))
+    key = F.concat_ws("|", identity["k0"], identity["k1"], identity["k2"], identity["url"])
+    return postings.withColumn("dedup_key", key)
+
+
 def dedup_stream(postings: DataFrame, delay: str = "7 days") -> DataFrame:
     """Streaming postings, each identity once within the overlap of the daily polls.
 
     The watermark is on ingest time (``scraped_at``): posting dates may be
-    missing or rightly old, and neither may drop a row.
+    missing or rightly old, and neither may drop a row. Rows that land later than
+    ``delay`` are dropped here; ``dedup_with_late_rows`` keeps and marks them.
     """
-    identity = posting_identity(F.col("source"), F.col("source_board"),
-                                F.col("source_job_id"), F.col("job_url"))
-    key = F.concat_ws("|", identity["k0"], identity["k1"], identity["k2"], identity["url"])
-    return (postings.withColumn("dedup_key", key)
+    return (keyed(postings)
             .withWatermark("scraped_at", delay)
             .dropDuplicatesWithinWatermark(["dedup_key"]))
 
@@ -66,6 +73,15 @@ class Snapshots:
     def read(self, version: int) -> DataFrame:
         return self.spark.read.parquet(self.path(version))
 
+    def before(self, version: int, schema) -> DataFrame:
+        """The rows of all complete versions below ``version`` together."""
+        names = [s.getPath().getName() for s in self.fs.listStatus(self.fs_path(self.root))] if self.fs.exists(
+            self.fs_path(self.root)) else []
+        found = sorted(int(n[2:]) for n in names if n.startswith("v="))
+        paths = [self.path(v) for v in found if v < version and self.complete(v)]
+        reader = self.spark.read.schema(schema)
+        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def write(self, version: int, frame: DataFrame) -> None:
         frame.write.mode("overwrite").parquet(self.path(version))
 
@@ -82,6 +98,25 @@ def _merge_stream(stream: DataFrame, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
+def dedup_with_late_rows(postings: DataFrame, written: Snapshots, checkpoint: str,
+                         delay: str = "7 days") -> StreamingQuery:
+    """Streaming postings, each identity once over all runs; version ``n`` holds what batch ``n`` added.
+
+    Each batch is compared with what earlier ones wrote, so rows of a backfill
+    stay however old they are. ``late`` marks those more than ``delay`` behind the
+    newest row written before.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        had = written.before(number, T.StructType([*batch.schema.fields, T.StructField("late", T.BooleanType())]))
+        newest = had.agg(F.max("scraped_at").alias("_newest"))
+        added = batch.dropDuplicates(["dedup_key"]).join(had.select("dedup_key"), "dedup_key", "left_anti")
+        late = F.coalesce(F.col("scraped_at") < F.col("_newest") - F.expr(f"interval {delay}"), F.lit(False))
+        written.write(number, added.crossJoin(newest).select(*batch.columns, late.alias("late")))
+
+    return _merge_stream(keyed(postings), checkpoint, merge)
+
+
 def upsert_companies_stream(stream: DataFrame, snapshots: Snapshots,
                             checkpoint: str) -> StreamingQuery:
     """Each batch of employer rows merged into the next snapshot; last row per employer wins.

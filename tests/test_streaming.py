@@ -30,6 +30,22 @@ def test_dedup_across_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_late_rows_of_a_backfill_are_kept_and_marked(spark, tmp_path):
+    old, new = datetime(2026, 6, 1), datetime(2026, 8, 1)
+    written = inc.Snapshots(spark, str(tmp_path / "out"))
+    batches = [[("lever_feed", "acme", "1", "https://jobs.lever.co/acme/1", new)],
+               [("lever_feed", "acme", "2", "https://jobs.lever.co/acme/2", new), ("lever_feed", "ACME", "1", "u", old)],
+               [("lever_feed", "acme", "3", "https://jobs.lever.co/acme/3", old)] * 2
+               + [("lever_feed", "acme", "4", "https://jobs.lever.co/acme/4", None)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, POSTING).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        for _ in range(2):  # the second run finds nothing new
+            inc.dedup_with_late_rows(stream(spark, tmp_path / "in", POSTING), written,
+                                     str(tmp_path / "state")).awaitTermination()
+    got = sorted((r.source_job_id, r.late) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("1", False), ("2", False), ("3", True), ("4", False)]
+
+
 def test_company_stream_is_incremental_and_repeatable(spark, tmp_path):
     schema = "ord bigint, employer_name string, total_approvals bigint, total_denials bigint"
     land(spark, tmp_path / "in", schema, [(1, "A", 1, 1), (2, "A", 3, 1)], [(3, "B", 5, 0)])
