@@ -7,8 +7,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from openroles.llm import (chat, cotraining, fingerprints, jaccard, language, packing, quality_rules, sentencepieces,
-                           urls, wrappers)
+from openroles.llm import (alignment, audit, chat, cotraining, fingerprints, jaccard, language, packing,
+                           quality_rules, sentencepieces, urls, wrappers)
 from openroles.llm.common import table
 
 #: Host, path and verdict of the URL rules.
@@ -90,9 +90,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                           tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_quality_rules, op4_language, op5_quality_classifier,
-                            op6_fingerprints, op7_packing, op8_html_extraction, op9_chat_format, op10_jaccard_join)}
+                            op6_fingerprints, op7_packing, op8_html_extraction, op9_chat_format, op10_jaccard_join,
+                            op12_token_alignment, op13_filter_audit)}
 _WORDS = r"list_filter(string_split_regex(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 SQL: dict[str, str] = {
@@ -155,4 +165,33 @@ reach(node, low) AS (SELECT x, x FROM both_ways
 lowest AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
 SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, t.doc_id) AS component_id
 FROM t LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON node = t.doc_id""",
+    "op13_filter_audit": r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, """ + _WORDS.format(text="text") + r""" AS w FROM t),
+facts AS (SELECT w.doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+                 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text) AS c,
+                 regexp_matches(text, '[#$%&*|]') AS d,
+                 coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e FROM w),
+told AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, ['A', 'B', 'C', 'D', 'E'] AS names, [a, b, c, d, e] AS fails, coalesce(good, false) AS good,
+             coalesce(toxic, false) AS toxic, count(*) AS n
+      FROM facts LEFT JOIN told USING (doc_id) GROUP BY ALL),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT p.x || q.x || r.x || s.x || u.x AS filter_order
+           FROM l p JOIN l q ON q.x <> p.x JOIN l r ON r.x NOT IN (p.x, q.x) JOIN l s ON s.x NOT IN (p.x, q.x, r.x)
+           JOIN l u ON u.x NOT IN (p.x, q.x, r.x, s.x)),
+steps AS (SELECT filter_order, i::INT AS step, filter_order[i] AS name FROM orders, unnest(range(1, 6)) AS v(i)),
+hit AS (SELECT m.*, filter_order, step, name, fails[ascii(name) - 64] AS fail,
+               coalesce(list_bool_or(list_transform(range(1, step), lambda i: fails[ascii(filter_order[i]) - 64])), false) AS gone,
+               len(list_filter(fails, lambda f: f)) AS n_fails FROM m, steps),
+found AS (SELECT part, filter_order, step, name,
+                 sum(CASE WHEN NOT gone AND NOT fail THEN n ELSE 0 END)::BIGINT AS kept,
+                 sum(CASE WHEN NOT gone AND fail THEN n ELSE 0 END)::BIGINT AS removed,
+                 sum(CASE WHEN gone AND fail THEN n ELSE 0 END)::BIGINT AS redundant,
+                 sum(CASE WHEN fail AND n_fails = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                 sum(CASE WHEN NOT gone AND fail AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+                 sum(CASE WHEN NOT gone AND fail AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+          FROM hit GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, name))::BIGINT AS shapley FROM found""",
 }
