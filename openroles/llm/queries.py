@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openroles.llm import (alignment, audit, chat, cotraining, fingerprints, jaccard, language, packing,
-                           quality_rules, sentencepieces, urls, wrappers)
+                           quality_rules, sentencepieces, substrings, urls, wrappers)
 from openroles.llm.common import table
 
 #: Host, path and verdict of the URL rules.
@@ -90,6 +90,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
                            tokenizer_file("piece_bpe_32k.model"))
@@ -102,7 +106,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_quality_rules, op4_language, op5_quality_classifier,
                             op6_fingerprints, op7_packing, op8_html_extraction, op9_chat_format, op10_jaccard_join,
-                            op12_token_alignment, op13_filter_audit)}
+                            op11_substring_dedup, op12_token_alignment, op13_filter_audit)}
 _WORDS = r"list_filter(string_split_regex(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 SQL: dict[str, str] = {
@@ -165,6 +169,16 @@ reach(node, low) AS (SELECT x, x FROM both_ways
 lowest AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
 SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, t.doc_id) AS component_id
 FROM t LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON node = t.doc_id""",
+    "op11_substring_dedup": r"""
+WITH t AS (SELECT doc_id, """ + _WORDS.format(text="text") + r""" AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM t, unnest(range(1, len(w) - 11)) AS u(i)),
+hit AS (SELECT doc_id, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY k)),
+covered AS (SELECT DISTINCT doc_id, i + d AS i, true AS gone FROM hit, unnest(range(0, 13)) AS v(d)),
+words AS (SELECT doc_id, i, w[i] AS word FROM t, unnest(range(1, len(w) + 1)) AS u(i)),
+kept AS (SELECT doc_id, count(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone IS NULL) AS k
+         FROM words LEFT JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)""",
     "op13_filter_audit": r"""
 WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, """ + _WORDS.format(text="text") + r""" AS w FROM t),
