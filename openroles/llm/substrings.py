@@ -505,6 +505,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     cut = written(passages(known.where(maybe(F.col("doc"))).join(per_doc, "doc").select("doc", "h", "text", "ats")), "passages")
     asked, told = cut.where(F.col("words").isNotNull()), cut.where(F.col("words").isNull())
     many = asked.groupBy("anchor").count().where(F.col("count") > MOST_OF_ANCHOR).select("anchor")
+    many = written(many, "frequent-anchors")  # its size is then known when the joins below are planned
     if not many.isEmpty():
         windows = written(single_windows(asked.join(many, "anchor", "left_semi").select(*cut.columns)), "windows")
         asked = asked.join(many, "anchor", "left_anti").select(*cut.columns).union(windows.where(F.col("words").isNotNull()))
