@@ -36,6 +36,7 @@ than the key and the text are not read.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from typing import Iterator
 
 import numpy as np
@@ -51,14 +52,14 @@ WINDOW = 13
 GRAM = 5
 SPAN = WINDOW - GRAM + 1
 #: Bytes of text whose anchors meet in one bucket, and passages of a shard.
-BUCKET_BYTES, SHARD_PASSAGES = 32 << 20, 40_000
+BUCKET_BYTES, SHARD_PASSAGES = 16 << 20, 15_000
 #: Passages of an anchor beyond which they are cut into windows.
-MOST_OF_ANCHOR = 20_000
-#: Bytes of passages that a task compares before it sends them.
-HELD_BYTES = 16 << 20
+MOST_OF_ANCHOR = 10_000
+#: Bytes of passages that a task compares before it sends them, counted with what Python needs for a row.
+HELD_BYTES = 12 << 20
 FILTER_BITS, FILTER_HASHES = 1 << 26, 3
 #: Words whose hashes are computed at a time.
-WORD_BLOCK = 500_000
+WORD_BLOCK = 100_000
 _DONE = -1 << 31
 
 _SPACE = np.zeros(256, bool)
@@ -104,7 +105,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     held = worker_store()
     known = held.get("hash powers")
     if known is None or len(known[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         runs = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             run = np.full(size, base, np.uint64)
@@ -290,7 +291,7 @@ class _Passages:
             self.bytes += len(words)
         if low is None or doc < low:
             self.lowest[words] = doc
-        self.bytes += 64
+        self.bytes += 256
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(self.rows), 4096):
@@ -376,18 +377,17 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Passages of numbers from 2 on; 1 ends a passage, 0 the whole.
+    """Passages of numbers from 2 on, given one after the other; 1 ends a passage, 0 the whole.
 
     Suffixes are sorted by their first ``depth`` symbols, which gives the right
     interval for every pattern up to that length.
     """
 
-    def __init__(self, passages: list[list[int]], depth: int = WINDOW) -> None:
-        lengths = np.array([len(p) for p in passages], np.int64)
+    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, depth: int = WINDOW) -> None:
+        self.symbols = symbols
         self.begins = np.cumsum(lengths + 1) - lengths - 1
-        text = np.ones(int(lengths.sum()) + len(passages) + 1, np.int64)
-        self.symbols = np.array([x for p in passages for x in p], np.int64)
-        places = np.arange(len(self.symbols)) + np.repeat(np.arange(len(passages)), lengths)
+        text = np.ones(int(lengths.sum()) + len(lengths) + 1, np.int64)
+        places = np.arange(len(self.symbols)) + np.repeat(np.arange(len(lengths)), lengths)
         text[places] = self.symbols
         text[-1] = 0
         n = len(text)
@@ -434,13 +434,15 @@ class FMIndex:
 def lowest_bearers(held: list[bytes], low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each window of each distinct passage, the smallest document that has it; and windows per passage."""
     numbers: dict[bytes, int] = {}
-    told = [[numbers.setdefault(w, len(numbers) + 2) for w in p.split()] for p in held]
+    told = [array("i", [numbers.setdefault(w, len(numbers) + 2) for w in p.split()]) for p in held]
     lengths = np.array([len(p) for p in told], np.int64)
+    symbols = np.concatenate([np.frombuffer(p, np.int32) for p in told]).astype(np.int64)
+    del numbers, told
     windows = lengths - WINDOW + 1
     owner = np.repeat(np.arange(len(held)), windows)
     within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     ends = (np.cumsum(lengths) - lengths)[owner] + within + WINDOW - 1
-    index = FMIndex(told)
+    index = FMIndex(symbols, lengths)
     # Each passage is in the index itself: only runs that occur twice say anything.
     length, lo, hi = index.matching_statistics(index.symbols, ends, np.full(len(ends), WINDOW), least=2)
     out = low[owner]
