@@ -246,29 +246,35 @@ def _places(doc) -> list:
 
 
 def concerned(docs: DataFrame):
-    """A Bloom filter of the column ``doc``, as a function from a column to a condition.
+    """A broadcast Bloom filter of the column ``doc``.
 
     It has at most ``FILTER_BITS / 64`` words, so its size does not follow the table's.
     """
-    spark = docs.sparkSession
     place = F.explode(F.array(*_places(F.col("doc")))).alias("p")
     words = (docs.select("doc").distinct().select(place).groupBy(F.shiftright("p", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits")).toArrow())
     bits = np.zeros(FILTER_BITS >> 6, np.int64)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    sent = spark.sparkContext.broadcast(bits)
+    return docs.sparkSession.sparkContext.broadcast(bits)
+
+
+def _with_places(df: DataFrame) -> DataFrame:
+    return df.select("*", *[p.alias(f"_place{i}") for i, p in enumerate(_places(F.col("doc")))])
 
-    @F.pandas_udf("boolean")
-    def held(*places):
-        import pandas as pd
 
-        out = np.ones(len(places[0]), bool)
-        for p in places:
-            p = p.to_numpy()
-            out &= sent.value[p >> 6] >> (p & 63) & 1 == 1
-        return pd.Series(out)
+def _parted(batches, bits, inside: bool) -> Iterator[pa.RecordBatch]:
+    """The rows whose places, the last columns, are all set in the filter, or those for which one is not."""
+    for batch in batches:
+        told = np.ones(batch.num_rows, bool)
+        for column in batch.columns[-FILTER_HASHES:]:
+            place = column.to_numpy(zero_copy_only=False)
+            told &= bits.value[place >> 6] >> (place & 63) & 1 == 1
+        yield batch.filter(pa.array(told if inside else ~told)).select(range(batch.num_columns - FILTER_HASHES))
 
-    return lambda doc: held(*_places(doc))
+
+def maybe_in(df: DataFrame, bits) -> DataFrame:
+    """Rows whose ``doc`` may be in the filter."""
+    return _with_places(df).mapInArrow(lambda batches: _parted(batches, bits, True), df.schema)
 
 
 # --- round 2: passages ------------------------------------------------------------------------------------------
@@ -502,9 +508,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES + 1)
     places = candidates(known.select("doc", "text"), buckets)
-    maybe = concerned(places)
     per_doc = places.groupBy("doc").agg(F.collect_set("at").alias("ats"))
-    cut = written(passages(known.where(maybe(F.col("doc"))).join(per_doc, "doc").select("doc", "h", "text", "ats")), "passages")
+    cut = written(passages(maybe_in(known, concerned(places)).join(per_doc, "doc").select("doc", "h", "text", "ats")), "passages")
     asked, told = cut.where(F.col("words").isNotNull()), cut.where(F.col("words").isNull())
     many = asked.groupBy("anchor").count().where(F.col("count") > MOST_OF_ANCHOR).select("anchor")
     many = written(many, "frequent-anchors")  # its size is then known when the joins below are planned
@@ -534,10 +539,10 @@ def kept_words(text: bytes, repeated: list[tuple[int, int]] | None) -> tuple[lis
     return words, [w for w, c in zip(words, covered.tolist()) if not c]
 
 
-def _results(rows: DataFrame, kind: str, key: str) -> DataFrame:
-    """Digests of the words kept, from ``doc``, ``text`` and, if there is one, ``repeated``."""
+def _results(rows: DataFrame, key: str, outside=None) -> DataFrame:
+    """Digests of the words kept, from ``doc``, ``text`` and ``repeated``, or of the rows outside a filter, from the first two."""
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(_parted(batches, outside, False) if outside else batches):
             texts = pc.fill_null(batch.column(1), "").cast(pa.binary()).to_pylist()
             places = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(texts)
             found = [kept_words(t, [(p["at"], p["flags"]) for p in r or ()]) for t, r in zip(texts, places)]
@@ -547,7 +552,7 @@ def _results(rows: DataFrame, kind: str, key: str) -> DataFrame:
                  pa.array([hashlib.sha256(b" ".join(k)).hexdigest() for _, k in found], pa.string())],
                 [key, "n_words", "n_removed", "kept_sha256"])
 
-    return rows.mapInArrow(run, f"`{key}` {kind}, {RESULT}")
+    return (_with_places(rows) if outside else rows).mapInArrow(run, f"`{key}` bigint, {RESULT}")
 
 
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -558,8 +563,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     told = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     docs = only(df, key, text).select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(told).alias("h"), told.alias("text"))
     windows = repeated_windows(docs)
-    maybe = concerned(windows)
+    hits = concerned(windows)
     per_text = windows.groupBy("doc", "h").agg(F.collect_set(F.struct("at", "flags")).alias("repeated"))
-    hit = docs.where(maybe(F.col("doc"))).join(per_text, ["doc", "h"], "left").select("doc", "text", "repeated")
-    rest = docs.where(~maybe(F.col("doc"))).select("doc", "text")
-    return _results(hit, "bigint", key).union(_results(rest, "bigint", key))
+    hit = maybe_in(docs, hits).join(per_text, ["doc", "h"], "left").select("doc", "text", "repeated")
+    return _results(hit, key).union(_results(docs.select("doc", "text"), key, outside=hits))
