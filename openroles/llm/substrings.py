@@ -179,7 +179,7 @@ def candidates(rows: DataFrame, buckets: int) -> DataFrame:
         from pyspark import TaskContext
 
         turn = TaskContext.get().partitionId()
-        for batch in slices(batches):
+        for batch in slices(batches, 2 << 20):
             row, word, _, anchor = anchors(*text_bytes(batch.column(1)))
             doc = batch.column(0).to_numpy(zero_copy_only=False)[row]
             order = np.lexsort((doc, anchor))
@@ -318,7 +318,7 @@ def passages(rows: DataFrame) -> DataFrame:
     """
     def run(batches):
         held = _Passages()
-        for batch in slices(batches):
+        for batch in slices(batches, 1 << 20):
             data, begins = text_bytes(batch.column(2))
             row, word, windows, anchor = anchors(data, begins)
             ats = batch.column(3)
@@ -542,7 +542,7 @@ def kept_words(text: bytes, repeated: list[tuple[int, int]] | None) -> tuple[lis
 def _results(rows: DataFrame, key: str, outside=None) -> DataFrame:
     """Digests of the words kept, from ``doc``, ``text`` and ``repeated``, or of the rows outside a filter, from the first two."""
     def run(batches):
-        for batch in slices(_parted(batches, outside, False) if outside else batches):
+        for batch in slices(_parted(batches, outside, False) if outside else batches, 1 << 20):
             texts = pc.fill_null(batch.column(1), "").cast(pa.binary()).to_pylist()
             places = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(texts)
             found = [kept_words(t, [(p["at"], p["flags"]) for p in r or ()]) for t, r in zip(texts, places)]
