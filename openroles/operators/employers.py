@@ -1,11 +1,11 @@
 """Posting company -> filing employer, and what of a posting is already stored.
 
-Prefix and containment lookups are turned into equality. Every stored name is
-expanded to its prefixes (or substrings) of the lengths that are asked for,
-each such piece keeps one best employer through a combined aggregate, and the
-asked names join those pieces one to one. The work grows with the text, not
-with pairs of names, and a piece shared by a third of all employers is reduced
-to one row per task before anything is shuffled.
+Prefix lookups are turned into equality. Every stored name is expanded to its
+prefixes of the lengths that are asked for, each such piece keeps one best
+employer through a combined aggregate, and the asked names join those pieces one
+to one. Containment is searched by automata (``containment``). The work grows
+with the text, not with pairs of names, and a piece shared by a third of all
+employers is reduced to one row per task before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from openroles.functions.text import (
     let, norm_employer, origin_host, path_parts, strip, text_or_empty, url_host, url_parts,
     without_apply,
 )
+from openroles.operators.containment import first_containing
 from openroles.operators.dedup import first_n
 from openroles.session import left_join_known
 
@@ -47,31 +48,13 @@ def best_by_prefix(employers: DataFrame, names: DataFrame, column: str = "name")
     return _best_employer(pieces, "prefix")
 
 
-def _spread_names(employers: DataFrame) -> DataFrame:
-    tasks = int(employers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return employers.repartition(tasks, "employer_name")
-
-
 def best_containing(employers: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:
-    """Best employer for each substring (upper case) as long as one of ``names``."""
-    lengths = _asked_lengths(names, column)
-    # Pieces are a hundred times the names: spread those before, as the size of
-    # the small table would have them share a task.
-    upper = _spread_names(employers).withColumn(
-        "_upper", F.upper("employer_name")).withColumn("_lens", lengths)
-    return _best_employer(_substrings(upper, "_upper", "_lens", "piece"), "piece")
-
-
-def _substrings(rows: DataFrame, text: str, lengths: str, out: str) -> DataFrame:
-    """One row per place a substring of ``text`` with one of the given lengths is at.
-
-    Repeats are left to the aggregate that follows every use.
-    """
-    fitting = F.filter(lengths, lambda n: (n > 0) & (n <= F.length(text)))
-    windows = F.flatten(F.transform(fitting, lambda n: F.transform(
-        F.sequence(F.lit(1), F.length(text) - n + 1),
-        lambda i: F.substr(F.col(text), i, n))))
-    return rows.withColumn(out, F.explode(windows))
+    """Employer with most approvals, equal ones by name, whose name contains each of ``names`` (upper case, ``piece``)."""
+    texts = employers.select(F.lit(0).alias("group"), F.upper("employer_name").alias("text"), "employer_name",
+                             "company_id", "total_approvals", "approval_rate")
+    found = first_containing(texts, names.select(F.lit(0).alias("group"), F.col(column).alias("asked")), [
+        ("total_approvals", "descending"), ("employer_name", "ascending"), ("company_id", "ascending")])
+    return found.drop("group").withColumnRenamed("asked", "piece")
 
 
 def resolve_employers(names: DataFrame, companies: DataFrame) -> DataFrame:
@@ -234,20 +217,20 @@ def jobs_to_insert(incoming: DataFrame, stored: DataFrame, order: list) -> DataF
     by_rule = stored.select(_only(let(url_key(url), lambda k: _rule_key(
         k, k["id"]))).alias("_rule_key")).distinct()
 
-    # Hosts without a rule: all pieces, behind the host, of their stored URLs
-    # that are as long as an incoming id of such a host.
+    # Hosts without a rule: what of their stored URLs stands behind the host is searched for
+    # the incoming ids of the same host; other hosts' URLs are not sent at all.
     def unruled(found: Column) -> Column:
         return let(url_parts(url), lambda p: let(origin_host(p["origin"]), lambda h: F.when(
             _platform(h).isNull(), F.struct(h.alias("host"), F.substr(
                 strip(url), F.length(p["origin"]) + 1).alias("rest"), found.alias("found")))))
 
-    asked = incoming.select(_only(unruled(job_id)).alias("u")).select("u.found").filter("found != ''")
+    asked = incoming.select(_only(unruled(job_id)).alias("u")).select(
+        F.col("u.host").alias("group"), F.col("u.found").alias("asked"))
     others = stored.select(_only(unruled(F.lit(""))).alias("u")).select(
-        F.col("u.host").alias("_host"), F.col("u.rest").alias("_rest"))
-    others = others.withColumn("_lens", _asked_lengths(asked, "found"))
-    pieces = _substrings(others, "_rest", "_lens", "_piece").select("_host", "_piece").distinct()
+        F.col("u.host").alias("group"), F.col("u.rest").alias("text"))
+    held = first_containing(others, asked).select(F.col("group").alias("_host"), F.col("asked").alias("_piece"))
     return fresh.join(by_rule, "_rule_key", "left_anti").join(
-        pieces, ["_host", "_piece"], "left_anti").drop("_rule_key", "_host", "_piece")
+        held, ["_host", "_piece"], "left_anti").drop("_rule_key", "_host", "_piece")
 
 
 def job_rows(postings: DataFrame, resolved: DataFrame) -> DataFrame:
