@@ -14,10 +14,15 @@ from openroles.session import scratch_path
 from openroles.streaming import incremental as inc
 
 
-def file_stream(v, table: str) -> DataFrame:
-    """A given table as a file stream."""
-    return (v.spark.readStream.schema(v(table).schema)
-            .option("pathGlobFilter", f"{table}.parquet").parquet(v.sf_dir))
+BATCHES = 3
+
+
+def landed_stream(v, root: str, table: str) -> DataFrame:
+    """A given table, landed in files, as a stream of :data:`BATCHES` batches."""
+    files = 2 * BATCHES
+    v(table).repartition(files).write.parquet(f"{root}/in")
+    return (v.spark.readStream.schema(v(table).schema).option("maxFilesPerTrigger", files // BATCHES)
+            .parquet(f"{root}/in"))
 
 
 @query("stream_dedup_postings", f"""
@@ -28,7 +33,7 @@ def stream_dedup_postings(v):
     root = scratch_path(v.spark, "dedup")
     postings = v("v_postings").select("job_id", "platform", "board", "ext_id", "raw_url", "canon_url",
                                       F.col("scraped_at").cast("timestamp").alias("scraped_at"))
-    lines = file_stream(v, "lineitem").join(postings, F.col("l_orderkey") == F.col("job_id"))
+    lines = landed_stream(v, root, "lineitem").join(postings, F.col("l_orderkey") == F.col("job_id"))
     searched = F.col("l_returnflag") == "N"
     even = F.col("l_linenumber") % 2 == 0
     sightings = lines.select(
@@ -60,9 +65,9 @@ VERSIONS = """
                      FROM ({VERSIONS})) WHERE k = 1) n ON n.employer_name = c.employer_name""")
 def stream_upsert_companies(v):
     root = scratch_path(v.spark, "companies")
-    snapshots = inc.Snapshots(v.spark, f"{root}/table")
-    inc.start_table(snapshots, v("v_companies").drop("company_id"))
-    parts = file_stream(v, "part")
+    table = inc.KeyedTable(v.spark, f"{root}/table", "employer_name")
+    table.start(v("v_companies").drop("company_id"))
+    parts = landed_stream(v, root, "part")
     suffix = F.element_at(F.array(*[F.lit(s) for s in (" LLC", " Inc", " Technologies Ltd", " Holdings")]),
                           (F.col("p_partkey") % 4 + 1).cast("int"))
     name = F.concat("p_name", F.lit(" unit "), F.replace("p_brand", F.lit("Brand#"), F.lit("")), suffix)
@@ -70,8 +75,9 @@ def stream_upsert_companies(v):
         F.col("p_partkey").alias("ord"), F.upper(name).alias("employer_name"),
         (F.col("p_size").cast("bigint") + 3).alias("total_approvals"),
         (F.col("p_size") % 7).cast("bigint").alias("total_denials"))
-    inc.upsert_companies_stream(rows, snapshots, f"{root}/state").awaitTermination()
-    return snapshots.read(snapshots.latest()).select(
+    inc.upsert_companies_stream(rows, table, f"{root}/state").awaitTermination()
+    table.clean_up()
+    return table.read(table.latest()).select(
         "employer_name", F.col("naics_code").isNull().alias("naics_missing"), "total_approvals",
         "total_denials", F.col("approval_rate").cast("double").alias("approval_rate"))
 
@@ -81,13 +87,14 @@ def stream_upsert_companies(v):
 def stream_notify(v):
     root = scratch_path(v.spark, "notify")
     matches, jobs, companies, resumes = tables(v)
-    snapshots = inc.Snapshots(v.spark, f"{root}/matches")
-    inc.start_table(snapshots, matches)
-    ids = file_stream(v, "orders").select(F.col("o_orderkey").alias("id"))
+    table = inc.KeyedTable(v.spark, f"{root}/matches", "id")
+    table.start(matches)
+    ids = landed_stream(v, root, "orders").select(F.col("o_orderkey").alias("id"))
 
     def render(due: DataFrame) -> DataFrame:
         return digest_fragments(eligible_pending(
             unnotified_matches(due, jobs, companies, resumes)))
 
-    inc.notify_stream(ids, snapshots, f"{root}/sent", f"{root}/state", render).awaitTermination()
-    return snapshots.read(snapshots.latest()).select("id", "is_notified")
+    inc.notify_stream(ids, table, f"{root}/sent", f"{root}/state", render).awaitTermination()
+    table.clean_up()
+    return table.read(table.latest()).select("id", "is_notified")

@@ -2,21 +2,21 @@
 
 Each query runs with ``availableNow`` by default: it takes what has landed
 since its last run and stops. State, offsets and output live in shared
-folders. Snapshot merges go through ``foreachBatch`` and are keyed by the batch
-number, so a repeated batch writes the same snapshot again.
+folders. Merges into stored tables go through ``foreachBatch`` and are keyed by
+the batch number, so a repeated batch writes the same version again.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from openroles.operators.dedup import posting_identity
 from openroles.operators.merge import mark_notified, upsert_companies
+from openroles.streaming.keyed_table import KeyedTable, Snapshots
 
 
 def keyed(postings: DataFrame) -> DataFrame:
@@ -44,117 +44,89 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
             .trigger(availableNow=True).start(path))
 
 
-class Snapshots:
-    """Versioned snapshots of one table below a shared folder.
-
-    Version ``n`` is what batch ``n`` produced. A version counts once Spark's
-    committer has put its success marker, so a half-written one is redone.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.fs_path = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self.fs_path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version}"
-
-    def complete(self, version: int) -> bool:
-        return self.fs.exists(self.fs_path(f"{self.path(version)}/_SUCCESS"))
-
-    def latest(self, below: int | None = None) -> int | None:
-        if not self.fs.exists(self.fs_path(self.root)):
-            return None
-        names = [s.getPath().getName() for s in self.fs.listStatus(self.fs_path(self.root))]
-        versions = [int(n[2:]) for n in names if n.startswith("v=")]
-        done = [v for v in versions if (below is None or v < below) and self.complete(v)]
-        return max(done, default=None)
-
-    def read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(version))
-
-    def before(self, version: int, schema) -> DataFrame:
-        """The rows of all complete versions below ``version`` together."""
-        names = [s.getPath().getName() for s in self.fs.listStatus(self.fs_path(self.root))] if self.fs.exists(
-            self.fs_path(self.root)) else []
-        found = sorted(int(n[2:]) for n in names if n.startswith("v="))
-        paths = [self.path(v) for v in found if v < version and self.complete(v)]
-        reader = self.spark.read.schema(schema)
-        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def write(self, version: int, frame: DataFrame) -> None:
-        frame.write.mode("overwrite").parquet(self.path(version))
-
+def _merge_stream(stream: DataFrame, checkpoint: str,
+                  merge: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(merge).outputMode(mode).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
-def start_table(snapshots: Snapshots, table: DataFrame) -> None:
-    """Version -1: the table as it was before the first batch."""
-    if snapshots.latest() is None:
-        snapshots.write(-1, table)
 
+def first_of_each(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Rows of ``stream`` whose ``key`` no earlier batch had, one per key; for the output mode ``update``.
 
-def _merge_stream(stream: DataFrame, checkpoint: str,
-                  merge: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    The state store holds one row per key, in partitions by the key's hash. A
+    batch looks up the keys it brings and nothing else, so its cost follows the
+    batch and not what earlier ones had. A key is new if the first and the last
+    batch that had it are the same, by the batch's own time, which a repeated
+    batch keeps. Of rows that come together the first by ``order``, then by all
+    other columns, is taken, so a repeated batch gives the same rows.
+    """
+    total = [*order, *[c for c in stream.columns if c not in (*order, key)]]
+    states = stream.withColumn("_at", F.current_timestamp()).groupBy(key).agg(
+        F.min_by(F.struct(*[c for c in stream.columns if c != key]), F.struct(*total)).alias("_row"),
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    return states.where("_first = _last").select(
+        *[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in stream.columns])
 
 
 def dedup_with_late_rows(postings: DataFrame, written: Snapshots, checkpoint: str,
                          delay: str = "7 days") -> StreamingQuery:
     """Streaming postings, each identity once over all runs; version ``n`` holds what batch ``n`` added.
 
-    Each batch is compared with what earlier ones wrote, so rows of a backfill
-    stay however old they are. ``late`` marks those more than ``delay`` behind the
-    newest row written before.
+    Identities are remembered in the state store however old they are, so rows of
+    a backfill stay. ``late`` marks those more than ``delay`` behind the newest row
+    written before; that one time is kept beside each version.
     """
+    times = Snapshots(written.spark, f"{written.root}-newest")
 
     def merge(batch: DataFrame, number: int) -> None:
-        had = written.before(number, T.StructType([*batch.schema.fields, T.StructField("late", T.BooleanType())]))
-        newest = had.agg(F.max("scraped_at").alias("_newest"))
-        added = batch.dropDuplicates(["dedup_key"]).join(had.select("dedup_key"), "dedup_key", "left_anti")
-        late = F.coalesce(F.col("scraped_at") < F.col("_newest") - F.expr(f"interval {delay}"), F.lit(False))
-        written.write(number, added.crossJoin(newest).select(*batch.columns, late.alias("late")))
+        before = times.latest(below=number)
+        newest = times.read(before).first()["newest"] if before is not None else None
+        behind = F.lit(newest).cast("timestamp") - F.expr(f"interval {delay}")
+        written.write(number, batch.withColumn("late", F.coalesce(F.col("scraped_at") < behind, F.lit(False))))
+        added = written.read(number).agg(F.max("scraped_at").alias("newest"))
+        times.write(number, added.select(F.greatest("newest", F.lit(newest).cast("timestamp")).alias("newest")))
 
-    return _merge_stream(keyed(postings), checkpoint, merge)
+    return _merge_stream(first_of_each(keyed(postings), "dedup_key", ["scraped_at"]), checkpoint, merge, "update")
 
 
-def upsert_companies_stream(stream: DataFrame, snapshots: Snapshots,
+def upsert_companies_stream(stream: DataFrame, table: KeyedTable,
                             checkpoint: str) -> StreamingQuery:
-    """Each batch of employer rows merged into the next snapshot; last row per employer wins.
+    """Each batch of employer rows merged into the next version; last row per employer wins.
 
-    Last is by ``ord``, which the snapshot keeps: an older row that lands in a
-    later batch changes nothing.
+    Last is by ``ord``, which the table keeps: an older row that lands in a
+    later batch changes nothing. The table's key is ``employer_name``; only
+    buckets that employers of the batch fall into are read and written.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
+    def combine(stored: DataFrame, batch: DataFrame) -> DataFrame:
         columns = [c for c in batch.columns if c != "employer_name"]
         latest = batch.groupBy("employer_name").agg(
             F.max_by(F.struct(*columns), "ord").alias("r")).select("employer_name", "r.*")
-        stored = snapshots.read(snapshots.latest(below=number))
         if "ord" not in stored.columns:
             stored = stored.withColumn("ord", F.lit(None).cast(dict(batch.dtypes)["ord"]))
         had = stored.select("employer_name", F.col("ord").alias("_had"))
         newer = latest.join(had, "employer_name", "left").filter("_had is null or ord >= _had").drop("_had")
-        snapshots.write(number, upsert_companies(stored, newer))
+        return upsert_companies(stored, newer)
 
-    return _merge_stream(stream, checkpoint, merge)
+    return _merge_stream(stream, checkpoint, lambda batch, number: table.merge(number, batch, combine))
 
 
-def notify_stream(pending: DataFrame, snapshots: Snapshots, sent_root: str, checkpoint: str,
+def notify_stream(pending: DataFrame, table: KeyedTable, sent_root: str, checkpoint: str,
                   render: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Digest of each batch of match ids still pending, then mark them.
 
     The document is written before the marks: after a crash in between it is
     written again (at least once), never skipped. ``render`` gets the pending
-    match rows and returns ``(seq, id, html)``.
+    match rows and returns ``(seq, id, html)``. The table's key is ``id``.
     """
 
     def send(batch: DataFrame, number: int) -> None:
-        matches = snapshots.read(snapshots.latest(below=number))
+        matches = table.read(table.latest(below=number), table.buckets_of(batch))
         due = matches.filter(~F.col("is_notified")).join(
             batch.select("id").distinct(), "id", "left_semi")
         out = f"{sent_root.rstrip('/')}/batch={number}"
         render(due).write.mode("overwrite").parquet(out)
         sent = batch.sparkSession.read.parquet(out).filter("id is not null").select("id")
-        snapshots.write(number, mark_notified(matches, sent))
+        table.merge(number, sent, mark_notified)
 
     return _merge_stream(pending, checkpoint, send)

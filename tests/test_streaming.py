@@ -46,49 +46,137 @@ def test_late_rows_of_a_backfill_are_kept_and_marked(spark, tmp_path):
     assert got == [("1", False), ("2", False), ("3", True), ("4", False)]
 
 
+def test_a_batch_does_not_read_what_earlier_ones_wrote(spark, tmp_path):
+    """The state store alone knows the identities: the output may have been moved away."""
+    at = datetime(2026, 8, 1)
+    written = inc.Snapshots(spark, str(tmp_path / "out"))
+
+    def run(number, *ids):
+        spark.createDataFrame([("lever_feed", "acme", i, f"https://jobs.lever.co/acme/{i}", at) for i in ids],
+                              POSTING).coalesce(1).write.parquet(f"{tmp_path}/in/{number}")
+        inc.dedup_with_late_rows(stream(spark, tmp_path / "in", POSTING), written, str(tmp_path / "state")).awaitTermination()
+        return sorted(r.source_job_id for r in written.read(written.latest()).collect())
+
+    assert run(0, "1", "2", "2") == ["1", "2"]
+    (tmp_path / "out" / "v=0").rename(tmp_path / "archived")
+    assert run(1, "2", "3") == ["3"]
+    assert run(2, "3", "1") == [] and written.latest() == 2
+
+
+def test_a_repeated_batch_takes_the_same_rows(spark, tmp_path):
+    """The batch's commit is lost, as after a failure; copies of an identity differ in all but the key."""
+    rows = [("lever_feed", "acme", str(i % 20), f"u{i}", datetime(2026, 8, 1 + i % 3)) for i in range(200)]
+    for part in range(4):
+        spark.createDataFrame(rows[part::4], POSTING).repartition(3).write.parquet(f"{tmp_path}/in/{part}")
+    source = spark.readStream.schema(POSTING).parquet(f"{tmp_path}/in/*")
+    written = inc.Snapshots(spark, str(tmp_path / "out"))
+    found = []
+    for _ in range(2):
+        inc.dedup_with_late_rows(source, written, str(tmp_path / "state")).awaitTermination()
+        found.append(sorted(tuple(r) for r in written.read(0).collect()))
+        for name in ("0", ".0.crc"):
+            (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    assert found[0] == found[1] and len(found[0]) == 20
+    best = {}
+    for r in rows:
+        best[r[2]] = min(best.get(r[2], (r[4], r[3])), (r[4], r[3]))
+    assert {r[2]: (r[4], r[3]) for r in found[0]} == best
+
+
 def test_company_stream_is_incremental_and_repeatable(spark, tmp_path):
     schema = "ord bigint, employer_name string, total_approvals bigint, total_denials bigint"
     land(spark, tmp_path / "in", schema, [(1, "A", 1, 1), (2, "A", 3, 1)], [(3, "B", 5, 0)])
-    snapshots = inc.Snapshots(spark, str(tmp_path / "table"))
+    stored = inc.KeyedTable(spark, str(tmp_path / "table"), "employer_name", 4)
     table = spark.createDataFrame([("A", 9, 9, None, "keep"), ("C", 1, 0, None, "keep")],
                                   "employer_name string, total_approvals bigint, total_denials bigint, "
                                   "approval_rate decimal(5,2), note string")
-    inc.start_table(snapshots, table)
+    stored.start(table)
     for _ in range(2):  # the second run finds nothing new
-        inc.upsert_companies_stream(stream(spark, tmp_path / "in", schema), snapshots,
+        inc.upsert_companies_stream(stream(spark, tmp_path / "in", schema), stored,
                                     str(tmp_path / "state")).awaitTermination()
-    rows = {r.employer_name: r for r in snapshots.read(snapshots.latest()).collect()}
+    rows = {r.employer_name: r for r in stored.read(stored.latest()).collect()}
     assert set(rows) == {"A", "B", "C"} and rows["C"].total_approvals == 1
     # Files may arrive in either order; within a batch the last row wins.
     assert (rows["A"].total_approvals, float(rows["A"].approval_rate), rows["A"].note) == (3, 75.0, "keep")
-    assert snapshots.latest() == 1
+    assert stored.latest() == 1
 
 
 def test_an_older_row_in_another_batch_changes_nothing(spark, tmp_path):
     """Files are taken in either order; the row with the larger ``ord`` stays."""
     schema = "ord bigint, employer_name string, total_approvals bigint, total_denials bigint"
     land(spark, tmp_path / "in", schema, [(5, "A", 3, 1), (2, "B", 1, 1)], [(2, "A", 9, 9), (5, "B", 4, 0)])
-    snapshots = inc.Snapshots(spark, str(tmp_path / "table"))
-    inc.start_table(snapshots, spark.createDataFrame([("A", 0, 0, None), ("B", 0, 0, None)], (
+    stored = inc.KeyedTable(spark, str(tmp_path / "table"), "employer_name", 4)
+    stored.start(spark.createDataFrame([("A", 0, 0, None), ("B", 0, 0, None)], (
         "employer_name string, total_approvals bigint, total_denials bigint, approval_rate decimal(5,2)")))
-    inc.upsert_companies_stream(stream(spark, tmp_path / "in", schema), snapshots,
+    inc.upsert_companies_stream(stream(spark, tmp_path / "in", schema), stored,
                                 str(tmp_path / "state")).awaitTermination()
-    rows = {r.employer_name: (r.total_approvals, r.ord) for r in snapshots.read(snapshots.latest()).collect()}
-    assert rows == {"A": (3, 5), "B": (4, 5)} and snapshots.latest() == 1
+    rows = {r.employer_name: (r.total_approvals, r.ord) for r in stored.read(stored.latest()).collect()}
+    assert rows == {"A": (3, 5), "B": (4, 5)} and stored.latest() == 1
 
 
 def test_each_match_is_sent_once(spark, tmp_path):
     land(spark, tmp_path / "in", "id bigint", [(1,), (2,)], [(2,), (3,)])
-    snapshots = inc.Snapshots(spark, str(tmp_path / "matches"))
-    inc.start_table(snapshots, spark.createDataFrame(
+    stored = inc.KeyedTable(spark, str(tmp_path / "matches"), "id", 4)
+    stored.start(spark.createDataFrame(
         [(i, i == 3) for i in range(1, 5)], "id bigint, is_notified boolean"))
 
     def render(due):
         return due.select(F.col("id").alias("seq"), "id", F.lit("x").alias("html"))
 
-    inc.notify_stream(stream(spark, tmp_path / "in", "id bigint"), snapshots, str(tmp_path / "sent"),
+    inc.notify_stream(stream(spark, tmp_path / "in", "id bigint"), stored, str(tmp_path / "sent"),
                       str(tmp_path / "state"), render).awaitTermination()
     sent = [r.id for r in spark.read.parquet(*[str(p) for p in (tmp_path / "sent").glob("batch=*")]).collect()]
     assert sorted(sent) == [1, 2]
-    state = {r.id: r.is_notified for r in snapshots.read(snapshots.latest()).collect()}
+    state = {r.id: r.is_notified for r in stored.read(stored.latest()).collect()}
     assert state == {1: True, 2: True, 3: True, 4: False}
+
+
+COUNTS = "k string, n int"
+
+
+def add(stored, incoming):
+    had = stored.select("k", F.col("n").alias("had"))
+    new = incoming.groupBy("k").agg(F.sum("n").cast("int").alias("n"))
+    return had.join(new, "k", "full").select("k", (F.coalesce("had", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n"))
+
+
+def test_a_merge_writes_only_the_buckets_it_touches(spark, tmp_path):
+    table = inc.KeyedTable(spark, str(tmp_path / "t"), "k", 8)
+    table.start(spark.createDataFrame([(f"k{i}", i) for i in range(200)] + [(None, 7)], COUNTS))
+    want = {f"k{i}": i for i in range(200)} | {None: 7}
+    for version, rows in enumerate([[("k1", 10)], [("k1", 1), ("new", 2)], [("k9", 5)], []]):
+        for _ in range(2):  # a repeated merge gives the same version
+            table.merge(version, spark.createDataFrame(rows, COUNTS), add)
+        for k, n in rows:
+            want[k] = want.get(k, 0) + n
+        assert {r.k: r.n for r in table.read(version).collect()} == want
+        touched = table.buckets_of(spark.createDataFrame(rows, COUNTS))
+        folder = tmp_path / "t" / "data" / f"v={version}"
+        assert sorted(p.name for p in folder.glob("bucket=*")) == sorted(f"bucket={b}" for b in touched)
+    assert {r.k: r.n for r in table.read(0).collect()}["k1"] == 11  # older versions stay as they were
+    assert table.read(3, table.buckets_of(spark.createDataFrame([("k1", 0)], COUNTS))).count() < 60
+
+
+def test_old_versions_are_cleaned_up(spark, tmp_path):
+    table = inc.KeyedTable(spark, str(tmp_path / "t"), "k", 4)
+    table.start(spark.createDataFrame([(f"k{i}", i) for i in range(40)], COUNTS))
+    for version in range(5):
+        table.merge(version, spark.createDataFrame([(f"k{version}", 100)], COUNTS), add)
+    before = sorted(map(tuple, table.read(4).collect()))
+    table.clean_up(keep=2)
+    table.clean_up(keep=2)
+    assert sorted(map(tuple, table.read(4).collect())) == before and table.manifests.versions() == [3, 4]
+    assert table.read(3).where("k = 'k4'").first().n == 4
+    files, _ = table._manifest(4)
+    older, _ = table._manifest(3)
+    held = {(int(p.parent.name[2:]), int(p.name[7:])) for p in (tmp_path / "t" / "data").glob("v=*/bucket=*")}
+    assert held == {(v, b) for m in (files, older) for b, v in m.items()}
+
+
+def test_a_table_may_be_empty(spark, tmp_path):
+    table = inc.KeyedTable(spark, str(tmp_path / "t"), "k", 4)
+    table.start(spark.createDataFrame([], COUNTS))
+    assert table.read(-1).isEmpty() and table.read(-1).columns == ["k", "n"]
+    table.merge(0, spark.createDataFrame([("a", 1)], COUNTS), add)
+    table.merge(1, spark.createDataFrame([("a", 1)], COUNTS), lambda stored, incoming: stored.where("false"))
+    assert table.read(0).count() == 1 and table.read(1).isEmpty()
