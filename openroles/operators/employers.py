@@ -1,11 +1,9 @@
 """Posting company -> filing employer, and what of a posting is already stored.
 
-Prefix lookups are turned into equality. Every stored name is expanded to its
-prefixes of the lengths that are asked for, each such piece keeps one best
-employer through a combined aggregate, and the asked names join those pieces one
-to one. Containment is searched by automata (``containment``). The work grows
-with the text, not with pairs of names, and a piece shared by a third of all
-employers is reduced to one row per task before anything is shuffled.
+Prefixes are found by one sorted sweep over asked and stored names
+(``prefixes``), containment by automata (``containment``). The work grows with
+the text, not with pairs of names or with pieces of them, and what a prefix or
+string shared by a third of all employers finds is one row per task.
 """
 
 from __future__ import annotations
@@ -19,33 +17,17 @@ from openroles.functions.text import (
 )
 from openroles.operators.containment import first_containing
 from openroles.operators.dedup import first_n
+from openroles.operators.prefixes import best_with_prefix
 from openroles.session import left_join_known
 
 
-def _asked_lengths(names: DataFrame, column: str) -> Column:
-    """Array of the distinct lengths of the asked names, as a scalar subquery."""
-    return names.agg(F.array_sort(F.collect_set(F.length(column)))).scalar()
-
-
-def _best_employer(employers: DataFrame, piece: str) -> DataFrame:
-    """Employer with most approvals per piece; equal ones by name."""
-    best = F.min(F.struct((-F.col("total_approvals")).alias("neg"), "employer_name",
-                          "company_id", "approval_rate"))
-    return employers.groupBy(piece).agg(best.alias("b")).select(
-        piece, F.col("b.employer_name").alias("employer_name"),
-        F.col("b.company_id").alias("company_id"),
-        (-F.col("b.neg")).alias("total_approvals"),
-        F.col("b.approval_rate").alias("approval_rate"))
-
-
 def best_by_prefix(employers: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:
-    """Best employer for each prefix (upper case) as long as one of ``names``."""
-    lengths = _asked_lengths(names, column)
-    upper = employers.withColumn("_upper", F.upper("employer_name")).withColumn("_lens", lengths)
-    fitting = F.filter("_lens", lambda n: (n > 0) & (n <= F.length("_upper")))
-    pieces = upper.withColumn("prefix", F.explode(
-        F.transform(fitting, lambda n: F.substr(F.col("_upper"), F.lit(1), n))))
-    return _best_employer(pieces, "prefix")
+    """Employer with most approvals, equal ones by name, whose name starts with each of ``names`` (upper case, ``prefix``)."""
+    texts = employers.select(F.upper("employer_name").alias("text"), (-F.col("total_approvals")).alias("rank"),
+                             F.col("employer_name").alias("name"), "company_id", "approval_rate")
+    found = best_with_prefix(texts, names.select(F.col(column).alias("prefix")))
+    return found.select("prefix", F.col("name").alias("employer_name"), "company_id",
+                        (-F.col("rank")).alias("total_approvals"), "approval_rate")
 
 
 def best_containing(employers: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:
@@ -77,10 +59,8 @@ def resolve_employers(names: DataFrame, companies: DataFrame) -> DataFrame:
         spelled, F.col("company") == F.col("s_employer_name"), "left")
 
     sponsors = known.filter(F.col("total_approvals") > 0)
-    # Lengths of all names, repeated or not: no need to wait for the distinct ones.
-    lengths_of = names.select(norm_employer(F.col("company")).alias("name"))
-    prefix = best_by_prefix(sponsors, lengths_of).select(
-        F.col("prefix"), *[F.col(c).alias(f"p_{c}") for c in known.columns])
+    wanted = names.select(norm_employer(F.col("company")).alias("name"))
+    prefix = best_by_prefix(sponsors, wanted).select("prefix", *[F.col(c).alias(f"p_{c}") for c in known.columns])
     rows = rows.join(prefix, F.col("name") == F.col("prefix"), "left")
 
     tiers = {"exact": "x", "spelled": "s", "prefix": "p"}
