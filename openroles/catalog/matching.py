@@ -10,7 +10,7 @@ from openroles.catalog import patterns
 from openroles.catalog.registry import query
 from openroles.catalog.views import ASOF, quoted
 from openroles.operators import dedup, matching, merge
-from openroles.operators.vectors import cosine_topk, embedder
+from openroles.operators.vectors import cosine_topk, embedder, register_functions
 from openroles.plans import digest as digest_plan
 from openroles.operators.digest import eligible_pending
 from openroles.session import rows_up_to
@@ -58,6 +58,25 @@ def topk(v):
     return hits(v).withColumn("similarity", F.round("similarity", 6))
 
 
+# The nearest jobs to the mean of all vectors, by the table function, from SQL.
+MEAN = "SELECT list(x ORDER BY i) FROM (SELECT i, round(avg(embedding[i]::DOUBLE), 6) AS x FROM @embeddings, range(1, 65) r(i) GROUP BY i)"
+
+
+@query("match_jobs_sql", f"""
+    SELECT job_id, round(similarity, 6) AS similarity FROM (
+      SELECT job_id, round(list_cosine_similarity(embedding::DOUBLE[], ({MEAN})), 9) AS similarity FROM @v_vectors)
+    WHERE similarity > 0.01 ORDER BY similarity DESC, job_id LIMIT 40""")
+def match_jobs_sql(v):
+    register_functions(v.spark)
+    return v.spark.sql("""
+        SELECT job_id, round(similarity, 6) AS similarity
+        FROM match_jobs(TABLE(SELECT job_id, embedding FROM {vectors}), (
+               SELECT transform(array_sort(collect_list(struct(i, x))), s -> s.x)
+               FROM (SELECT i, round(avg(x), 6) AS x FROM (SELECT posexplode(embedding) AS (i, x) FROM {vectors})
+                     GROUP BY i)), 0.01D, 40)
+        ORDER BY similarity DESC, job_id LIMIT 40""", vectors=v("v_vectors"))
+
+
 LOC = patterns.location_verdict("trim(location)", "description")
 AUTH = patterns.auth_class("description", "title")
 SIMILAR = f"""

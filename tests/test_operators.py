@@ -11,7 +11,8 @@ from openroles import schemas
 from openroles.operators import dedup, employers, matching, merge, rollup
 from openroles.operators.digest import digest_fragments, eligible_pending, write_digest
 from openroles.operators.ranking import with_global_rank
-from openroles.operators.vectors import cosine_topk, embedder, hashed_vectors
+from openroles.operators import vectors as vectors_module
+from openroles.operators.vectors import cosine_topk, embedder, hashed_vectors, register_functions
 from openroles.plans import ingest, matching as match_plan, sponsorship
 
 H1B = ("`Employer` string, `Initial Approval` string, `Initial Denial` string, "
@@ -201,6 +202,49 @@ def test_topk_equals_brute_force(spark):
     assert cosine_topk(zero, v).count() == 0
 
 
+def test_ten_thousand_profiles_take_one_scan(spark):
+    """Blocks in the shared folder, gone through in the task; the bound leaves nothing out."""
+    rng = np.random.default_rng(7)
+    centers = rng.standard_normal((6, 8))
+    profiles = centers[rng.integers(0, 6, 10_000)] + 0.2 * rng.standard_normal((10_000, 8))
+    jobs = np.concatenate([centers[rng.integers(0, 6, 500)] + 0.3 * rng.standard_normal((500, 8)), np.zeros((1, 8))])
+    q = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(profiles)], "resume_id long, embedding array<double>")
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(jobs)], "job_id long, embedding array<double>").repartition(3)
+    got = cosine_topk(q.repartition(4), v, 3, 0.9)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+    unit, jobs = profiles / np.linalg.norm(profiles, axis=1)[:, None], jobs[:500]
+    sims = np.round(unit @ (jobs / np.linalg.norm(jobs, axis=1)[:, None]).T, 9)
+    order = np.argsort(-sims, axis=1, kind="stable")[:, :3]
+    want = {(i, int(j)): r + 1 for i in range(10_000) for r, j in enumerate(order[i]) if sims[i, j] > 0.9}
+    assert {(r.resume_id, r.job_id): r["rank"] for r in got.collect()} == want and len(want) > 20_000
+
+
+def test_the_bound_leaves_out_only_what_cannot_enter():
+    rng = np.random.default_rng(3)
+    unit = np.array([[1.0, 0.05, 0], [1.0, -0.05, 0]])
+    block = vectors_module._Block(np.arange(2), unit / np.linalg.norm(unit, axis=1)[:, None], 2, 0.5, 9)
+    rows = rng.standard_normal((200, 3))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    left = set(range(200)) - set(block.reachable(rows).tolist())
+    assert len(left) > 100 and (rows[sorted(left)] @ block.unit.T <= 0.5).all()
+
+
+def test_match_jobs_from_sql(spark):
+    register_functions(spark)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(4).astype(np.float32).tolist()) for i in range(200)] + [(900, None), (901, [0.0] * 4)]
+    spark.createDataFrame(rows, "job_id long, embedding array<float>").repartition(3).createOrReplaceTempView("job_vectors")
+    query = [0.5, -1.0, 0.25, 2.0]
+    text = "SELECT * FROM match_jobs(TABLE(job_vectors), array({}), {}D, {}) ORDER BY similarity DESC, job_id LIMIT {}"
+    for threshold, count in ((0.2, 7), (-1.0, 300), (0.99, 5), (0.0, 0)):
+        got = spark.sql(text.format(", ".join(f"{x}D" for x in query), threshold, count, count)).collect()
+        want = brute_force([(1, query)], [r for r in rows if r[0] < 900], count, threshold) if count else {}
+        assert [(1, r.job_id) for r in got] == sorted(want, key=want.get)
+    nothing = spark.sql("SELECT * FROM match_jobs(TABLE(job_vectors), CAST(NULL AS ARRAY<DOUBLE>), 0.1D, 5)")
+    assert nothing.count() == 0
+
+
 def test_profile_vectors_embed_only_the_missing(spark):
     rows = spark.createDataFrame([(1, "text", "[0.5, 1]"), (2, "text", "[broken"), (3, "text", None)],
                                  "id bigint, resume_text string, embedding string")
