@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from openroles.llm.common import only, slices, written
+from openroles.llm.common import fresh, only, slices, written
 
 WIDTH = 5
 #: Links need ``100 * both >= PERCENT * either``.
@@ -330,20 +330,21 @@ def search_block(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 def _spanning(n: int, linked: Callable[[int, np.ndarray, int], list[int]]) -> list[tuple[int, int]]:
     """Breadth first: what is found leaves the search and is a query in turn."""
-    alive = np.ones(n, bool)
+    alive, left = np.ones(n, bool), n
     out = []
     for seed in range(n):
         if not alive[seed]:
             continue
         alive[seed] = False
+        left -= 1
         queue = deque([seed])
         while queue:
-            left = int(alive.sum())
             if not left:
                 return out
             q = queue.popleft()
             for c in linked(q, alive, left):
                 alive[c] = False
+                left -= 1
                 out.append((q, c))
                 queue.append(c)
     return out
@@ -407,6 +408,12 @@ def _search_across(batches):
         yield _edges(pairs)
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Number and summed hashes of distinct edges: two tables that agree in both are the same."""
+    hashes = [F.sum(F.xxhash64("u", "v", F.lit(i)).cast("decimal(38,0)")) for i in range(2)]
+    return tuple(edges.agg(F.count("*"), *hashes).first())
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node reaches, by star contraction.
 
@@ -414,6 +421,7 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     edges = written(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), "edges")
+    told = _fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -424,7 +432,8 @@ def connected(edges: DataFrame) -> DataFrame:
                                                                  F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where("u != v").distinct())
         after = written(small, "edges")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        last, told = told, _fingerprint(after)
+        if told == last:
             break
         edges = after
     node = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
@@ -533,9 +542,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         "doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
     empty = sized.where("n = 0 or doc_id is null").select("doc_id", "n")
     bare = written(empty.where("doc_id is not null").select("doc_id").distinct(), "bare")
-    wordless = written(own.join(_listed(bare), "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min("component_id").alias("c")), "wordless")  # ids with a text without words and others
-    empty = empty.join(_listed(wordless), "doc_id", "left").select("doc_id", "n", F.coalesce("c", "doc_id"))
+    if not bare.isEmpty():  # ids with a text without words may have others
+        wordless = own.join(_listed(bare), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("c"))
+        empty = empty.join(_listed(written(wordless, "wordless")), "doc_id", "left").select("doc_id", "n", F.coalesce("c", "doc_id"))
+    else:
+        empty = empty.withColumn("c", F.col("doc_id"))
     return own.union(empty).withColumnRenamed("n", "n_shingles").withColumnRenamed("doc_id", key)
 
 
@@ -544,10 +555,11 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     Of repeated rows of an id one stays. Rows without an id stay.
     """
-    found = written(classes(docs, key, text), "classes").toDF("_id", "_n", "_c")
-    gone = written(found.where("_id != _c").select("_id").distinct(), "gone")
-    kept = docs.join(_listed(gone), docs[key] == F.col("_id"), "left_anti")
-    if found.where("_id is not null").groupBy("_id").count().where("count > 1").isEmpty():
+    found = written(classes(docs, key, text), "classes").toDF("id", "n", "c")
+    name = fresh(docs, "_id")
+    gone = written(found.where("id != c").select(F.col("id").alias(name)).distinct(), "gone")
+    kept = docs.join(_listed(gone), F.col(f"`{key}`") == F.col(name), "left_anti")
+    if found.where("id is not null").groupBy("id").count().where("count > 1").isEmpty():
         return kept
     named = kept.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
     return named.union(kept.where(F.col(f"`{key}`").isNull()))

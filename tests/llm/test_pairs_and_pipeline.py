@@ -150,3 +150,13 @@ def test_pipeline_on_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, FOLDER)
     assert empty.isEmpty()
+
+
+def test_keep_first_with_columns_of_its_own_names(spark):
+    """Documents may have columns named as the operator names its own."""
+    from openroles.llm import jaccard
+
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, "other words", "c")], "doc_id long, text string, _id string")
+    df = df.withColumns({"id": df._id, "n": df._id, "c": df._id})
+    assert sorted(r.doc_id for r in jaccard.keep_first(df).collect()) == [1, 3]
