@@ -144,7 +144,11 @@ FEATURES = "doc_id bigint, y int, content array<double>, page array<double>"
 
 
 def _featured(rows: DataFrame) -> list:
-    """Feature rows of a bounded training table; the texts stay in the tasks."""
+    """Feature rows of a bounded training table, one per id; the texts stay in the tasks.
+
+    Of repeated rows of an id the one of the smallest hash counts, so an id with
+    many rows neither fills the driver nor outweighs the others.
+    """
     def run(batches):
         for batch in slices(batches):
             found = batch.to_pylist()
@@ -153,7 +157,9 @@ def _featured(rows: DataFrame) -> list:
                 [batch.column("doc_id"), batch.column("y"), pa.array(content.tolist(), pa.list_(pa.float64())),
                  pa.array(page.tolist(), pa.list_(pa.float64()))], names=["doc_id", "y", "content", "page"])
 
-    got = rows.select("doc_id", "y", "text", "source", "lang", "n_chars").mapInArrow(run, FEATURES)
+    read = ("text", "source", "lang", "n_chars")
+    single = rows.groupBy("doc_id", "y").agg(F.min_by(F.struct(*read), F.xxhash64(*read)).alias("r"))
+    got = single.select("doc_id", "y", *[f"r.{c}" for c in read]).mapInArrow(run, FEATURES)
     return sorted(got.collect(), key=lambda r: (r["doc_id"], r["content"]))
 
 
@@ -191,8 +197,16 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED,
             w = np.r_[w, np.full(len(at), 0.5)]
         return Logistic.fit(x, labels_, w)
 
+    def judged(v: int, m: Logistic) -> tuple[float, tuple[float, float]]:
+        """Calibrated loss on the rows put aside, and the calibration."""
+        odds = m.odds((content, page)[v][test])
+        a, b = _platt(odds, y[test])
+        p = np.clip(1 / (1 + np.exp(-np.clip(a * odds + b, -30, 30))), 1e-6, 1 - 1e-6)
+        return float(-(y[test] * np.log(p) + (1 - y[test]) * np.log(1 - p)).mean()), (a, b)
+
     model = [fitted(0), fitted(1)]
     for _ in range(rounds if len(pool) else 0):
+        taught: list[dict[int, int]] = [{}, {}]  # anew in each round, so that labels are revised
         for v, other in ((0, 1), (1, 0)):
             p = 1 / (1 + np.exp(-model[v].odds(free[v])))
             for kind, sure in ((1, p), (0, 1 - p)):
@@ -200,18 +214,21 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED,
                 most = int(TAUGHT_SHARE * share * len(pool)) + 1
                 for i in np.argsort(-sure, kind="stable")[:most]:
                     if sure[i] >= SURE:
-                        extra[other].setdefault(int(i), kind)
-        model = [fitted(0), fitted(1)]
+                        taught[other].setdefault(int(i), kind)
+        for v in (0, 1):  # a view takes what it is taught only if the rows put aside say it gains
+            before, extra[v] = extra[v], taught[v]
+            tried = fitted(v)
+            if judged(v, tried)[0] < judged(v, model[v])[0]:
+                model[v] = tried
+            else:
+                extra[v] = before
 
     calibration, weights, prior = [], [], float(np.log((y[test].sum() + 1) / ((1 - y[test]).sum() + 1)))
-    for v, x in ((0, content), (1, page)):
-        odds = model[v].odds(x[test])
-        a, b = _platt(odds, y[test])
-        p = np.clip(1 / (1 + np.exp(-np.clip(a * odds + b, -30, 30))), 1e-6, 1 - 1e-6)
-        base = np.clip(y[test].mean(), 1e-6, 1 - 1e-6)
-        loss = -(y[test] * np.log(p) + (1 - y[test]) * np.log(1 - p)).mean()
-        plain = -(base * np.log(base) + (1 - base) * np.log(1 - base))
-        calibration.append((a, b))
+    base = np.clip(y[test].mean(), 1e-6, 1 - 1e-6)
+    plain = -(base * np.log(base) + (1 - base) * np.log(1 - base))
+    for v in (0, 1):
+        loss, scale = judged(v, model[v])
+        calibration.append(scale)
         weights.append(float(np.clip(1 - loss / plain, 0, 1)))
     return Model(None, model[0], model[1], np.array(calibration), np.array(weights), prior)
 

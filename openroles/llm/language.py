@@ -56,6 +56,8 @@ def ngrams(text: str | None) -> np.ndarray:
     Code points fit in 21 bits, so three of them are one 64-bit number.
     """
     words = re.findall(r"[^\W\d_]+", text.lower()) if text else []
+    if not all(map(str.isalpha, words)):  # digits of other kinds, such as fractions, are word characters, too
+        words = "".join(c if c.isalpha() else " " for w in words for c in (*w, " ")).split()
     if not words:
         return np.zeros(0, np.int64)
     points = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le"), np.uint32).astype(np.int64)

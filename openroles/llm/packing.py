@@ -101,12 +101,13 @@ def pieces(df: DataFrame, path: str, keys: Sequence[str] = ("doc_id",), text: st
     """``keys``, piece, start, length and ``ids`` (little-endian unsigned 32-bit) per piece.
 
     A text's ids end with id 0. Longer ones are cut so that only the first piece
-    is shorter than ``capacity``.
+    is shorter than ``capacity``. Keys that have one of these names keep it; the
+    new column then begins with an underscore.
     """
     rows = only(df, *keys, text)
-    out = T.StructType(rows.schema.fields[:-1])
+    out, named = T.StructType(rows.schema.fields[:-1]), only(df, *keys)
     for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids", "binary")):
-        out = out.add(name, kind)
+        out = out.add(fresh(named, name), kind)
     n_keys = len(keys)
 
     def run(batches):
@@ -188,7 +189,7 @@ def _places(combinations: list[tuple[dict[int, int], int]]) -> np.ndarray:
 def place(df: DataFrame, capacity: int = CAPACITY, length: str = "length") -> DataFrame:
     """``df`` with ``sequence_id`` and ``offset`` (fresh names if it has such columns)."""
     bound_batches(df.sparkSession)
-    part, nth, before = (fresh(df, n) for n in ("_part", "_nth", "_before"))
+    part, nth, before, own_length, own_part = (fresh(df, n) for n in ("_part", "_nth", "_before", "_l", "_p"))
     sequence, offset = fresh(df, "sequence_id"), fresh(df, "offset")
     at = df.columns.index(length)
     numbered_schema = T.StructType([*df.schema.fields, T.StructField(part, T.IntegerType()),
@@ -213,14 +214,14 @@ def place(df: DataFrame, capacity: int = CAPACITY, length: str = "length") -> Da
 
     numbered = written(df.mapInArrow(number, numbered_schema), "pieces")
     size = F.col(f"`{length}`")
-    counts = (numbered.where(size.between(1, capacity)).groupBy(size.cast("long").alias("_l"), F.col(part).alias("_p"))
-              .agg(F.count("*").alias("_n")))
+    counts = (numbered.where(size.between(1, capacity))
+              .groupBy(size.cast("long").alias(own_length), F.col(part).alias(own_part)).agg(F.count("*").alias("n")))
     counts = written(counts, "counts")
-    histogram = {r["_l"]: r["n"] for r in counts.groupBy("_l").agg(F.sum("_n").alias("n")).collect()}
+    histogram = {r[0]: r[1] for r in counts.groupBy(own_length).agg(F.sum("n")).collect()}
     table = _places(plan(histogram, capacity))
-    earlier = Window.partitionBy("_l").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_l", "_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before))
-    joined = numbered.join(offsets, (size == F.col("_l")) & (F.col(part) == F.col("_p")), "left").drop("_l", "_p")
+    earlier = Window.partitionBy(own_length).orderBy(own_part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(own_length, own_part, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
+    joined = numbered.join(offsets, (size == F.col(own_length)) & (F.col(part) == F.col(own_part)), "left").drop(own_length, own_part)
     out = T.StructType([*df.schema.fields, T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
     n = len(df.columns)
 

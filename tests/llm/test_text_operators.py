@@ -57,9 +57,13 @@ def test_byte_ids_equal_the_library():
 
 
 def test_packing_places_every_piece_without_gaps(spark, odd):
-    pieces = packing.pieces(clashing(odd), BYTES, keys=("doc_id", "length", "sequence_id"), capacity=64) if False else \
-        packing.pieces(odd, BYTES, capacity=64)
-    rows = packing.place(pieces.withColumns({"_part": F.lit(1), "_l": F.lit(2).cast("string")}).drop("_l"), 64).collect()
+    pieces = packing.pieces(clashing(odd), BYTES, keys=("doc_id", "length", "sequence_id"), capacity=64)
+    assert pieces.columns == ["doc_id", "length", "sequence_id", "piece", "start", "_length", "ids"]
+    own = {c: F.lit("x") for c in ("_part", "_l", "_p", "n", "offset")}
+    placed = packing.place(pieces.withColumns(own), 64, "_length")
+    assert placed.columns[-2:] == ["_sequence_id", "_offset"]
+    rows = placed.drop("length", "sequence_id", "offset").withColumnsRenamed(
+        {"_length": "length", "_sequence_id": "sequence_id", "_offset": "offset"}).collect()
     bins = {}
     for r in rows:
         assert 1 <= r.length <= 64 and len(r.ids) == 4 * r.length and (r.piece == 0 or r.length == 64)
@@ -286,3 +290,39 @@ def test_chat_round_trip(spark):
     assert [r.token_start for r in placed] == [0, *np.cumsum([len(r.ids) for r in placed])[:-1].tolist()]
     assert all(chat.unescape(chat.escape(s or "")) == (s or "") and "</turn>" not in chat.escape(s or "") for s in said)
     assert chat.read_back(chat.assemble(df.limit(0), BYTES), BYTES).isEmpty()
+
+
+def test_only_letters_are_letters():
+    """Fractions, powers and numerals of other scripts are no letters; ideographs are."""
+    assert all(not len(language.ngrams(t)) for t in ("½ ² Ⅷ ① ٣", "1_2", "", None))
+    assert len(language.ngrams("a½b")) == len(language.ngrams("a b")) and len(language.ngrams("一二"))
+
+
+def test_an_id_with_many_rows_counts_once(spark):
+    """The driver gets one row per labelled id, however often it is repeated."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice("ab cd ef !! gh".split()) for _ in range(20)), "en", "s", 60) for i in range(40)]
+    rows += [(0, f"again {i}", "en", "s", 9) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    told = docs.select("doc_id").distinct().withColumn("y", F.lit(1))
+    got = cotraining._featured(docs.join(told, "doc_id"))
+    assert len(got) == 40 and len({r["doc_id"] for r in got}) == 40
+
+
+def test_the_exchange_does_no_harm(spark):
+    """On each half of the labels the rounds rank held-out documents no worse than none, and still reject some."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    for half in (0, 1):
+        other = {r.doc_id: r.quality for r in labels.where(f"doc_id % 2 = {1 - half}").collect()}
+        ranks = []
+        for rounds in (0, 4):
+            model = cotraining.fit(docs, labels.where(f"doc_id % 2 = {half}"), rounds=rounds)
+            found = cotraining.score(docs, model).collect()
+            pairs = sorted((r.score, other[r.doc_id]) for r in found if r.doc_id in other)
+            bad = [s for s, q in pairs if not q]
+            good = [s for s, q in pairs if q]
+            ranks.append(sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)))
+            rejected = sum(not r.kept for r in found)
+        print("half", half, "AUC without and with the exchange", ranks, "rejected", rejected)
+        assert ranks[1] >= ranks[0] - 0.01 and rejected > 0
