@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from openroles.catalog.postings import FEED_UNION, board_apis
 from openroles.catalog.registry import query
+from openroles.functions.text import norm_employer
 from openroles.operators import employers
+from openroles.operators.merge import append_new
+from openroles.session import cut_lineage, left_join_known
 
 
 RESOLVED = """
@@ -70,13 +73,13 @@ STORED = """
     FROM @v_postings WHERE job_id % 3 <> 2"""
 INCOMING = """
     SELECT job_id, src_rank, page_no, pos, company, title, description, location, source,
-           source_job_id,
+           source_job_id, posted_date, scraped_at,
            CASE WHEN job_id % 12 IN (4, 5) AND source_job_id <> ''
                 THEN 'https://careers.example.com/jobs/' || ext_id ELSE canon_url END AS job_url
     FROM @v_sightings"""
 
 
-@query("jobs_insert_new", f"""
+NEW_ROWS = f"""
     WITH incoming AS (
       SELECT *, contains(job_url, 'careers.example.com') AS other_host
       FROM (SELECT *, row_number() OVER (PARTITION BY md5(job_url)
@@ -91,10 +94,49 @@ INCOMING = """
                       AND s.platform || '_feed' = i.source)
       AND NOT (i.other_host AND i.source_job_id <> '' AND EXISTS (
                SELECT 1 FROM stored s WHERE s.other_host AND contains(s.job_url, i.source_job_id)))
-    """)
-def jobs_insert_new(v):
+    """
+
+
+def new_rows(v):
     incoming = v.sql(INCOMING).withColumn("url_hash", F.md5("job_url"))
     stored = v.sql(STORED).withColumn("url_hash", F.md5("job_url"))
-    rows = employers.jobs_to_insert(incoming, stored,
-                                    [F.col("src_rank"), F.col("page_no"), F.col("pos")])
-    return rows.select("job_id", "job_url", "source")
+    return employers.jobs_to_insert(incoming, stored, [F.col("src_rank"), F.col("page_no"), F.col("pos")])
+
+
+@query("jobs_insert_new", NEW_ROWS)
+def jobs_insert_new(v):
+    return new_rows(v).select("job_id", "job_url", "source")
+
+
+# The whole result of an ingest run: the rows of the job table, and the companies that come with them.
+@query("jobs_insert_rows", f"""
+    SELECT n.job_url, n.source, p.title, coalesce(p.description, '') AS description, coalesce(p.location, '') AS location,
+           coalesce(r.employer_name, '') AS employer_name, trim(p.company) <> '' AS has_company,
+           p.posted_date, true AS is_active, true AS no_salary
+    FROM ({NEW_ROWS}) n JOIN @v_postings p USING (job_id) LEFT JOIN ({RESOLVED}) r ON r.company = p.company""")
+def jobs_insert_rows(v):
+    fresh = cut_lineage(new_rows(v))
+    resolved = cut_lineage(employers.resolve_employers(fresh, v("v_companies_rated")))
+    rows = employers.job_rows(fresh, resolved)
+    names = resolved.select("company_id", "employer_name").distinct()
+    return left_join_known(rows, names, "company_id").select(
+        "job_url", "source", "title", "description", "location",
+        F.coalesce("employer_name", F.lit("")).alias("employer_name"), F.col("company_id").isNotNull().alias("has_company"),
+        "posted_date", "is_active", (F.col("salary_min").isNull() & F.col("salary_max").isNull()).alias("no_salary"))
+
+
+@query("ingest_new_companies", f"""
+    SELECT DISTINCT employer_name, 0::BIGINT AS total_approvals, 0::BIGINT AS total_denials
+    FROM ({NEW_ROWS}) n JOIN @v_postings p USING (job_id) JOIN ({RESOLVED}) r ON r.company = p.company WHERE r.tier = 'new'""")
+def ingest_new_companies(v):
+    resolved = employers.resolve_employers(new_rows(v), v("v_companies_rated"))
+    return employers.new_companies(resolved).drop("company_id")
+
+
+# Employers named by postings that the store lacks, each once, with its first posting.
+@query("companies_append_new", """
+    SELECT upper(trim(company)) AS employer_name, min(job_id) AS job_id FROM @v_postings
+    WHERE trim(company) <> '' AND upper(trim(company)) NOT IN (SELECT employer_name FROM @v_companies) GROUP BY 1""")
+def companies_append_new(v):
+    named = v("v_postings").select(norm_employer(F.col("company")).alias("employer_name"), "job_id").where("employer_name <> ''")
+    return append_new(v("v_companies"), named, "employer_name", [F.col("job_id")])

@@ -363,3 +363,27 @@ def resume_upsert(v):
     return rows.select("id", "profile_name", "resume_text", "is_active",
                        F.array_join("skills", "|").alias("skills"),
                        F.col("embedding").isNotNull().alias("embedded"))
+
+
+def length_scorer():
+    """A scorer without a model: the length of the prompt, with some prompts it refuses."""
+    def answer(prompt: str) -> str:
+        n = len(prompt)
+        if n % 7 == 0:
+            raise ValueError("busy")
+        return '{"score": %d, "reasoning": "length"}' % (n % 101) if n % 5 else "no object"
+
+    return answer
+
+
+# The scorer hook: answers and refusals of a scorer, parsed; refused ones stay as deferred rows.
+@query("score_with_hook", """
+    SELECT job_id, custkey AS resume_id, NOT (n % 7 = 0 OR n % 5 = 0) AS success,
+           CASE WHEN n % 7 <> 0 AND n % 5 <> 0 THEN n % 101 END AS score,
+           CASE WHEN n % 7 = 0 THEN 'busy' WHEN n % 5 = 0 THEN 'response is not a score object' END AS error
+    FROM (SELECT *, length(title || '|' || location || '|' || description) AS n FROM @v_postings)""")
+def score_with_hook(v):
+    prompts = v("v_postings").select("job_id", F.col("custkey").alias("resume_id"),
+                                     F.concat_ws("|", "title", "location", "description").alias("prompt"))
+    return matching.scored(matching.score_with(prompts, lambda: length_scorer())).select(
+        "job_id", "resume_id", "success", "score", "error")

@@ -324,3 +324,31 @@ def search_query_text(v):
     role = F.concat(F.lower("c_mktsegment"), F.lit(" engineer"))
     level = F.when(F.col("c_custkey") % 2 == 0, "newgrad").otherwise("midlevel")
     return v("customer").select("c_custkey", text.search_query(role, level).alias("query"))
+
+
+def sql_text(text: str) -> str:
+    """A Python text as SQL: quotes doubled, line breaks by their code."""
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def _filled(template: str, *values: str) -> str:
+    parts = template.split("%s")
+    return " || ".join(x for pair in zip(map(sql_text, parts), [*values, None]) for x in pair if x)
+
+
+@query("score_prompt_lines", f"""
+    SELECT doc_id, {_filled(fixed.SCORE_LINES_TEMPLATE, "substr(coalesce(text, ''), 1, 2000)", "coalesce(source, '')",
+                            "coalesce(lang, '')", "substr(coalesce(text, ''), 1, 1500)")} AS prompt FROM @documents""")
+def score_prompt_lines(v):
+    return v("documents").select("doc_id", scores.score_lines_prompt(
+        F.col("source"), F.col("lang"), F.col("text"), F.col("text")).alias("prompt"))
+
+
+@query("score_messages", f"""
+    SELECT doc_id, 'system' AS first_role, {sql_text(fixed.SCORE_SYSTEM_PROMPT)} AS first_content, 'user' AS last_role,
+           coalesce(text, '') AS last_content, 2 AS n FROM @documents""")
+def score_messages(v):
+    told = scores.score_messages(F.coalesce("text", F.lit("")))
+    return v("documents").select("doc_id", told.alias("m")).select(
+        "doc_id", F.col("m")[0]["role"].alias("first_role"), F.col("m")[0]["content"].alias("first_content"),
+        F.col("m")[1]["role"].alias("last_role"), F.col("m")[1]["content"].alias("last_content"), F.size("m").alias("n"))

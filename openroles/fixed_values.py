@@ -301,6 +301,14 @@ SCORE_SYSTEM_PROMPT = (
     '{"score": <0-100 integer>, "reasoning": "<2-3 sentence explanation>", '
     '"key_matches": ["<skill1>", "<skill2>", "<skill3>"]}'
 )
+# The prompt for a local model, which answers in lines (fixed text, the remark after the résumé included).
+SCORE_LINES_TEMPLATE = (
+    "You are an expert career advisor. Analyze how well this resume matches the job posting.\n\n"
+    "Resume:\n%s  # Truncate to fit context\n\n"
+    "Job Title: %s\nCompany: %s\nJob Description:\n%s\n\n"
+    "Provide:\n1. A relevance score from 0-100 (where 100 is perfect match)\n2. Brief reasoning (2-3 sentences)\n\n"
+    "Format your response as:\nSCORE: <number>\nREASONING: <explanation>\n"
+)
 SCORE_PROMPT_TEMPLATE = (
     "Job Title: %s\nCompany: %s\n\nJob Description:\n%s\n\nResume:\n%s\n\n"
     "Rate this job's relevance to the resume (0-100). Focus on:\n"

@@ -22,6 +22,21 @@ def score_prompt(title: Column, company: Column, description: Column, resume: Co
     )
 
 
+def score_messages(prompt: Column) -> Column:
+    """What a chat provider is sent: the system prompt, then the user prompt."""
+    def message(role: str, content: Column) -> Column:
+        return F.struct(F.lit(role).alias("role"), content.alias("content"))
+
+    return F.array(message("system", F.lit(fixed.SCORE_SYSTEM_PROMPT)), message("user", prompt))
+
+
+def score_lines_prompt(title: Column, company: Column, description: Column, resume: Column) -> Column:
+    """The prompt for a local model; its answer is read by :func:`parse_score_lines`. It cuts both texts."""
+    return F.format_string(
+        fixed.SCORE_LINES_TEMPLATE, F.substring(text_or_empty(resume), 1, fixed.PROMPT_CHARS), text_or_empty(title),
+        text_or_empty(company), F.substring(text_or_empty(description), 1, fixed.PROMPT_LINES_DESCRIPTION_CHARS))
+
+
 def _integer(text: Column) -> Column:
     """Integer of a text such as `` 85``, ``+85`` or ``8_5``; null for anything else."""
     text = strip(text)
