@@ -81,11 +81,11 @@ def _board(w: Column) -> Column:
         .otherwise("https://api.lever.co")
     tenant = F.when(first != "", F.substring_index(host, ".", 1)).otherwise(none)
     return (
-        F.when(F.contains(host, F.lit("greenhouse.io")), board("greenhouse", first))
+        F.when((host == "greenhouse.io") | host.endswith(".greenhouse.io"), board("greenhouse", first))
         .when(host.isin("jobs.lever.co", "jobs.eu.lever.co"), board("lever", first, api))
         .when(host == "jobs.ashbyhq.com", board("ashby", first))
         .when(host == "jobs.smartrecruiters.com", board("smartrecruiters", first))
-        .when(host.endswith("myworkdayjobs.com"),
+        .when((host == "myworkdayjobs.com") | host.endswith(".myworkdayjobs.com"),
               board("workday", tenant, w["origin"], text_or_empty(site))))
 
 
