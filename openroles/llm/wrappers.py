@@ -10,19 +10,23 @@ pages, its wrapper. Elements of one name are aligned inside in turn.
 
 Each slot of the wrapper keeps what its pages say of it: the texts that all
 pages with the slot have in it, a few different pages that have it, their
-number, and how much text they have there. A text is the host's own, not the
-page's, if all pages with its slot have it, these are more than half of the
-host's pages and at least ``LEAST_PAGES`` of them differ; headings in an article
-or main element are the page's in any case. Names and tags then decide among the
-slots of other texts: menus, headers, footers and the like are out; if a host's
+number, and how much text they have there. A text outside of articles is the
+host's own, not the page's, if all pages with its slot have it, these are more
+than half of the host's pages and at least ``LEAST_PAGES`` of them differ; what an
+article or main element holds is the page's in any case. Names and tags then
+decide among the slots of other texts: menus, headers, footers, reader comments
+and the like are out, but an article's own header is its title; if a host's
 articles hold most of the text of their own that is left, other slots count only
-on pages without an article's text, else all of them count. All pages of the
-host are read through this. A page of nothing but texts of the host keeps them,
-as they may be its only text.
+on pages without an article's text, except headings and paragraphs right before
+an article, its lead; else all of them count. All pages of the host are read
+through this. A page of nothing but texts of the host keeps them, as they may be
+its only text.
 
 Equal streams are joined with what they say of their slots before they meet, and
-again where they meet: one task per host gets them as a sorted stream, of which
-only the expression is kept.
+again where they meet. The streams of a host are dealt by their hash over
+``PARTS`` tasks, each of which gets them sorted and keeps only the expression
+they align to; the parts' expressions are aligned in turn, so a host with a third
+of all pages is not aligned in one task.
 
 Defined cases: a null or empty page, or one without main text, gives the empty
 text. Tags that are never closed end with their parent or the page; an
@@ -51,6 +55,8 @@ from openroles.llm.urls import with_parts
 MOST_BROADCAST = 20_000
 #: Fewest different pages that show what a host repeats; two may be copies of one page.
 LEAST_PAGES = 3
+#: Tasks among which the streams of a host are dealt before their expressions meet.
+PARTS = 16
 #: A task sends what it has joined when it holds this many characters of streams and slots.
 MOST_HELD = 16 << 20
 BLOCKS = frozenset(
@@ -62,18 +68,24 @@ ENDS_PARAGRAPH = BLOCKS - {"html", "head", "body", "title", "label", "button", "
 SIBLINGS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
             "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 VOID = frozenset("hr".split())
-HIDDEN = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas")
+HIDDEN = ("script", "style", "noscript", "template", "iframe", "svg", "annotation", "annotation-xml", "canvas")
 SPACING = frozenset(("br", "wbr", "img", "input"))
 OUTSIDE = frozenset(
     "head title nav header footer aside form fieldset legend label button select option textarea menu dialog "
     "video audio".split())
 OUTSIDE_NAMES = re.compile(
     r"(?:(?:site|global|main|top|bottom|left|right)[-_])?(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|"
-    r"side-?bar\w*|menu|nav|navbar|navigation|breadcrumbs?|cookies?|consent|notices?|notification|alert|comments?|respond|replies|disqus|share|sharing|social|related|"
+    r"side-?bar\w*|menu|nav|navbar|navigation|breadcrumbs?|cookies?|consent|notices?|notification|alert|respond|replies|disqus|share|sharing|social|related|"
     r"recommended|newsletter|subscribe|popup|modal|overlay|footer|header|widget|toolbar|pagination|pager|login|"
     r"signup|search)(?:[-_]?0)?", re.I)
+#: Names of reader comments and of their parts; ``no-comments`` and ``comments-open`` say something else.
+COMMENT_NAMES = re.compile(
+    r"(?!(?:no|has|with|without|hide|show)[-_])(?:[a-z]+[-_])*?(?:comment-?list|comments?)"
+    r"(?:[-_](?:0|list|items?|body|area|section|threads?|content|text|meta|author|wrap(?:per)?|container|form|respond|"
+    r"repl(?:y|ies)|box|inner|blocks?|holder|children|0))*", re.I)
+HEADER_NAMES = re.compile(r"[a-z-_]*header", re.I)
 INSIDE = frozenset(("article", "main"))
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LEADING = frozenset("p h1 h2 h3 h4 h5 h6".split())
 #: Elements whose names say something about the page, not about what part of it they are.
 UNJUDGED = INSIDE | {"html", "body"}
 
@@ -348,66 +360,96 @@ def place(at: str, element: str) -> str:
     """Whether text in ``element`` of a place is "outside" the main text, "inside" an article or at neither ("").
 
     A name counts only as a whole: ``sidebar`` is one, ``no-sidebar`` and ``entry-header`` are others.
+    An element "before" an article may be its lead.
     """
     tag, _, given = element.partition(".")
-    if at == "outside" or tag in OUTSIDE or (tag not in UNJUDGED and any(map(OUTSIDE_NAMES.fullmatch, given.split()))):
+    names = given.split()
+    if at == "inside" and tag == "header":
+        names = [n for n in names if not HEADER_NAMES.fullmatch(n)]
+    elif tag in OUTSIDE:
+        return "outside"
+    judged = tag not in UNJUDGED and any(map(OUTSIDE_NAMES.fullmatch, names))
+    commented = tag not in ("html", "body", "main") and any(map(COMMENT_NAMES.fullmatch, names))
+    if at == "outside" or judged or commented:
         return "outside"
     return "inside" if tag in INSIDE else at
 
 
-def slots(wrapper: list) -> Iterator[tuple[int, str, bool, list]]:
-    """Path, place, whether it is a heading and what is told of each text slot of an expression."""
-    todo: list[tuple[list, int, str, bool]] = [(wrapper, 0, "", False)]
+def first_article(items: list, where: str) -> int:
+    """Number of items before the first with an article's element at this level; 0 if none has."""
+    def has(item):
+        # Groups hold elements of the same level; they are few and not nested deep.
+        return any(map(has, item[1])) if item[0] == "g" else (
+            item[0] == "e" and item[1].partition(".")[0] in INSIDE and place(where, item[1]) == "inside")
+
+    return next((i for i, item in enumerate(items) if has(item)), 0)
+
+
+def slots(wrapper: list) -> Iterator[tuple[int, str, list]]:
+    """Path, place and what is told of each text slot of an expression."""
+    todo: list[tuple[list, int, str, int]] = [(wrapper, 0, "", first_article(wrapper, ""))]
     while todo:
-        items, at, where, heading = todo.pop()
-        for item in items:
+        items, at, where, leading = todo.pop()
+        for i, item in enumerate(items):
             if item[0] == "#":
-                yield at, where, heading, item[1]
+                yield at, where, item[1]
             elif item[0] == "g":
-                todo.append((item[1], at, where, heading))
+                todo.append((item[1], at, where, len(item[1]) if i < leading else 0))
             else:
-                tag = item[1].partition(".")[0]
-                todo.append((item[2], below(at, item[1]), place(where, item[1]), tag in HEADINGS))
+                to = place(where, item[1])
+                if to == "" and i < leading and item[1].partition(".")[0] in LEADING:
+                    to = "before"
+                todo.append((item[2], below(at, item[1]), to, first_article(item[2], to) if to == "" else 0))
 
 
-def main_slots(wrapper: list, pages: int) -> tuple[list[int], list[int], list[int]]:
-    """Slots of main text, those for pages on which no slot of the first kind has text, and texts of the host in them.
+def main_slots(wrapper: list, pages: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Slots of main text, of what leads to it, those for pages on which none of these has text, and texts of the host.
 
     ``pages`` is the number of the host's pages. A text of the host is numbered
     as if it were an element below its slot.
     """
-    paths, size, fixed = {"inside": set(), "": set()}, {"inside": 0, "": 0}, set()
-    for at, where, heading, (texts, seen, n, chars) in slots(wrapper):
+    paths = {"inside": set(), "before": set(), "": set()}
+    size, fixed = dict.fromkeys(paths, 0), set()
+    for at, where, (texts, seen, n, chars) in slots(wrapper):
         if where == "outside":
             continue
         paths[where].add(at)
-        if len(seen) >= LEAST_PAGES and 2 * n > pages and not (heading and where == "inside"):
+        if where != "inside" and len(seen) >= LEAST_PAGES and 2 * n > pages:
             fixed.update(below(at, str(t)) for t in texts)
             chars -= n * sum(t & (1 << LENGTH_BITS) - 1 for t in texts)
         size[where] += max(0, chars)
-    core, rest = paths["inside"], paths[""] - paths["inside"]
+    core, lead = paths["inside"], paths["before"]
+    rest = (paths[""] | lead) - core
     if size["inside"] < size[""]:
-        core, rest = core | rest, set()
-    return sorted(core), sorted(rest), sorted(fixed)
+        core, lead, rest = core | rest, set(), set()
+    return sorted(core), sorted(lead), sorted(rest), sorted(fixed)
 
 
-def read(page: str, core: set[int], rest: set[int], fixed: set[int] = frozenset()) -> str:
-    """Blocks of a page's main text joined by blank lines."""
+def read(page: str, core: set[int], rest: set[int], fixed: set[int] = frozenset(), lead: set[int] = frozenset()) -> str:
+    """Blocks of a page's main text joined by blank lines. Of slots in ``lead`` those before the first article count."""
     stack = [0]
     found = {(own, main): [] for own in (True, False) for main in (True, False)}
+    before, leads = True, []
     for kind, what in events(page):
         if kind == "<":
             stack.append(below(stack[-1], what))
+            before = before and what.partition(".")[0] not in INSIDE
         elif kind == ">":
             stack.pop()
         elif stack[-1] in core or stack[-1] in rest:
             own = not (fixed and below(stack[-1], str(text_number(what))) in fixed)
             found[own, stack[-1] in core].append(what)
-    return "\n\n".join(next(filter(None, found.values()), []))
+            if own and before and stack[-1] in lead:
+                leads.append(what)
+    blocks = next(filter(None, found.values()), [])
+    return "\n\n".join([*leads, *blocks] if blocks is found[True, True] else blocks)
+
+
+SLOTS = ("core", "lead", "rest", "fixed")
 
 
 def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row per host: its wrapper (JSON), the paths of its main slots and the texts of the host in them."""
+    """One row per host: its wrapper (JSON) and what ``main_slots`` says of it."""
     rows = with_parts(only(df, url, page).toDF("u", "page"), F.col("u"), "host", "path").select("host", "page")
 
     def batch_of(rows):
@@ -434,23 +476,15 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
                 held, size = {}, 0
         yield batch_of((*at, json.dumps(t), n) for at, (t, n) in held.items())
 
-    def wrap(batches):
+    def aligned(batches):
         # Rows of one stream are joined before it is aligned, so it does not matter in which tasks its pages were.
         host, wrapper, pages = None, None, 0
         last, telling = None, []
 
-        def aligned():
+        def joined():
             more = nested(last, telling)
             return more if wrapper is None else align(wrapper, more)
 
-        def row():
-            all_ = aligned()
-            core, rest, fixed = main_slots(all_, pages)
-            paths = pa.list_(pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([host], pa.string()), pa.array([flat(all_)]), pa.array([core], paths),
-                 pa.array([rest], paths), pa.array([fixed], paths)], names=["host", "wrapper", "core", "rest", "fixed"])
-
         for batch in slices(batches):
             for h, s, t, n in zip(*(c.to_pylist() for c in batch.columns)):
                 t = json.loads(t)
@@ -458,17 +492,30 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
                     telling, pages = list(map(of_two_pages, telling, t)), pages + n
                     continue
                 if h == host:
-                    wrapper, last, telling, pages = aligned(), s, t, pages + n
+                    wrapper, last, telling, pages = joined(), s, t, pages + n
                     continue
                 if last is not None:
-                    yield row()
+                    yield host, joined(), pages
                 host, wrapper, last, telling, pages = h, None, s, t, n
         if last is not None:
-            yield row()
+            yield host, joined(), pages
+
+    def parts(batches):
+        for h, expression, n in aligned(batches):
+            yield batch_of([(h, flat(expression), json.dumps(told(expression)), n)])
+
+    def wrap(batches):
+        for h, expression, n in aligned(batches):
+            columns = [pa.array([c], pa.list_(pa.int64())) for c in main_slots(expression, n)]
+            yield pa.RecordBatch.from_arrays([pa.array([h], pa.string()), pa.array([flat(expression)]), *columns],
+                                             names=["host", "wrapper", *SLOTS])
 
-    found = rows.mapInArrow(streams, "host string, stream string, told string, pages bigint")
-    by_host = found.repartition("host").sortWithinPartitions("host", F.length("stream"), "stream")
-    return by_host.mapInArrow(wrap, "host string, wrapper string, core array<bigint>, rest array<bigint>, fixed array<bigint>")
+    shape = "host string, stream string, told string, pages bigint"
+    found = rows.mapInArrow(streams, shape).withColumn("part", F.pmod(F.xxhash64("stream"), F.lit(PARTS)))
+    order = ["host", F.length("stream"), "stream"]
+    by_part = found.repartition("host", "part").sortWithinPartitions("part", *order).drop("part")
+    by_host = by_part.mapInArrow(parts, shape).repartition("host").sortWithinPartitions(*order)
+    return by_host.mapInArrow(wrap, "host string, wrapper string, " + ", ".join(f"{c} array<bigint>" for c in SLOTS))
 
 
 def extract(df: DataFrame, wrappers: DataFrame, keys: Sequence[str] = ("page_id", "url"), url: str = "url",
@@ -481,16 +528,16 @@ def extract(df: DataFrame, wrappers: DataFrame, keys: Sequence[str] = ("page_id"
     rows = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)],
                      F.col(f"`{page}`").alias("page"), F.col(f"`{url}`").alias("u"))
     rows = with_parts(rows, F.col("u"), "host", "path").drop("u", "path")
-    few = wrappers.select("host", "core", "rest", "fixed")
+    few = wrappers.select("host", *SLOTS)
     if few.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
         few = F.broadcast(few)
-    joined = rows.join(few, "host", "left").select(*[f"k{i}" for i in range(n)], "page", "core", "rest", "fixed")
+    joined = rows.join(few, "host", "left").select(*[f"k{i}" for i in range(n)], "page", *SLOTS)
     out = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys]).add("text", "string")
 
     def run(batches):
         for batch in slices(batches):
-            texts = [read(p or "", set(c or ()), set(r or ()), set(f or ())) for p, c, r, f in
-                     zip(*(batch.column(i).to_pylist() for i in range(n, n + 4)))]
+            texts = [read(p or "", set(c or ()), set(r or ()), set(f or ()), set(lead or ())) for p, c, lead, r, f in
+                     zip(*(batch.column(i).to_pylist() for i in range(n, n + 1 + len(SLOTS))))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], names=out.names)
 
     return joined.mapInArrow(run, out)

@@ -262,6 +262,46 @@ def test_names_count_as_a_whole_and_not_on_the_page_itself(spark):
     assert got == {0: "kept", 1: "Title\n\nbody", 2: "kept", 3: "kept"}
 
 
+def test_what_an_article_holds_stays_and_comments_go(spark):
+    """Each page's own texts are numbered, so that the pages of a host differ."""
+    cases = {
+        "repeated": ("<article><h1>t{0}</h1><p>b{0}</p><p>All prices are in euros.</p></article>",
+                     ["t{0}", "b{0}", "All prices are in euros."]),
+        "comments": ("<article><p>b{0}</p><div class='comments-open'>c{0}</div></article><ol class='comment-list'><li>x{0}</li></ol>"
+                     "<div class='post-comment'>y</div><article class='comment-body'>z{0}</article><section id='comments'>w</section>",
+                     ["b{0}", "c{0}"]),
+        "within": ("<article><p>b{0}</p><div id='comment-{0}'><p>x{0}</p></div><div class='no-comments'>k{0}</div></article>",
+                   ["b{0}", "k{0}"]),
+        "header": ("<header><h1>Site</h1></header><article><header class='entry-header header'><nav>n</nav><h1>Title {0}</h1>"
+                   "</header><p>b{0}</p><footer>f</footer></article>", ["Title {0}", "b{0}"]),
+        "math": ("<article><p>so <math><mi>x{0}</mi><annotation>tex</annotation></math> holds</p>"
+                 "<object data='a'>o{0}</object></article>", ["so x{0} holds o{0}"]),
+        "lead": ("<p>Site name</p><p>lead {0}</p><article><p>{1} {0}</p></article><p>after {0}</p>", ["lead {0}", "{1} {0}"]),
+    }
+    long = "word " * 20 + "end"
+    rows = [(10 * k + i, f"http://{name}.example/{i}", page.format(i, long))
+            for k, (name, (page, _)) in enumerate(cases.items()) for i in range(5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in wrappers.main_text(frame).collect()}
+    want = {10 * k + i: "\n\n".join(blocks).format(i, long) for k, (_, blocks) in enumerate(cases.values()) for i in range(5)}
+    want.update({40 + i: f"so x{i} holds\n\no{i}" for i in range(5)})
+    assert got == want
+
+
+def test_a_host_of_many_streams_is_read_alike_however_it_is_dealt(spark):
+    """Pages of one host with different runs of blocks, planted main text and the host's own lines around it."""
+    pages, want = [], {}
+    for i in range(60):
+        blocks = [f"p{i} {j}" for j in range(i % 7 + 1)]
+        body = "".join(f"<{t}>{b}</{t}>" for b, t in zip(blocks, ("h2", "p", "blockquote", "p", "pre", "p", "h3")))
+        pages.append((i, f"http://many.example/{i}", f"<div><p>Menu</p></div><div><h1>t{i}</h1>{body}</div>" +
+                      "<div><p>Legal</p></div>" + "<hr>" * (i % 3)))
+        want[i] = "\n\n".join([f"t{i}", *blocks])
+    for parts in (1, 7):
+        frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(parts)
+        assert {r.page_id: r.text for r in wrappers.main_text(frame).collect()} == want
+
+
 def test_deeply_nested_pages(spark):
     """Thousands of elements that are never closed, and pages of a host that differ at every level."""
     pages = ["".join(f"<{tag}>{k}{i}" for i in range(4000)) for tag, k in (("div", "a"), ("blockquote", "b"))]
