@@ -11,7 +11,8 @@ from openroles.catalog.patterns import title_level
 from openroles.catalog.postings import ISO, shown_date
 from openroles.catalog.registry import query
 from openroles.catalog.views import ASOF
-from openroles.sources import feeds, targets
+from openroles.session import scratch_path
+from openroles.sources import feeds, landed, targets
 from openroles.sources.pages import page_postings
 
 PAGE_SPAN = 100  # order keys per landed page, so a page holds at most that many listings
@@ -139,39 +140,47 @@ def expected(platform: str, location: str = "location", description: str = "desc
 RELEVANT = title_level("title")
 
 
-@query("feed_greenhouse", expected("greenhouse"))
+FEEDS = {
+    "greenhouse": expected("greenhouse"),
+    "lever": expected("lever", description="description || ' Python SQL & Go'"),
+    "ashby": expected(
+        "ashby", location="CASE WHEN location = '' THEN 'Remote - US' ELSE location || '; Remote - US' END",
+        where="title <> '' AND (job_id % 3 = 0 OR job_id % 7 <> 1)"),
+    "smartrecruiters": expected(
+        "smartrecruiters", location="CASE WHEN job_id % 2 = 0 THEN 'Reno, NV, US' ELSE 'Austin, us' END",
+        description="'About ' || description", where=RELEVANT),
+    "workday": expected(
+        "workday",
+        location="""CASE WHEN job_id % 2 = 0 THEN 'US, TX, Austin; US, Remote'
+                    WHEN location = '' THEN 'US, Remote' ELSE location || '; US, Remote' END""",
+        url="'https://' || board || '.wd5.myworkdayjobs.com/job/City/Role_' || ext_id",
+        where=RELEVANT, board="board || '/Careers'",
+        posted=f"""strftime(TIMESTAMP '{ASOF}' - to_days(CASE WHEN job_id % 3 = 0 THEN 1 ELSE 2 END),
+                   '%Y-%m-%dT%H:%M:%SZ')"""),
+}
+
+
+@query("feed_greenhouse", FEEDS["greenhouse"])
 def feed_greenhouse(v):
     return shown(feeds.greenhouse(greenhouse_pages(v)))
 
 
-@query("feed_lever", expected("lever", description="description || ' Python SQL & Go'"))
+@query("feed_lever", FEEDS["lever"])
 def feed_lever(v):
     return shown(feeds.lever(lever_pages(v)))
 
 
-@query("feed_ashby", expected(
-    "ashby", location="CASE WHEN location = '' THEN 'Remote - US' ELSE location || '; Remote - US' END",
-    where="title <> '' AND (job_id % 3 = 0 OR job_id % 7 <> 1)"))
+@query("feed_ashby", FEEDS["ashby"])
 def feed_ashby(v):
     return shown(feeds.ashby(ashby_pages(v)))
 
 
-@query("feed_smartrecruiters", expected(
-    "smartrecruiters",
-    location="CASE WHEN job_id % 2 = 0 THEN 'Reno, NV, US' ELSE 'Austin, us' END",
-    description="'About ' || description", where=RELEVANT))
+@query("feed_smartrecruiters", FEEDS["smartrecruiters"])
 def feed_smartrecruiters(v):
     return shown(feeds.smartrecruiters(*smartrecruiters_pages(v)))
 
 
-@query("feed_workday", expected(
-    "workday",
-    location="""CASE WHEN job_id % 2 = 0 THEN 'US, TX, Austin; US, Remote'
-                WHEN location = '' THEN 'US, Remote' ELSE location || '; US, Remote' END""",
-    url="'https://' || board || '.wd5.myworkdayjobs.com/job/City/Role_' || ext_id",
-    where=RELEVANT, board="board || '/Careers'",
-    posted=f"""strftime(TIMESTAMP '{ASOF}' - to_days(CASE WHEN job_id % 3 = 0 THEN 1 ELSE 2 END),
-               '%Y-%m-%dT%H:%M:%SZ')"""))
+@query("feed_workday", FEEDS["workday"])
 def feed_workday(v):
     lists, details = workday_pages(v)
     return shown(feeds.workday(lists, details, F.lit(ASOF).cast("timestamp")))
@@ -193,8 +202,8 @@ LOST_DETAIL = "left(md5(CASE platform WHEN 'workday' THEN '/job/City/Role_' || e
       AND CAST(floor(job_id / 100.0) AS BIGINT) % 5 <> 2 AND {LOST_DETAIL} IN ('0', '1', '2', '3', '4', '5')
     GROUP BY platform, board""")
 def feed_errors(v):
-    lists, details = map(list, zip(smartrecruiters_pages(v), workday_pages(v)))
-    pages = reduce(DataFrame.unionByName, [greenhouse_pages(v), lever_pages(v), ashby_pages(v), *lists])
+    details = [smartrecruiters_pages(v)[1], workday_pages(v)[1]]
+    pages = every_page(v)
     digit = F.left(F.md5("detail_key"), F.lit(1))
     details = details[0].unionByName(details[1]).filter(~digit.isin("0", "1", "2")).withColumn(
         "payload", F.when(digit.isin("3", "4", "5"), F.expr("left(payload, length(payload) - 2)"))
@@ -203,6 +212,38 @@ def feed_errors(v):
     return feeds.feed_errors(pages.withColumn("payload", F.coalesce(broken, F.col("payload"))), details)
 
 
+def every_page(v) -> DataFrame:
+    lists = [f(v) for f in (greenhouse_pages, lever_pages, ashby_pages)]
+    return reduce(DataFrame.unionByName, [*lists, smartrecruiters_pages(v)[0], workday_pages(v)[0]])
+
+
+def landed_files(v) -> tuple[str, str]:
+    """All pages and details as JSON lines; pages whose number leaves 2 by 5 have a broken line besides."""
+    root = scratch_path(v.spark, "landed")
+    pages = every_page(v)
+    pages.write.partitionBy("platform").json(f"{root}/pages")
+    broken = pages.filter("page_no % 5 = 2").select(
+        "platform", F.expr("left(to_json(struct(*)), length(to_json(struct(*))) - 2)").alias("value"))
+    broken.write.mode("append").partitionBy("platform").text(f"{root}/pages")
+    smartrecruiters_pages(v)[1].unionByName(workday_pages(v)[1]).write.partitionBy("platform").json(f"{root}/details")
+    return f"{root}/pages", f"{root}/details"
+
+
+@query("landed_feeds", " UNION ALL ".join(FEEDS.values()))
+def landed_feeds(v):
+    return shown(landed.all_feeds(v.spark, *landed_files(v), F.lit(ASOF).cast("timestamp")))
+
+
+@query("landed_file_errors", """
+    SELECT platform, count(*) AS broken_lines FROM (
+      SELECT DISTINCT platform, board, CAST(floor(job_id / 100.0) AS BIGINT) AS page_no FROM @v_postings
+      WHERE platform IN ('greenhouse', 'lever', 'ashby', 'smartrecruiters', 'workday'))
+    WHERE page_no % 5 = 2 GROUP BY platform""")
+def landed_file_errors(v):
+    rows = landed.read_files(v.spark, landed_files(v)[0])
+    return landed.file_errors(rows).groupBy("platform").agg(F.count("*").alias("broken_lines"))
+
+
 PAGES = """
     SELECT page_id, CASE page_id % 5
              WHEN 0 THEN 'https://careers.example.com/job/' || CAST(page_id AS STRING)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from openroles.catalog.feeds import LOST_DETAIL, RELEVANT, smartrecruiters_pages, workday_pages
 from openroles.catalog.matching import DUE, tables
 from openroles.catalog.postings import IDENTITY
 from openroles.catalog.registry import query
+from openroles.catalog.views import ASOF
 from openroles.operators.digest import digest_fragments, eligible_pending
 from openroles.operators.matching import unnotified_matches
+from openroles.operators.merge import prune_orphans
 from openroles.session import scratch_path
+from openroles.streaming import details as late
 from openroles.streaming import incremental as inc
 
 
@@ -98,3 +102,90 @@ def stream_notify(v):
     inc.notify_stream(ids, table, f"{root}/sent", f"{root}/state", render).awaitTermination()
     table.clean_up()
     return table.read(table.latest()).select("id", "is_notified")
+
+
+# Pages land in three rounds, ten days apart, by page number. Of details, by the digest of their key, some never
+# land, some land with the round after (three days later), the others with the listing.
+ROUND = "CAST(floor(job_id / 100.0) AS BIGINT) % 3"
+
+
+@query("stream_details", f"""
+    SELECT platform, board AS identifier, ext_id, 'posting' AS outcome FROM @v_postings
+    WHERE platform IN ('smartrecruiters', 'workday') AND {RELEVANT} AND {LOST_DETAIL} NOT IN ('0', '1', '2')
+      AND NOT ({LOST_DETAIL} IN ('3', '4', '5') AND {ROUND} = 2)
+    UNION ALL
+    SELECT platform, board, '' || count(*), 'lost' FROM @v_postings
+    WHERE platform IN ('smartrecruiters', 'workday') AND {RELEVANT} AND {LOST_DETAIL} IN ('0', '1', '2')
+      AND {ROUND} < 2
+    GROUP BY platform, board""")
+def stream_details(v):
+    start = F.lit(ASOF).cast("timestamp")
+    outcomes = []
+    for platform, made in (("smartrecruiters", smartrecruiters_pages), ("workday", workday_pages)):
+        root = scratch_path(v.spark, f"details-{platform}")
+        pages, found = made(v)
+        pages = pages.withColumn("scraped_at", start + F.make_dt_interval((F.col("page_no") % 3 * 10).cast("int")))
+        # A detail knows its listing's round by the page the listing is on.
+        listings, _ = late.feeds.DETAILED[platform]
+        rounds = listings(pages).select("identifier", "detail_key", (F.col("page_no") % 3).cast("int").alias("round"))
+        digit = F.left(F.md5("detail_key"), F.lit(1))
+        after = digit.isin("3", "4", "5").cast("int")
+        found = found.join(rounds, ["identifier", "detail_key"]).filter(~digit.isin("0", "1", "2")).withColumns({
+            "landed_at": start + F.make_dt_interval(F.col("round") * 10 + after * 3, F.lit(1)),
+            "in_round": F.col("round") + after}).drop("round")
+        pages.withColumn("in_round", (F.col("page_no") % 3).cast("int")).write.partitionBy("in_round").parquet(f"{root}/pages")
+        found.write.partitionBy("in_round").parquet(f"{root}/details")
+        for n in range(3):
+            for name in ("pages", "details"):
+                v.spark.read.parquet(f"{root}/{name}").filter(F.col("in_round") == n).drop("in_round") \
+                    .write.mode("append").parquet(f"{root}/in/{name}")
+            left, right = (v.spark.readStream.schema(t.schema).parquet(f"{root}/in/{name}") for name, t in (
+                ("pages", pages), ("details", found.drop("in_round"))))
+            run = inc.run_to_parquet(late.await_details(left, right, platform, "5 days"), f"{root}/out", f"{root}/state")
+            run.awaitTermination()
+            if late.late_rows(run):
+                raise ValueError("rows arrived later than the delay allows")
+        joined = v.spark.read.parquet(f"{root}/out")
+        key = F.col("detail_key")
+        ids = F.regexp_extract(key, "Role_(.*)$", 1) if platform == "workday" else key
+        # Postings of the join itself, so that the rows of the result are the operator's.
+        asked = joined.filter("detail is not null").select("identifier", ids.alias("ext_id"))
+        if late.postings(joined, platform, start).count() != asked.count():
+            raise ValueError("a listing with its detail gave no posting")
+        outcomes += [asked.withColumn("outcome", F.lit("posting")).withColumn("platform", F.lit(platform)),
+                     late.errors(joined, platform).select(
+                         "platform", "identifier", F.col("broken_details").cast("string").alias("ext_id"),
+                         F.lit("lost").alias("outcome"))]
+    first, *rest = outcomes
+    for more in rest:
+        first = first.unionByName(more)
+    return first
+
+
+@query("stream_cascade", """
+    SELECT 'embedding' AS kind, vec_id AS row_id FROM @embeddings
+    WHERE vec_id IN (SELECT job_id FROM @v_jobs WHERE is_active)
+    UNION ALL SELECT 'match', id FROM @v_matches
+    WHERE job_id IN (SELECT job_id FROM @v_jobs WHERE is_active)""")
+def stream_cascade(v):
+    root = scratch_path(v.spark, "cascade")
+    jobs = v("v_jobs").select("job_id", "is_active")
+    vectors, matches = prune_orphans(jobs, v("v_vectors"), v("v_matches"))
+    tables_ = [inc.KeyedTable(v.spark, f"{root}/{name}", "job_id") for name in ("embeddings", "matches")]
+    for table, rows in zip(tables_, (vectors, matches)):
+        table.start(rows)
+    # Every inactive job is taken out; some of the active ones are taken out and put back in one batch.
+    out = jobs.filter("not is_active or job_id % 7 = 0").select(
+        "job_id", F.lit(1).cast("bigint").alias("ord"), F.lit("delete").alias("change"))
+    back = jobs.filter("is_active and job_id % 7 = 0").select(
+        "job_id", F.lit(2).cast("bigint").alias("ord"), F.lit("insert").alias("change"))
+    changes = out.unionByName(back).withColumn("round", F.pmod(F.col("job_id"), F.lit(BATCHES)).cast("int"))
+    changes.write.partitionBy("round").parquet(f"{root}/changes")
+    for n in range(BATCHES):
+        v.spark.read.parquet(f"{root}/changes").filter(F.col("round") == n).drop("round") \
+            .write.mode("append").parquet(f"{root}/in")
+        stream = v.spark.readStream.schema(changes.drop("round").schema).parquet(f"{root}/in")
+        inc.cascade_stream(stream, tables_, f"{root}/state").awaitTermination()
+    left, right = (t.read(t.latest()) for t in tables_)
+    return left.select(F.lit("embedding").alias("kind"), F.col("job_id").alias("row_id")).unionByName(
+        right.select(F.lit("match").alias("kind"), F.col("id").alias("row_id")))

@@ -131,10 +131,10 @@ def ashby(payloads: DataFrame) -> DataFrame:
     ))
 
 
-def _details(details: DataFrame, platform: str, schema: str) -> DataFrame:
+def parsed_details(details: DataFrame, platform: str, schema: str, *passed: str) -> DataFrame:
     """The detail documents of a platform that parse."""
     parsed = details.filter(F.col("platform") == platform)
-    return parsed.select("identifier", "detail_key",
+    return parsed.select("identifier", "detail_key", *passed,
                          F.from_json("payload", schema, PERMISSIVE).alias("detail")).filter(
         F.col("detail").isNotNull() & F.col("detail._corrupt_record").isNull())
 
@@ -157,11 +157,14 @@ DETAILED = {"smartrecruiters": (_smartrecruiters_listings, schemas.SMARTRECRUITE
 
 def _with_details(payloads: DataFrame, details: DataFrame, platform: str, how: str) -> DataFrame:
     listings, schema = DETAILED[platform]
-    return listings(payloads).join(_details(details, platform, schema), ["identifier", "detail_key"], how)
+    return listings(payloads).join(parsed_details(details, platform, schema), ["identifier", "detail_key"], how)
 
 
 def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
-    rows = _with_details(payloads, details, "smartrecruiters", "inner")
+    return _smartrecruiters_postings(_with_details(payloads, details, "smartrecruiters", "inner"))
+
+
+def _smartrecruiters_postings(rows: DataFrame) -> DataFrame:
     place = F.coalesce(F.col("detail.location"), F.col("item.location"))
     url = F.coalesce(
         F.when(F.col("detail.ref") != "", F.col("detail.ref")),
@@ -184,7 +187,10 @@ def smartrecruiters(payloads: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def workday(payloads: DataFrame, details: DataFrame, asof: Column) -> DataFrame:
-    rows = _with_details(payloads, details, "workday", "inner")
+    return _workday_postings(_with_details(payloads, details, "workday", "inner"), asof)
+
+
+def _workday_postings(rows: DataFrame, asof: Column) -> DataFrame:
     info = F.col("detail.jobPostingInfo")
     places = F.concat(
         F.array(first_non_empty(info["location"], F.col("item.locationsText"))),
@@ -204,6 +210,11 @@ def workday(payloads: DataFrame, details: DataFrame, asof: Column) -> DataFrame:
     ))
 
 
+def detailed_postings(joined: DataFrame, platform: str, asof: Column) -> DataFrame:
+    """Postings of listings that were joined with their ``detail``; ``asof`` is what relative dates refer to."""
+    return _smartrecruiters_postings(joined) if platform == "smartrecruiters" else _workday_postings(joined, asof)
+
+
 def all_feeds(payloads: DataFrame, details: DataFrame, asof: Column) -> DataFrame:
     """Postings of every platform; a broken page costs that page only."""
     frames = [greenhouse(payloads), lever(payloads), ashby(payloads),
@@ -221,7 +232,11 @@ def feed_errors(payloads: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def _detail_errors(payloads: DataFrame, details: DataFrame, platform: str) -> DataFrame:
-    lost = _with_details(payloads, details, platform, "left_anti")
+    return lost_details(_with_details(payloads, details, platform, "left_anti"), platform)
+
+
+def lost_details(lost: DataFrame, platform: str) -> DataFrame:
+    """Listings without a detail counted by board."""
     return lost.groupBy("identifier").agg(F.count("*").alias("broken_details")).select(
         F.lit(platform).alias("platform"), "identifier", F.lit(0).cast("bigint").alias("broken_pages"),
         "broken_details", F.concat_ws(":", F.lit(platform), "identifier", F.lit(" detail is missing or does not parse"))

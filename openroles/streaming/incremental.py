@@ -111,6 +111,31 @@ def upsert_companies_stream(stream: DataFrame, table: KeyedTable,
     return _merge_stream(stream, checkpoint, lambda batch, number: table.merge(number, batch, combine))
 
 
+def deleted_keys(changes: DataFrame, key: str) -> DataFrame:
+    """Keys whose last change, by ``ord``, is a deletion; of equal ``ord`` an insertion is the later one."""
+    last = changes.groupBy(key).agg(F.max(F.struct("ord", (F.col("change") != "delete").alias("kept"))).alias("last"))
+    return last.filter("not last.kept").select(key)
+
+
+def cascade_stream(changes: DataFrame, tables: list[KeyedTable], checkpoint: str) -> StreamingQuery:
+    """Deletions of a parent table carried into tables that refer to it.
+
+    ``changes`` holds the parent's ``(key, ord, change)``, with ``change`` insert
+    or delete. Each batch takes the deleted keys out of the buckets they fall into;
+    other buckets are not read. A key that is deleted and inserted in one batch
+    keeps its rows, one inserted in a later batch comes without. Null keys and
+    keys that no row refers to change nothing. The tables' key is the column
+    that refers to the parent and may have any number of rows.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        for table in tables:
+            gone = deleted_keys(batch, table.key)
+            table.merge(number, gone, lambda stored, keys, k=table.key: stored.join(keys, k, "left_anti"))
+
+    return _merge_stream(changes, checkpoint, merge)
+
+
 def notify_stream(pending: DataFrame, table: KeyedTable, sent_root: str, checkpoint: str,
                   render: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Digest of each batch of match ids still pending, then mark them.

@@ -180,3 +180,59 @@ def test_a_table_may_be_empty(spark, tmp_path):
     table.merge(0, spark.createDataFrame([("a", 1)], COUNTS), add)
     table.merge(1, spark.createDataFrame([("a", 1)], COUNTS), lambda stored, incoming: stored.where("false"))
     assert table.read(0).count() == 1 and table.read(1).isEmpty()
+
+
+def test_listings_wait_for_their_details_and_expire(spark, tmp_path):
+    import json
+
+    from openroles import schemas
+    from openroles.streaming import details as late
+
+    def pages(day, *ids):
+        body = json.dumps({"content": [{"id": i, "name": "Software Engineer"} for i in ids]})
+        return [("smartrecruiters", "acme", "Acme", "", "", 0, datetime(2026, 8, day), body)]
+
+    def docs(day, *rows):
+        return [("smartrecruiters", "acme", i, body, datetime(2026, 8, day)) for i, body in rows]
+
+    good = json.dumps({"name": "Software Engineer", "ref": "https://x.example/1"})
+    # In time; a day later; never; broken; of a listing nobody has; and two that make time pass.
+    rounds = [(pages(1, "now", "later", "never", "broken"), docs(1, ("now", good), ("broken", good[:-3]), ("other", good))),
+              (pages(2, "more"), docs(2, ("later", good), ("more", good))),
+              (pages(20, "last"), docs(20, ("last", good), ("never", good))),
+              (pages(21, "open"), docs(21, ("none", good)))]
+    for n, (left, right) in enumerate(rounds):
+        spark.createDataFrame(left, schemas.PAYLOADS).coalesce(1).write.parquet(f"{tmp_path}/pages/{n}")
+        spark.createDataFrame(right, schemas.DETAILS + ", landed_at timestamp").coalesce(1).write.parquet(f"{tmp_path}/docs/{n}")
+        query = inc.run_to_parquet(late.await_details(
+            stream(spark, tmp_path / "pages", schemas.PAYLOADS),
+            stream(spark, tmp_path / "docs", schemas.DETAILS + ", landed_at timestamp"), "smartrecruiters"),
+            str(tmp_path / "out"), str(tmp_path / "state"))
+        query.awaitTermination()
+        assert late.late_rows(query) == 0
+    joined = spark.read.parquet(str(tmp_path / "out"))
+    got = {r.source_job_id for r in late.postings(joined, "smartrecruiters", F.current_timestamp()).collect()}
+    assert got == {"now", "later", "more", "last"} and joined.count() == 6
+    assert sorted(r.detail_key for r in joined.filter("detail is null").collect()) == ["broken", "never"]
+    assert [(r.identifier, r.broken_details) for r in late.errors(joined, "smartrecruiters").collect()] == [("acme", 2)]
+
+
+def test_cascade_of_deletions_equals_pruning_step_by_step(spark, tmp_path):
+    rows = [(i % 23, i) for i in range(200)] + [(None, 900)]
+    table = inc.KeyedTable(spark, str(tmp_path / "t"), "job_id", 8)
+    table.start(spark.createDataFrame(rows, "job_id long, id long"))
+    batches = [[(1, 1, "delete"), (2, 1, "delete"), (2, 2, "insert"), (99, 1, "delete")],
+               [(1, 5, "insert"), (3, 9, "delete"), (3, 9, "insert"), (None, 1, "delete")],
+               [(4, 2, "insert"), (4, 3, "delete"), (4, 3, "delete")]]
+    want = set(rows)
+    for n, batch in enumerate(batches):
+        spark.createDataFrame(batch, "job_id long, ord long, change string").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        inc.cascade_stream(stream(spark, tmp_path / "in", "job_id long, ord long, change string"), [table],
+                           str(tmp_path / "state")).awaitTermination()
+        gone = {k for k in {b[0] for b in batch} if k is not None
+                and not max((o, c == "insert") for j, o, c in batch if j == k)[1]}
+        want = {r for r in want if r[0] not in gone}
+    got = table.read(table.latest())
+    assert got.count() == len(want) and {tuple(r) for r in got.collect()} == want
+    # The last batch wrote one bucket at most.
+    assert len(table.data.names(table.data.path(table.latest()))) <= 2
