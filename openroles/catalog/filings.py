@@ -9,7 +9,7 @@ from openroles import fixed_values as fixed
 from openroles.catalog.registry import query
 from openroles.catalog.views import Views, quoted
 from openroles.functions.dates import candidate_releases, fiscal_year
-from openroles.operators import rollup
+from openroles.operators import observed, rollup
 from openroles.operators.merge import upsert_companies
 from openroles.plans.sponsorship import company_table, next_snapshot
 from openroles.schemas import COUNTERS
@@ -165,13 +165,22 @@ def sponsorship_companies(v):
     return plain(rollup.sponsorship_companies(table(v)))
 
 
-@query("etl_summary", f"""
+ETL_SUMMARY = f"""
     SELECT count(*) AS companies, count(*) FILTER (WHERE total_approvals >= 3) AS quality_companies
-    FROM ({COMPANY_TABLE})""")
+    FROM ({COMPANY_TABLE})"""
+
+
+@query("etl_summary", ETL_SUMMARY)
 def etl_summary(v):
     return rollup.etl_summary(table(v))
 
 
+@query("etl_summary_observed", ETL_SUMMARY)
+def etl_summary_observed(v):
+    _, totals = observed.write_companies(table(v))
+    return v.spark.createDataFrame([totals], "companies bigint, quality_companies bigint")
+
+
 @query("h1b_preserve_merge", f"""
     SELECT employer_name, coalesce(s.naics_code, '') AS naics_code,
            coalesce(s.h1b_approvals, 0) AS h1b_approvals, coalesce(s.h1b_denials, 0) AS h1b_denials,

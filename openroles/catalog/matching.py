@@ -9,7 +9,7 @@ from openroles import fixed_values as fixed
 from openroles.catalog import patterns
 from openroles.catalog.registry import query
 from openroles.catalog.views import ASOF, quoted
-from openroles.operators import dedup, matching, merge
+from openroles.operators import dedup, matching, merge, observed
 from openroles.operators.vectors import cosine_topk, embedder, register_functions
 from openroles.plans import digest as digest_plan
 from openroles.operators.digest import eligible_pending
@@ -105,7 +105,7 @@ def similar_jobs(v):
         F.coalesce("total_approvals", F.lit(0)).alias("total_approvals"))
 
 
-@query("hit_funnel", f"""
+HIT_FUNNEL = f"""
     SELECT stage, reason, count(*) AS n FROM (
       SELECT CASE WHEN loc LIKE 'false|%' THEN 'location' WHEN auth LIKE 'excluded|%' THEN 'authorization'
                   ELSE 'kept' END AS stage,
@@ -113,11 +113,20 @@ def similar_jobs(v):
                   WHEN auth LIKE 'excluded|%' THEN split_part(auth, '|', 2) ELSE '' END AS reason
       FROM (SELECT {LOC} AS loc, {AUTH} AS auth
             FROM ({HITS}) h JOIN @v_jobs j ON j.job_id = h.job_id WHERE j.is_active))
-    GROUP BY stage, reason""")
+    GROUP BY stage, reason"""
+
+
+@query("hit_funnel", HIT_FUNNEL)
 def hit_funnel(v):
     return matching.hit_funnel(matching.hit_jobs(hits(v), v("v_jobs")))
 
 
+@query("hit_funnel_observed", HIT_FUNNEL)
+def hit_funnel_observed(v):
+    _, counts = observed.write_kept(matching.hit_jobs(hits(v), v("v_jobs")))
+    return v.spark.createDataFrame(counts, "stage string, reason string, n bigint")
+
+
 @query("score_candidates", f"""
     SELECT resume_id, job_id, rank FROM (
       SELECT *, row_number() OVER (PARTITION BY resume_id ORDER BY rank, job_id) AS n

@@ -62,3 +62,22 @@ def test_details_have_their_own_fields(spark, tmp_path):
     put(tmp_path, "workday", "a.json", [json.dumps({"identifier": "b", "detail_key": "/job/1", "payload": "{}"}).encode()])
     row, = landed.documents(landed.read_files(spark, str(tmp_path), "details")).collect()
     assert (row.platform, row.identifier, row.detail_key, row.payload) == ("workday", "b", "/job/1", "{}")
+
+
+def test_totals_observed_while_writing(spark):
+    from openroles.operators import matching, observed, rollup
+
+    companies = spark.createDataFrame([("A", 3), ("B", 2), ("C", None)], "employer_name string, total_approvals bigint")
+    stored, totals = observed.write_companies(companies)
+    assert stored.count() == 3 and totals == {"companies": 3, "quality_companies": 1}
+    assert rollup.etl_summary(companies).first().asDict() == totals
+    assert observed.write_companies(companies.limit(0))[1] == {"companies": 0, "quality_companies": 0}
+    jobs = spark.createDataFrame([(1, "Engineer", "Berlin", "", True), (2, "Engineer", "Austin, TX", "", True),
+                                  (3, "Engineer", "Austin, TX", "We do not sponsor visas.", True)],
+                                 "job_id long, title string, location string, description string, is_active boolean")
+    hits = spark.createDataFrame([(7, i, 0.5, i) for i in (1, 2, 3)] + [(8, 2, 0.4, 1)],
+                                 "resume_id long, job_id long, similarity double, rank int")
+    checked = matching.hit_jobs(hits, jobs)
+    kept, counts = observed.write_kept(checked)
+    assert {tuple(r) for r in matching.hit_funnel(checked).collect()} == set(counts) and len(counts) >= 2
+    assert kept.count() == dict((s, n) for s, _, n in counts)["kept"]
