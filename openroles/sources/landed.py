@@ -3,9 +3,9 @@
 Files lie in ``<path>/platform=<name>/`` as JSON lines, one landed document a
 line. A task reads one range of at most ``splitBytes`` of one file; a range owns
 the lines that start in it. The option ``platforms`` (names, comma-separated)
-chooses folders, so files of others are not opened. That is no filter pushed by
-the optimizer, because Spark 4.1 keeps one reader for all scans of a relation:
-frames that filter one relation by different platforms would share a pushed filter.
+chooses folders, so files of others are not opened. Filters are not pushed: when
+they were, frames that filter one relation by different platforms lost rows,
+probably because its scans share one reader (not traced).
 
 Defined cases: a line that is no JSON object, no UTF-8 or has a time that does
 not parse, and a file that cannot be opened, are rows with ``error`` set and no
