@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,19 +15,25 @@ from openroles.catalog.views import ASOF
 from openroles.operators.digest import digest_fragments, eligible_pending
 from openroles.operators.matching import unnotified_matches
 from openroles.operators.merge import prune_orphans
-from openroles.session import scratch_path
+from openroles.session import scratch_path, written_once
 from openroles.streaming import details as late
 from openroles.streaming import incremental as inc
 
 
 BATCHES = 3
+FILE_ROWS = 500_000
 
 
 def landed_stream(v, root: str, table: str) -> DataFrame:
-    """A given table, landed in files, as a stream of :data:`BATCHES` batches."""
-    files = 2 * BATCHES
-    v(table).repartition(files).write.parquet(f"{root}/in")
-    return (v.spark.readStream.schema(v(table).schema).option("maxFilesPerTrigger", files // BATCHES)
+    """A given table, landed in files, as a stream of :data:`BATCHES` batches.
+
+    Each task of the scan writes files of at most :data:`FILE_ROWS` rows, so batches of a large table have many.
+    """
+    rows = v(table)
+    most = max(1, min(FILE_ROWS, math.ceil(rows.count() / (2 * BATCHES))))
+    rows.write.option("maxRecordsPerFile", most).parquet(f"{root}/in")
+    files = len(v.spark.read.schema(rows.schema).parquet(f"{root}/in").inputFiles())
+    return (v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, math.ceil(files / BATCHES)))
             .parquet(f"{root}/in"))
 
 
@@ -90,7 +98,9 @@ def stream_upsert_companies(v):
     SELECT id, is_notified OR id IN (SELECT id FROM ({DUE})) AS is_notified FROM @v_matches""")
 def stream_notify(v):
     root = scratch_path(v.spark, "notify")
-    matches, jobs, companies, resumes = tables(v)
+    # Each batch reads the other tables more than once; landed, they are not made of the given ones each time.
+    matches, *others = tables(v)
+    jobs, companies, resumes = (written_once(t, "notify-side") for t in others)
     table = inc.KeyedTable(v.spark, f"{root}/matches", "id")
     table.start(matches)
     ids = landed_stream(v, root, "orders").select(F.col("o_orderkey").alias("id"))

@@ -62,8 +62,7 @@ def first_of_each(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
     """
     total = [*order, *[c for c in stream.columns if c not in (*order, key)]]
     states = stream.withColumn("_at", F.current_timestamp()).groupBy(key).agg(
-        F.min_by(F.struct(*[c for c in stream.columns if c != key]), F.struct(*total)).alias("_row"),
-        F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+        F.min(F.struct(*total)).alias("_row"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
     return states.where("_first = _last").select(
         *[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in stream.columns])
 
