@@ -63,3 +63,19 @@ def test_ids_with_separators_are_found_in_urls_of_their_host(spark):
     assert sorted(r.source_job_id for r in left.collect()) == sorted(["77-z", "3_bb", "x.com", "req/AB-77-Z99"])
     plan = left._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(1, (length" not in plan and "FlatMapCoGroups" in plan
+
+
+def test_texts_of_a_large_group_meet_few_of_its_strings(spark, monkeypatch):
+    """Twenty times the strings are twenty times the buckets, but a text goes to those it may find something in."""
+    monkeypatch.setattr(containment, "STRING_BYTES", 500)
+    texts = spark.range(200).selectExpr("'h' as group", "concat('/o?ref=', 1000000 + id * 7, '&x=1') as text")
+    copies = {}
+    for n in (300, 6000):
+        asked = spark.range(n).selectExpr("'h' as group", "cast(1000000 + id as string) as asked")
+        dealt, strings = containment._dealt(texts, asked)
+        copies[n] = dealt.count()
+        assert strings.count() == n and strings.select("bucket").distinct().count() > n // 100
+        found = {r.asked for r in containment.first_containing(texts, asked).collect()}
+        assert found == {str(1000000 + i * 7) for i in range(200) if i * 7 < n}
+    # 18 characters at most, thus 15 runs of four.
+    assert copies[300] <= copies[6000] <= 200 * 15
