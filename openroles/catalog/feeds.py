@@ -11,7 +11,7 @@ from openroles.catalog.patterns import title_level
 from openroles.catalog.postings import ISO, shown_date
 from openroles.catalog.registry import query
 from openroles.catalog.views import ASOF
-from openroles.session import scratch_path
+from openroles.session import scratch_path, written_once
 from openroles.sources import feeds, landed, targets
 from openroles.sources.pages import page_postings
 
@@ -220,7 +220,7 @@ def every_page(v) -> DataFrame:
 def landed_files(v) -> tuple[str, str]:
     """All pages and details as JSON lines; pages whose number leaves 2 by 5 have a broken line besides."""
     root = scratch_path(v.spark, "landed")
-    pages = every_page(v)
+    pages = written_once(every_page(v), "landed-pages")
     pages.write.partitionBy("platform").json(f"{root}/pages")
     broken = pages.filter("page_no % 5 = 2").select(
         "platform", F.expr("left(to_json(struct(*)), length(to_json(struct(*))) - 2)").alias("value"))
