@@ -134,16 +134,17 @@ def stream_details(v):
     for platform, made in (("smartrecruiters", smartrecruiters_pages), ("workday", workday_pages)):
         root = scratch_path(v.spark, f"details-{platform}")
         pages, found = made(v)
+        # Landed first: the rounds are read from what is landed, not from pages made again.
         pages = pages.withColumn("scraped_at", start + F.make_dt_interval((F.col("page_no") % 3 * 10).cast("int")))
+        pages.withColumn("in_round", (F.col("page_no") % 3).cast("int")).write.partitionBy("in_round").parquet(f"{root}/pages")
         # A detail knows its listing's round by the page the listing is on.
         listings, _ = late.feeds.DETAILED[platform]
-        rounds = listings(pages).select("identifier", "detail_key", (F.col("page_no") % 3).cast("int").alias("round"))
+        rounds = listings(v.spark.read.schema(pages.schema).parquet(f"{root}/pages")).select("identifier", "detail_key", (F.col("page_no") % 3).cast("int").alias("round"))
         digit = F.left(F.md5("detail_key"), F.lit(1))
         after = digit.isin("3", "4", "5").cast("int")
         found = found.join(rounds, ["identifier", "detail_key"]).filter(~digit.isin("0", "1", "2")).withColumns({
             "landed_at": start + F.make_dt_interval(F.col("round") * 10 + after * 3, F.lit(1)),
             "in_round": F.col("round") + after}).drop("round")
-        pages.withColumn("in_round", (F.col("page_no") % 3).cast("int")).write.partitionBy("in_round").parquet(f"{root}/pages")
         found.write.partitionBy("in_round").parquet(f"{root}/details")
         for n in range(3):
             for name in ("pages", "details"):
