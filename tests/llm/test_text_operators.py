@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -48,6 +49,47 @@ def test_both_agendas_give_the_same_ids():
         assert voc._by_scan(word) == voc._by_heap(word)
 
 
+def test_agendas_of_many_words_equal_those_of_each():
+    voc = sentencepieces.Vocabulary(PIECES)
+    rng = random.Random(4)
+    words = ["▁" + "".join(rng.choice("abcdehnorst▁é日😀\u0301\x00") for _ in range(rng.randint(0, 40))) for _ in range(5000)]
+    words += ["\n", "\nthe", "▁", "▁▁▁", "▁" + "日" * 100, "▁the"]
+    ids, lengths = voc.agendas(words)
+    each = [voc.agenda(w) for w in words]
+    assert lengths.tolist() == list(map(len, each)) and ids.tolist() == [i for x in each for i in x]
+
+
+def test_new_words_take_little_longer_than_in_the_library():
+    voc = sentencepieces.Vocabulary(PIECES)
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("aaeehhinnorstt", k=rng.randint(4, 14))) for _ in range(20_000)) for _ in range(4)]
+    ratios = []
+    for text in texts:
+        start = time.process_time()
+        sentencepieces.encode_batch(voc, [text])
+        ours = time.process_time() - start
+        voc.library.encode(text.split(" "), num_threads=1)
+        ratios.append(ours / (time.process_time() - start - ours))
+    assert min(ratios) < 4.5, ratios
+
+
+def test_words_that_are_forgotten_are_learnt_again(monkeypatch):
+    voc = sentencepieces.Vocabulary(PIECES)
+    monkeypatch.setattr(sentencepieces, "REMEMBERED_WORDS", 50)
+    rng = random.Random(8)
+    for _ in range(40):
+        texts = [" ".join(rng.choice("abc") * rng.randint(1, 90) for _ in range(20)) for _ in range(3)]
+        ids, decoded = sentencepieces.encode_batch(voc, texts)
+        assert [x.tolist() for x in ids] == voc.library.encode(texts) and decoded == texts
+        assert len(voc.known) == voc.coded.n and max(map(len, voc.known)) <= sentencepieces.LONGEST_REMEMBERED
+    assert len(voc.known) < 50 + 60
+    monkeypatch.setattr(voc.pairs, "of_code", np.full(99, voc.pairs.other, np.int32))
+    with pytest.raises(ValueError, match="ids differ from the library's"):
+        voc.encode(["a there"])
+    monkeypatch.undo()
+    assert [x.tolist() for x in voc.encode(["a there"])] == voc.library.encode(["a there"])
+
+
 def test_byte_ids_equal_the_library():
     ours = packing.ByteTokenizer(BYTES)
     rng = random.Random(5)
