@@ -15,11 +15,12 @@ intersection holds at least 80 of 100 parts of the union.
    of a set's shingles by the leading bits of their hashes bound the overlap of
    two sets from above, exactly, at a small part of the size of the sets.
 3. In a cell a T-occurrence search finds the links: of a query's inverted lists
-   the short ones are merged with a heap, documents that occur often enough
-   there are looked up in the long ones by binary search (DivideSkip), and those
-   with the required overlap are checked exactly. A document that was linked
-   leaves the index and is a query itself, so a cell of near copies costs about
-   one search of all and links found twice are not looked for.
+   the short ones are merged, documents that occur often enough there are looked
+   up in the long ones by binary search (DivideSkip), and those with the required
+   overlap are checked exactly. All candidates of a query pass these steps at once,
+   as arrays. Documents that share too few shingles with all others together are
+   left out before. A document that was linked leaves the index and is a query
+   itself, so links found twice are not looked for.
 4. A cell of more than ``CELL_SHINGLES`` is cut into blocks. Each block searches
    within itself, with the cell's first documents added as pivots. Documents of
    the cell that are then not in its largest component are searched against
@@ -36,8 +37,6 @@ linked with each other's groups, as they share the id, whatever their lengths.
 
 from __future__ import annotations
 
-import heapq
-from bisect import bisect_left
 from collections import deque
 from typing import Callable, Iterator
 
@@ -114,33 +113,50 @@ def shape_of(s: np.ndarray) -> bytes:
 
 
 class Shapes:
-    """Documents of a cell by the number of their counters, to find those that may link."""
+    """Documents of a cell by the number of their counters and their size, to find those that may link."""
 
     def __init__(self, sizes: np.ndarray, shapes: list[bytes]) -> None:
-        self.sizes, self.shapes = sizes, [np.frombuffer(x, np.uint8).astype(np.int32) for x in shapes]
+        # Sums of counters are sizes of sets; these numbers hold them exactly.
+        kind = np.float32 if sizes.max(initial=0) < 1 << 24 else np.float64
+        self.sizes, self.shapes = sizes, [np.frombuffer(x, np.uint8).astype(kind) for x in shapes]
         lengths = np.array([len(x) for x in self.shapes])
-        self.by_length = {}
+        self.by_length, self.folded = {}, {}
         for n in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == n)
-            self.by_length[n] = (at, np.stack([self.shapes[i] for i in at]))
+            at = at[np.argsort(sizes[at], kind="stable")]
+            self.by_length[n] = (at, sizes[at])
+            self.folded[n, n] = np.stack([self.shapes[i] for i in at])
+
+    def _table(self, length: int, to: int) -> np.ndarray:
+        """Counters of all documents with ``length`` of them, added up to ``to`` counters."""
+        if (length, to) not in self.folded:
+            table = self.folded[length, length]
+            self.folded[length, to] = table.reshape(len(table), to, -1).sum(2)
+        return self.folded[length, to]
 
     def search(self, query: int, alive: np.ndarray) -> list[int]:
         """Documents that are alive and whose overlap with ``query`` may suffice."""
-        n, own = self.sizes[query], self.shapes[query]
+        n, own = int(self.sizes[query]), self.shapes[query]
+        least, most = least_overlap(n), 100 * n // PERCENT
         found = []
-        for length, (at, table) in self.by_length.items():
-            use = alive[at] & (100 * self.sizes[at] >= PERCENT * n) & (PERCENT * self.sizes[at] <= 100 * n)
+        for length, (at, sizes) in self.by_length.items():
+            if sizes[-1] < least or sizes[0] > most:
+                continue
+            a, b = np.searchsorted(sizes, [least, most + 1]).tolist()
+            at, sizes = at[a:b], sizes[a:b]
+            use = alive[at]
             if not use.any():
                 continue
-            at, table = at[use], table[use]
-            if min(length, len(own)) > 0:
-                q = own
-                if length > len(q):
-                    table = table.reshape(len(at), len(q), -1).sum(2)
-                elif length < len(q):
-                    q = q.reshape(length, -1).sum(1)
-                most = np.minimum(table, q).sum(1)
-                at = at[100 * most >= PERCENT * (n + self.sizes[at] - most)]
+            to = min(length, len(own))
+            if to > 0:
+                table = self._table(length, to)[a:b]
+                if not use.all():
+                    at, sizes, table = at[use], sizes[use], table[use]
+                q = own if to == len(own) else own.reshape(to, -1).sum(1)
+                both = np.minimum(table, q) @ np.ones(to, q.dtype)
+                at = at[100 * both.astype(np.int64) >= PERCENT * (n + sizes - both.astype(np.int64))]
+            else:
+                at = at[use]
             found.extend(at.tolist())
         return found
 
@@ -260,63 +276,99 @@ def cells_of(rows: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Inverted lists over some sets, searched by DivideSkip."""
+    """Inverted lists over some sets, searched by DivideSkip; a step is taken for all candidates at once."""
 
     def __init__(self, sets: list[np.ndarray], members: np.ndarray) -> None:
-        self.sets, self.members = sets, members
+        self.lengths = np.array([len(s) for s in sets], np.int64)
         hashes = np.concatenate([np.zeros(0, np.uint64), *[sets[i] for i in members]])
-        owners = np.repeat(members, [len(sets[i]) for i in members])
+        owners = np.repeat(members, self.lengths[members])
         order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owners = hashes[order], owners[order]
+        hashes, self.owners = hashes[order], owners[order]
+        starts = np.flatnonzero(np.r_[np.ones(min(1, len(hashes)), bool), hashes[1:] != hashes[:-1]])
+        self.hashes, self.bounds = hashes[starts], np.r_[starts, len(hashes)]
+        #: List and owner in one number; sorted, so that one binary search probes for any number of both.
+        self.places = np.repeat(np.arange(len(starts)), np.diff(self.bounds)) * len(sets) + self.owners
 
     def search(self, query: np.ndarray, alive: np.ndarray) -> list[int]:
         """Members that are alive and link with ``query``."""
         n = len(query)
         need = least_overlap(n)
-        starts = np.searchsorted(self.hashes, query, "left")
-        sizes = np.searchsorted(self.hashes, query, "right") - starts
-        held = sizes > 0
-        if need == 0 or held.sum() < need:
+        if need == 0 or not len(self.hashes):
+            return []
+        at = np.minimum(np.searchsorted(self.hashes, query), len(self.hashes) - 1)
+        lists = at[self.hashes[at] == query]
+        if len(lists) < need:
             return []
-        starts, sizes = starts[held], sizes[held]
+        sizes = self.bounds[lists + 1] - self.bounds[lists]
         order = np.argsort(sizes, kind="stable")
-        starts, ends = starts[order], (starts + sizes)[order]
-        longest = min(need - 1, int(need / (MU * np.log2(sizes.max() + 1) + 1)))
-        short = len(starts) - longest
-        lists = [self.owners[a:b].tolist() for a, b in zip(starts[:short].tolist(), ends[:short].tolist())]
-        least = need - longest
-        found = []
-        candidate, count = -1, 0
-        for member in _then_end(heapq.merge(*lists)):
-            if member == candidate:
-                count += 1
-                continue
-            if count >= least and alive[candidate]:
-                total = self._probe(candidate, count, need, starts[short:], ends[short:])
-                if links(n, len(self.sets[candidate]), total):
-                    found.append(candidate)
-            candidate, count = member, 1
-        return found
-
-    def _probe(self, member: int, count: int, need: int, starts: np.ndarray, ends: np.ndarray) -> int:
-        """Occurrences of a member in all lists, binary-probing the long ones; stops when too few are left."""
-        left = len(starts)
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            if count + left < need:
-                return 0
-            left -= 1
-            at = bisect_left(self.owners, member, a, b)
-            count += at < b and self.owners[at] == member
-        return count
-
-
-def _then_end(items):
-    yield from items
-    yield -1
+        lists, sizes = lists[order], sizes[order]
+        longest = min(need - 1, int(need / (MU * np.log2(sizes[-1] + 1) + 1)))
+        short = len(lists) - longest
+        found, count = self._merged(lists[:short], sizes[:short])
+        near = (count >= need - longest) & alive[found]
+        found, count = found[near], count[near]
+        near = _may_link(n, self.lengths[found], count + longest)
+        found, count = found[near], count[near]
+        if longest and len(found):
+            count = count + self._probed(found, lists[short:], sizes[short:])
+        return found[_may_link(n, self.lengths[found], count)].tolist()
+
+    def _merged(self, lists: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The owners in some lists, and how many of the lists each is in."""
+        total = int(sizes.sum())
+        at = np.repeat(self.bounds[lists] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
+        if 4 * total < len(self.lengths):
+            return np.unique(self.owners[at], return_counts=True)
+        count = np.bincount(self.owners[at], minlength=len(self.lengths))
+        found = np.flatnonzero(count)
+        return found, count[found]
+
+    def _probed(self, found: np.ndarray, lists: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """In how many of the lists each of ``found`` is, by binary search, or by a merge if the lists are the shorter way."""
+        if 4 * len(found) * len(lists) > sizes.sum():
+            owners, count = self._merged(lists, sizes)
+            at = np.minimum(np.searchsorted(owners, found), len(owners) - 1)
+            return np.where(owners[at] == found, count[at], 0)
+        wanted = (lists[:, None] * len(self.lengths) + found).ravel()
+        at = np.minimum(np.searchsorted(self.places, wanted), len(self.places) - 1)
+        return (self.places[at] == wanted).reshape(len(lists), -1).sum(0)
+
+
+def _may_link(n: int | np.ndarray, sizes: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Which overlaps suffice for sets of n shingles with sets of these sizes."""
+    return (both > 0) & (100 * both >= PERCENT * (n + sizes - both))
+
+
+def _linkable(sets: list[np.ndarray]) -> np.ndarray:
+    """Which sets hold enough shingles of others to link with any of them.
+
+    A set shares no more than it has in lists of two or more, and a link takes
+    more of it the larger its other side is. Sets that are left out shorten the
+    lists, so this goes on while it leaves out many.
+    """
+    n = np.array([len(s) for s in sets], np.int64)
+    some = n > 0
+    lists = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1]
+    owners = np.repeat(np.arange(len(n)), n)
+    while some.any():
+        often = np.bincount(lists)[lists] > 1
+        shared = np.bincount(owners[often], minlength=len(n))
+        # The smallest set that is large enough for the other side, or this one itself.
+        order = np.sort(n[some])
+        least = order[np.minimum(np.searchsorted(order, -(-PERCENT * n // 100)), len(order) - 1)]
+        before = some.sum()
+        some = some & _may_link(n, least, shared)
+        if 20 * (before - some.sum()) <= some.sum():
+            break
+        use = some[owners]
+        lists, owners = lists[use], owners[use]
+    return some
 
 
 def search_block(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that span the components of a block; each set is a query once."""
+    at = np.flatnonzero(_linkable(sets)).tolist()
+    sets = [sets[i] for i in at]
     index, indexed = None, 0
 
     def linked(q: int, alive: np.ndarray, left: int) -> list[int]:
@@ -325,7 +377,7 @@ def search_block(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             index, indexed = Index(sets, np.flatnonzero(alive)), left
         return index.search(sets[q], alive)
 
-    return _spanning(len(sets), linked)
+    return [(at[a], at[b]) for a, b in _spanning(len(sets), linked)]
 
 
 def _spanning(n: int, linked: Callable[[int, np.ndarray, int], list[int]]) -> list[tuple[int, int]]:

@@ -107,6 +107,64 @@ def test_search_equals_brute_force():
             assert set(want) <= set(shapes.search(q, np.ones(25, bool)))
 
 
+def family(rng, docs, words=300):
+    """Near copies of one text with one to 40 words of it replaced, so that some link with no other."""
+    base, sets = [f"w{i}" for i in range(words)], []
+    for _ in range(docs):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.randint(1, words // 8)):
+            copy[at] = f"x{rng.randrange(40)}"
+        sets.append(jaccard.shingle_set(" ".join(copy)))
+    return sets
+
+
+def test_near_copies_are_searched_without_a_step_for_each_shingle():
+    """A cell of near copies grows with the corpus; before, the search took a Python step for each shingle in a list."""
+    import sys
+
+    import numpy as np
+
+    sets, calls = family(random.Random(8), 200), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        pairs = jaccard.search_block(sets)
+    finally:
+        sys.setprofile(None)
+    assert calls < 200 * len(sets)
+    near = {(a, b) for a in range(200) for b in range(a) if jaccard.links(len(sets[a]), len(sets[b]), len(np.intersect1d(sets[a], sets[b])))}
+
+    def lowest(links):
+        low, changed = list(range(200)), True
+        while changed:
+            before = list(low)
+            for a, b in links:
+                low[a] = low[b] = min(low[a], low[b])
+            changed = low != before
+        return low
+
+    assert {(max(p), min(p)) for p in pairs} <= near and lowest(pairs) == lowest(near)
+    assert 20 < len({a for p in near for a in p}) < 200
+
+
+def test_sets_left_out_before_a_search_link_with_none():
+    import numpy as np
+
+    rng = random.Random(9)
+    for _ in range(30):
+        base = [rng.getrandbits(64) for _ in range(50)]
+        sets = [np.unique(np.array(rng.sample(base, rng.randint(1, 50)) + [rng.getrandbits(64) for _ in range(rng.randint(0, 9))],
+                                   np.uint64)) for _ in range(20)]
+        near = {a for a in range(20) for b in range(20) if a != b and jaccard.links(
+            len(sets[a]), len(sets[b]), len(np.intersect1d(sets[a], sets[b])))}
+        assert near <= set(np.flatnonzero(jaccard._linkable(sets)).tolist())
+    assert jaccard.search_block([]) == [] and len(jaccard._linkable([])) == 0
+
+
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 200), (200, 150)], "u long, v long")
     got = {r.node: r.component for r in jaccard.connected(edges).collect()}
