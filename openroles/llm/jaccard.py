@@ -52,8 +52,10 @@ WIDTH = 5
 PERCENT = 80
 #: Counters of shingle frequencies, and the shingles that one task searches at a time.
 COUNTERS, STRETCH = 1 << 20, 1 << 12
-#: Bits that tell tasks which documents to leave out.
-BITMAP = 1 << 22
+#: Bits that tell tasks which documents to leave out, and those that tell which of all documents may be copies.
+BITMAP, GONE_BITS = 1 << 22, 1 << 23
+#: Rows of a narrow table that is broadcast.
+LISTED = 200_000
 CELL_SHINGLES = 1_500_000
 #: Cells of more shingles are not narrowed by shapes but searched block by block at once.
 SHAPED_SHINGLES = 40_000_000
@@ -492,9 +494,9 @@ def connected(edges: DataFrame) -> DataFrame:
     return node
 
 
-def _listed(df: DataFrame, limit: int = 200_000) -> DataFrame:
-    """A broadcast hint for a stored table of at most ``limit`` narrow rows; larger ones are shuffled."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _listed(df: DataFrame) -> DataFrame:
+    """A broadcast hint for a stored table of at most ``LISTED`` narrow rows; larger ones are shuffled."""
+    return F.broadcast(df) if df.limit(LISTED + 1).count() <= LISTED else df
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -602,6 +604,31 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return own.union(empty).withColumnRenamed("n", "n_shingles").withColumnRenamed("doc_id", key)
 
 
+def _without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not among the distinct ids of ``gone``, a stored table of one column.
+
+    If the ids are too many for a broadcast, a bitmap of fixed size is: rows that it
+    tells to stay are not shuffled with their texts, only those that may be gone.
+    """
+    name = gone.columns[0]
+    own, same = F.col(f"`{key}`"), F.col(f"`{key}`") == F.col(name)
+    listed = _listed(gone)
+    if listed is not gone:
+        return docs.join(listed, same, "left_anti")
+
+    def place(c):
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(GONE_BITS))
+
+    word, bits = fresh(docs, "_word"), fresh(docs, "_bits")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place(F.col(name)), F.lit(64)).cast("int"))
+    words = written(gone.select(F.floor(place(F.col(name)) / 64).alias(word), bit.alias(bits))
+                    .groupBy(word).agg(F.bit_or(bits).alias(bits)), "gone_bits")
+    told = docs.join(F.broadcast(words), F.floor(place(own) / 64) == F.col(word), "left")
+    may = own.isNotNull() & F.coalesce(F.getbit(F.col(bits), F.pmod(place(own), F.lit(64)).cast("int")) == 1, F.lit(False))
+    stay, asked = told.where(~may).drop(word, bits), told.where(may).drop(word, bits)
+    return stay.union(asked.join(gone, same, "left_anti"))
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without those that link, in any number of steps, with one of a smaller id.
 
@@ -610,7 +637,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     found = written(classes(docs, key, text), "classes").toDF("id", "n", "c")
     name = fresh(docs, "_id")
     gone = written(found.where("id != c").select(F.col("id").alias(name)).distinct(), "gone")
-    kept = docs.join(_listed(gone), F.col(f"`{key}`") == F.col(name), "left_anti")
+    kept = _without(docs, key, gone)
     if found.where("id is not null").groupBy("id").count().where("count > 1").isEmpty():
         return kept
     named = kept.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])

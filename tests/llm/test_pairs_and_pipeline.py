@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 from compare import connect, difference
@@ -218,3 +219,20 @@ def test_keep_first_with_columns_of_its_own_names(spark):
     df = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, "other words", "c")], "doc_id long, text string, _id string")
     df = df.withColumns({"id": df._id, "n": df._id, "c": df._id})
     assert sorted(r.doc_id for r in jaccard.keep_first(df).collect()) == [1, 3]
+
+
+def test_copies_that_are_too_many_for_a_broadcast(spark, monkeypatch):
+    """Only rows that a bitmap tells may be gone are shuffled with their texts."""
+    monkeypatch.setattr(jaccard, "LISTED", 0)
+    monkeypatch.setattr(jaccard, "GONE_BITS", 1 << 8)  # so that some that stay look gone
+    texts = ["the same five words again"] * 60 + [f"text {i} on its own" for i in range(200)]
+    rows = [(3 * i - 90, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, None), (-90, "what the first says besides this"), (0, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_word": F.lit(1), "_bits": F.lit("b"), "_id": F.lit(0)})
+    kept = jaccard.keep_first(docs)
+    assert kept.columns == docs.columns
+    low = brute([r for r in rows if r[0] is not None])
+    want = sorted([i for i in low if low[i] == i] + [10 ** 6] * 2)
+    assert sorted(10 ** 6 if r.doc_id is None else r.doc_id for r in kept.collect()) == want and len(want) == 203
+    joins = re.findall(r"Join LeftAnti.*\n(?:.*\n){0,3}?.*Filter.*getbit", jaccard._without(
+        docs, "doc_id", spark.range(5).toDF("gone"))._jdf.queryExecution().optimizedPlan().toString())
+    assert joins
