stream_details: one state store a partition for the join of two streams

Symptom: stream_details spends most of its task time opening, committing and closing state stores, also for partitions with few rows.
Evidence: the profiler (quick, stopped both times at its 0.3 GB of disk for tables this small): first batch of the stream join 20 s of task time, JVM CPU 7 s, executor at most 1,617 MB, 42,292 rows read so far. Own event log, whole run on sf0.1, local[6], 12 partitions: 151.5 s of task time, 56.8 s CPU, GC 2.5 s, 233.8 s CPU of the JVM.
Fix: join state format 3, which keeps a partition in one RocksDB store with column families instead of four stores. Checkpoints written before keep the format they name.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 2428 -> 1351 s, shuffle 0.68 -> 0.53 GB, spill 0.00 -> 0.00 GB, read 1.21 -> 1.20 GB, longest task 4 -> 5 s, most memory of a task 109 -> 229 MB; at 6 GB of input CPU 5846 -> 3539 s, shuffle 4.55 -> 4.55 GB, spill 0.00 -> 0.00 GB, read 5.95 -> 5.95 GB, longest task 334 -> 10 s, most memory of a task 436 -> 436 MB; with hot keys, at 1 GB of input CPU 2778 -> 1471 s, shuffle 0.75 -> 0.58 GB, spill 0.00 -> 0.00 GB, read 1.24 -> 1.24 GB, longest task 5 -> 5 s, most memory of a task 151 -> 367 MB.

@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     # A week of posting keys is more than executor heaps hold; RocksDB keeps it on disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A join of two streams keeps one store in a partition instead of four, each with files and commits of its own.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 

@@ -217,6 +217,44 @@ def test_listings_wait_for_their_details_and_expire(spark, tmp_path):
     assert [(r.identifier, r.broken_details) for r in late.errors(joined, "smartrecruiters").collect()] == [("acme", 2)]
 
 
+def test_waiting_listings_share_one_store_and_odd_rows_expire(spark, tmp_path):
+    import json
+    import os
+
+    from openroles import schemas, session
+    from openroles.streaming import details as late
+
+    session.prepare(spark)
+    body = json.dumps({"content": [{"id": i, "name": "Software Engineer"} for i in ("twice", "twice", None, "null", "cut", "own")]})
+    left = [("smartrecruiters", b, "Acme", "", "", 0, datetime(2026, 8, 1), p)
+            for b, p in (("acme", body), (None, body), ("acme", None), ("acme", ""), ("acme", "{}"))]
+    good = json.dumps({"name": "Software Engineer"})
+    right = [("smartrecruiters", b, k, p, datetime(2026, 8, 1)) for b, k, p in (
+        ("acme", "twice", good), ("acme", "twice", good), ("acme", None, good), ("acme", "null", None), ("acme", "cut", good[:-2]),
+        (None, "own", good), ("acme", "own", "{}"))]
+    # Neither a page without listings nor a broken detail makes time pass.
+    later = [datetime(2026, 8, d) for d in (19, 20, 21)]
+    empty, listed = ([("smartrecruiters", "zeta", "Z", "", "", 0, t, p)] for t, p in ((later[0], "{}"), (later[2], body)))
+    broken, parsed = ([("smartrecruiters", "zeta", "other", p, t)] for t, p in ((later[1], good[:-2]), (later[1], good)))
+    lost = []
+    for n, (pages, docs) in enumerate(((left, right), (empty, parsed), (listed, broken), (listed, parsed))):
+        spark.createDataFrame(pages, schemas.PAYLOADS).coalesce(1).write.parquet(f"{tmp_path}/pages/{n}")
+        spark.createDataFrame(docs, schemas.DETAILS + ", landed_at timestamp").coalesce(1).write.parquet(f"{tmp_path}/docs/{n}")
+        inc.run_to_parquet(late.await_details(
+            stream(spark, tmp_path / "pages", schemas.PAYLOADS),
+            stream(spark, tmp_path / "docs", schemas.DETAILS + ", landed_at timestamp"), "smartrecruiters"),
+            str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / "out")).collect()
+        lost.append(sum(r.detail is None for r in rows))
+    assert lost == [0, 0, 0, 9]
+    assert sorted((r.detail_key, r.identifier) for r in rows if r.detail is not None) == [("own", "acme")] + [("twice", "acme")] * 4
+    # A listing without an id asks for the empty key; one of no board matches nothing.
+    assert sorted((r.identifier or "", r.detail_key) for r in rows if r.detail is None) == sorted(
+        [("acme", k) for k in ("", "null", "cut")] + [("", k) for k in ("", "null", "cut", "own", "twice", "twice")])
+    # Four stores would have a folder each.
+    assert not [d for d in os.listdir(tmp_path / "state" / "state" / "0" / "0") if d.startswith(("left-", "right-"))]
+
+
 def test_cascade_of_deletions_equals_pruning_step_by_step(spark, tmp_path):
     rows = [(i % 23, i) for i in range(200)] + [(None, 900)]
     table = inc.KeyedTable(spark, str(tmp_path / "t"), "job_id", 8)
