@@ -9,8 +9,9 @@ than ``delay`` behind the newest of their stream are late. Spark drops those;
 ``late_rows`` counts them, and a job should stop if there are any. Time passes
 with the slower of the two streams, so listings of the last ``wait`` are
 neither postings nor errors yet. A listing meets every copy of its detail
-(deduplicate the postings); a detail that does not parse counts as none. Null
-ids match nothing and expire.
+(deduplicate the postings); a detail that does not parse counts as none, and
+like a page without listings it does not make time pass. Null ids match nothing
+and expire.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ def await_details(pages: DataFrame, details: DataFrame, platform: str, wait: str
     ``detail`` is null for listings that have waited in vain.
     """
     listings, schema = feeds.DETAILED[platform]
-    left = listings(pages.withWatermark("scraped_at", delay))
-    right = feeds.parsed_details(details.withWatermark("landed_at", delay), platform, schema, "landed_at")
+    left = listings(pages, delay)
+    right = feeds.parsed_details(details, platform, schema, "landed_at").withWatermark("landed_at", delay)
     right = right.withColumnsRenamed({"identifier": "_identifier", "detail_key": "_key"})
     meets = (F.col("identifier") == F.col("_identifier")) & (F.col("detail_key") == F.col("_key"))
     near = F.expr(f"landed_at between scraped_at - interval {wait} and scraped_at + interval {wait}")
