@@ -70,6 +70,23 @@ def test_upsert_keeps_rows_below_the_cut(spark):
     assert merge.duplicate_keys(stored, ["employer_name"]).count() == 0
 
 
+def test_dedup_of_odd_identities_shuffles_plain_columns(spark):
+    rows = [  # source, board, id, url; a row is kept if nothing before it has its identity
+        ("lever_feed", "acme", "1", "https://x/1", True), ("lever", "ACME", "1", "https://x/2", False),
+        ("google_search", "", "", "https://x/1", True), (None, "acme", "1", "https://x/1?a=b", False),
+        ("lever_feed", None, "1", "https://x/1#top", False), ("lever_feed", "acme", None, "https://x/9", True),
+        ("lever_feed", "acme", "https://x/1", "https://x/1", True), ("", "", "", "", True), (None, None, None, None, False),
+        ("_feed", "acme", "1", "", False), ("lever_feed", "acme", "1", "https://x/1", False), ("lever", "acme1", "", "1", True),
+        ("ashby", "acme", "1", "https://x/1", True), ("ashby_feed", "a", "cme1", "https://x/1", True)]
+    frame = spark.createDataFrame([(*r[:4], i) for i, r in enumerate(rows)], "source string, source_board string, "
+                                  "source_job_id string, job_url string, ord int")
+    first = dedup.dedup_postings(frame, [F.col("ord")])
+    assert sorted(r.ord for r in first.collect()) == [i for i, r in enumerate(rows) if r[4]]
+    assert first.columns == frame.columns and dedup.dedup_postings(frame.limit(0), [F.col("ord")]).isEmpty()
+    shuffles = [x for x in first._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
+    assert shuffles and all("(_platform#" in x for x in shuffles)
+
+
 def test_dedup_and_hot_key(spark):
     """A third of all rows share one identity; the first of each is kept."""
     rows = [("lever_feed", "acme", "1" if i % 3 == 0 else str(i), f"https://x/{i}", i) for i in range(300)]
